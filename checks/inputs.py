@@ -37,21 +37,24 @@ class Inputs:
     def st_enrollment(self) -> DataFrame:
         return self.spark.sql("SELECT " + sql.st_columns() + " FROM {orders}", orders=self.table("orders"))
 
-    def latest(self) -> DataFrame:
-        """Latest enrollment per customer."""
-        keyed = self.spark.sql("SELECT o_custkey AS custkey, " + sql.st_columns() + " FROM {orders}", orders=self.table("orders"))
+    def latest(self, k: int | None = None) -> DataFrame:
+        """Latest enrollment per customer, of all or of one charter's customers."""
+        orders = self.table("orders") if k is None else self.table("orders").filter(F.col("o_custkey") % 4 == k)
+        keyed = self.spark.sql("SELECT o_custkey AS custkey, " + sql.st_columns() + " FROM {orders}", orders=orders)
         window = W.partitionBy("custkey").orderBy(F.desc("st_studentenrollment_startdate"), "enrollment_seq")
         return keyed.withColumn("rn", F.row_number().over(window)).filter("rn = 1").drop("rn")
 
-    def roster(self) -> DataFrame:
+    def roster(self, k: int | None = None) -> DataFrame:
+        """The rosters of all charters, or of charter k."""
         customers = self.table("customer").select("c_custkey")
-        dates = self.latest().select("custkey", "st_studentenrollment_startdate", "st_studentenrollment_enddate")
+        customers = customers if k is None else customers.filter(F.col("c_custkey") % 4 == k)
+        dates = self.latest(k).select("custkey", "st_studentenrollment_startdate", "st_studentenrollment_enddate")
         base = customers.join(dates, F.col("c_custkey") == F.col("custkey"), "left").selectExpr(
             "*", "c_custkey % 4 AS k", "CAST(floor(c_custkey / 4) AS BIGINT) AS j")
         return self.spark.sql("SELECT " + sql.ROSTER_COLUMNS + " FROM {base}", base=base)
 
     def monthly(self, k: int) -> DataFrame:
-        rows = self.roster().filter(F.col("k") == k)
+        rows = self.roster(k)
         return rows.withColumnRenamed("student_id", "sped_student_id") if k == 3 else rows
 
     def rosters(self) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
@@ -98,8 +101,8 @@ class Inputs:
         return both.withColumns({"violent_crimes_total": total(*names[:4]), "property_crimes_total": total(*names[4:])})
 
     # ------------------------------------------------------------ text tables
-    def text_roster(self) -> DataFrame:
-        return self.spark.sql(sql.text_roster(sql.SPARK), roster=self.roster())
+    def text_roster(self, k: int | None = None) -> DataFrame:
+        return self.spark.sql(sql.text_roster(sql.SPARK), roster=self.roster(k))
 
     def messy(self) -> DataFrame:
         return self.spark.sql(sql.messy_values(sql.SPARK), orders=self.table("orders"))
@@ -109,7 +112,6 @@ class Inputs:
 
     def raw_layouts(self) -> dict[int, DataFrame]:
         """The four raw roster layouts with their own headers."""
-        rows = self.text_roster()
         layouts = {
             0: {"NYSSIS ID": "nyssis_text", "Student ID": "sid_text", "Student First Name": "first_text",
                 "Student Last Name": "last_text", "Grade": "grade_text", "Birth Date": "dob_text", "Entered": "entered_text",
@@ -126,8 +128,8 @@ class Inputs:
                 "Grade Level": "grade_text", "DOB": "dob_text", "Enroll Date": "entered_text", "Withdraw Date": "withdrew_text",
                 "OnTECH FTE": "fte_text", "SPED_Flag": "sped_text"},
         }
-        rows = rows.withColumn("full_text", F.concat("last_text", F.lit(", "), "first_text"))
-        return {k: rows.filter(F.col("k") == k).select("row_id", *[F.col(s).alias(n) for n, s in cols.items()])
+        full = F.concat("last_text", F.lit(", "), "first_text")
+        return {k: self.text_roster(k).withColumn("full_text", full).select("row_id", *[F.col(s).alias(n) for n, s in cols.items()])
                 for k, cols in layouts.items()}
 
     def export_roles(self) -> DataFrame:
@@ -140,7 +142,7 @@ class Inputs:
     def raw_export(self) -> DataFrame:
         """Enrollment export as delivered: text only, its own headers."""
         return self.st_enrollment().selectExpr(
-            "enrollment_seq", "student_universalstudentid AS Student_UniversalStudentID", "studentid AS StudentID",
+            "enrollment_seq", "CAST(st_nyssis_id AS STRING) || '.0' AS NYSSIS", "student_universalstudentid AS Student_UniversalStudentID", "studentid AS StudentID",
             "lastname AS LastName", "firstname AS FirstName", "CAST(person_dob AS STRING) AS Person_DOB", "grade AS Grade",
             "schoolname AS SchoolName", "CAST(st_studentenrollment_startdate AS STRING) AS StudentEnrollment_StartDate",
             "CAST(st_studentenrollment_enddate AS STRING) AS StudentEnrollment_EndDate",

@@ -21,7 +21,7 @@ SPARK, DUCK = Dialect("spark"), Dialect("duckdb")
 
 def mdy(d: str, sep: str = "/") -> str:
     """'2/3/2026'"""
-    return f"concat(CAST(month({d}) AS STRING), '{sep}', CAST(day({d}) AS STRING), '{sep}', CAST(year({d}) AS STRING))"
+    return f"(CAST(month({d}) AS STRING) || '{sep}' || CAST(day({d}) AS STRING) || '{sep}' || CAST(year({d}) AS STRING))"
 
 
 def serial(x: Dialect, d: str) -> str:

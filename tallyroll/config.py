@@ -9,6 +9,9 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import date
 
+# Fixed value: what counts as white space at the ends of a text, the non-breaking space included.
+WHITE_SPACE = " \t\n\r\f\v\u00a0"
+
 # Texts standing for "no value". Each caller of the data uses its own list.
 NULLS_AUDIT = ("", "NA", "N/A", "NULL")
 NULLS_ROSTER = ("NA", "N/A", "NULL", "null", "")

@@ -1,12 +1,13 @@
 """Date parsing and date arithmetic.
 
-Each text shape is recognised by a regular expression before it is parsed, so a
-value meets at most the parsers of its own shape and no parser ever runs into an
-exception on the common path.
+All accepted shapes of a caller form one regular expression that rewrites the text
+to year-month-day, which is then cast once. The input is named once, so long
+format lists stay small expressions, and nothing on the way throws.
 """
 
 from __future__ import annotations
 
+import re
 from datetime import date
 
 from pyspark.sql import Column
@@ -14,72 +15,57 @@ from pyspark.sql import functions as F
 
 from tallyroll import config as cfg
 
-# Accepted date shapes -> (recogniser, Spark format).
-_TIME_HMS = r"[ T]\d{1,2}:\d{1,2}:\d{1,2}"
-_TIME_HM = r"[ T]\d{1,2}:\d{1,2}"
-SHAPES = {
-    "M/d/y": (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
-    "d/M/y": (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
-    "M-d-y": (r"^\d{1,2}-\d{1,2}-\d{4}$", "M-d-yyyy"),
-    "y-M-d": (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
-    "y/M/d": (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
-    "y.M.d": (r"^\d{4}\.\d{1,2}\.\d{1,2}$", "yyyy.M.d"),
-    "M/d/yy": (r"^\d{1,2}/\d{1,2}/\d{2}$", "M/d/yy"),
-    "d/M/yy": (r"^\d{1,2}/\d{1,2}/\d{2}$", "d/M/yy"),
-    "M-d-yy": (r"^\d{1,2}-\d{1,2}-\d{2}$", "M-d-yy"),
-    "d-MMM-y": (r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
-    "d-MMM-yy": (r"^\d{1,2}-[A-Za-z]{3}-\d{2}$", "d-MMM-yy"),
-    "dMMMy": (r"^\d{1,2}[A-Za-z]{3}\d{4}$", "dMMMyyyy"),
-    "yyyyMMdd": (r"^\d{8}$", "yyyyMMdd"),
-    "M/d/y h:m:s": (r"^\d{1,2}/\d{1,2}/\d{4}" + _TIME_HMS + "$", "M/d/yyyy"),
-    "M/d/y h:m": (r"^\d{1,2}/\d{1,2}/\d{4}" + _TIME_HM + "$", "M/d/yyyy"),
-    "y-M-d h:m:s": (r"^\d{4}-\d{1,2}-\d{1,2}" + _TIME_HMS + "$", "yyyy-M-d"),
-    "y-M-d h:m": (r"^\d{4}-\d{1,2}-\d{1,2}" + _TIME_HM + "$", "yyyy-M-d"),
-}
+# Accepted date shapes. y is a four-digit year, yy a two-digit one.
+SHAPES = ("M/d/y", "M/d/y time", "M-d-y", "M/d/yy", "M-d-yy", "d/M/y", "d/M/yy", "y-M-d", "y-M-d time", "y/M/d", "y.M.d", "yyyyMMdd")
+_PARTS = {"yyyy": r"\d{4}", "yy": r"\d{2}", "y": r"\d{4}", "MM": r"\d{2}", "M": "0?[1-9]|1[0-2]", "dd": r"\d{2}", "d": r"\d{1,2}"}
+_TIME = r"[ T](?:[01]?\d|2[0-3]):[0-5]?\d(?::(?:[0-5]?\d|6[01]))?"
 # Fixed value: day zero of spreadsheet serial dates.
 SERIAL_ORIGIN = "1899-12-30"
-_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
-def pivot_century(d: Column) -> Column:
-    """Two-digit years 69-99 belong to the 1900s; Spark reads them all as 20yy."""
-    return F.when(F.year(d) > 2068, F.add_months(d, -1200)).otherwise(d)
+def _shape_pattern(shape: str, n: int) -> str:
+    """'M/d/y time' -> pattern with the groups y<n>, M<n> and d<n>."""
+    day, _, time = shape.partition(" ")
+    pattern = re.sub(r"y+|M+|d+", lambda t: f"(?<{t[0][0]}{n}>{_PARTS[t[0]]})", day.replace(".", r"\."))
+    return pattern + (_TIME if time else "")
 
 
-def _clock_ok(s: Column, with_seconds: bool) -> Column:
-    """Hours, minutes and seconds inside their ranges, so '25:00' is no timestamp."""
-    part = F.split(F.regexp_extract(s, r"[ T](.*)$", 1), ":")
-    ok = (part[0].cast("int") < 24) & (part[1].cast("int") < 60)
-    return ok & (part[2].cast("int") < 62) if with_seconds else ok
+def parse(s: Column, shapes: list[str]) -> Column:
+    """The day the text names in one of the shapes; NULL for other shapes and for days that do not exist.
 
+    The first shape that fits counts. Text of no shape is rewritten to '--', so it cannot pass the cast.
+    """
+    alternatives = "|".join(_shape_pattern(shape, n) for n, shape in enumerate(shapes))
+    group = lambda letter: "".join(f"${{{letter}{n}}}" for n in range(len(shapes)))
+    iso = F.regexp_replace(s, f"^(?s:{alternatives}|.*)$", f"{group('y')}-{group('M')}-{group('d')}")
+    if any(shape.split(" ")[0].endswith("/yy") or shape.endswith("-yy") for shape in shapes):
+        # Two-digit years 69-99 belong to the 1900s.
+        iso = F.regexp_replace(iso, r"^([0-5]\d|6[0-8])-", "20$1-")
+        iso = F.regexp_replace(iso, r"^(69|[7-9]\d)-", "19$1-")
+    return iso.try_cast("date")
 
-def parse(s: Column, shapes: list[str]) -> Column:
-    """First shape that matches and names a real day; NULL otherwise."""
-    attempts = []
-    for name in shapes:
-        pattern, fmt = SHAPES[name]
-        if "h:m" in name:
-            day = F.regexp_extract(s, r"^([^ T]+)", 1)
-            attempts.append(
-                F.when(s.rlike(pattern) & _clock_ok(F.when(s.rlike(pattern), s), name.endswith(":s")),
-                       F.try_to_date(day, fmt)))
-        else:
-            parsed = F.try_to_date(s, fmt)
-            two_digit = "yy" in fmt and "yyyy" not in fmt
-            attempts.append(F.when(s.rlike(pattern), pivot_century(parsed) if two_digit else parsed))
-    return F.coalesce(*attempts)
+
+def parse_month_name(s: Column) -> Column:
+    """14FEB2026, 14-Feb-2026 and 14-Feb-26."""
+    dashed = F.regexp_replace(s, r"^(\d{1,2})-?([A-Za-z]{3})-?(\d{4})$", "$1-$2-$3")
+    dashed = F.regexp_replace(dashed, r"^(\d{1,2}-[A-Za-z]{3})-([0-5]\d|6[0-8])$", "$1-20$2")
+    dashed = F.regexp_replace(dashed, r"^(\d{1,2}-[A-Za-z]{3})-(\d{2})$", "$1-19$2")
+    return F.when(s.rlike(r"^\d{1,2}-?[A-Za-z]{3}-?\d{2,4}$"), F.try_to_date(dashed, "d-MMM-yyyy"))
 
 
 def from_serial(s: Column, low: float | None = None, high: float | None = None) -> Column:
-    """Spreadsheet serial number as text -> date, if strictly between the bounds."""
-    n = F.when(s.rlike(_NUMBER), s.try_cast("double"))
-    inside = n.isNotNull()
+    """Spreadsheet serial number as text -> date, if strictly between the bounds.
+
+    Serials beyond the year 9999 are no dates. Only text that looks like a number is
+    cast: casting other text to double costs an exception each time.
+    """
+    n = s.try_cast("double")
+    inside = s.rlike(NUMBER) & (n >= -693000.0) & (n < 2958466.0)
     if low is not None:
-        inside = inside & (n > low)
+        inside = inside & (n > float(low))
     if high is not None:
-        inside = inside & (n < high)
-    # Serials beyond the year 9999 are no dates.
-    inside = inside & (n > -693000) & (n < 2958466)
+        inside = inside & (n < float(high))
     return F.when(inside, F.date_add(F.lit(SERIAL_ORIGIN).cast("date"), F.floor(n).cast("int")))
 
 
@@ -88,10 +74,8 @@ def normalize_dob(c: Column) -> Column:
     s = _known(F.upper(_strip(c)), cfg.NULLS_AUDIT)
     return F.coalesce(
         from_serial(s, 20000, 60000),
-        parse(s, [
-            "yyyyMMdd", "dMMMy", "M/d/y", "y-M-d", "M-d-y", "M/d/yy", "M-d-yy",
-            "d-MMM-y", "d-MMM-yy", "d/M/y", "y/M/d", "y.M.d",
-        ]),
+        parse(s, ["yyyyMMdd", "M/d/y", "y-M-d", "M-d-y", "M/d/yy", "M-d-yy", "d/M/y", "y/M/d", "y.M.d"]),
+        parse_month_name(s),
     )
 
 
@@ -101,7 +85,7 @@ def parse_billing(c: Column) -> Column:
     s = F.when(~F.lower(s).isin(*cfg.NULLS_BILLING_DATE), s)
     return F.coalesce(
         from_serial(s, 20000, 60000),
-        parse(s, ["M/d/y", "y-M-d", "M-d-y", "M/d/yy", "y/M/d", "y-M-d h:m:s", "M/d/y h:m:s"]),
+        parse(s, ["M/d/y", "y-M-d", "M-d-y", "M/d/yy", "y/M/d", "y-M-d time", "M/d/y time"]),
         F.when(~s.rlike(r"^\d{5,}$"), s.try_cast("date")),
     )
 
@@ -111,7 +95,7 @@ def parse_billing_mixed(c: Column) -> Column:
     s = _known(_strip(c), cfg.NULLS_BILLING_DATE_MIXED)
     return F.coalesce(
         from_serial(F.when(s.rlike(r"^[0-9]+\.?[0-9]*$"), s)),
-        parse(s, ["M/d/y", "y-M-d", "M/d/yy", "M-d-y", "y/M/d", "y-M-d h:m:s", "M/d/y h:m:s"]),
+        parse(s, ["M/d/y", "y-M-d", "M/d/yy", "M-d-y", "y/M/d", "y-M-d time", "M/d/y time"]),
     )
 
 
@@ -146,7 +130,7 @@ def short_date(d: Column) -> Column:
 
 
 def _strip(c: Column) -> Column:
-    return F.regexp_replace(c.cast("string"), r"(?U)^\s+|\s+$", "")
+    return F.btrim(c.cast("string"), F.lit(cfg.WHITE_SPACE))
 
 
 def _known(s: Column, tokens: tuple[str, ...]) -> Column:

@@ -4,20 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyroll import config as cfg
 from tallyroll.functions import dates
 
-# Unicode-aware white space, so a non-breaking space counts as a blank.
-_SPACE = r"(?U)\s+"
-_EDGE_SPACE = r"(?U)^\s+|\s+$"
+# White space inside a text; a non-breaking space counts as a blank.
+_SPACE = r"[\s\u00a0]+"
+# Integers from 20001 to 59999.
+_SERIAL_TEXT = r"^0*(2000[1-9]|200[1-9][0-9]|20[1-9][0-9]{2}|2[1-9][0-9]{3}|[3-5][0-9]{4})$"
 
 
 def strip(c: Column) -> Column:
     """Trim every kind of white space, not only blanks."""
-    return F.regexp_replace(c, _EDGE_SPACE, "")
+    return F.btrim(c, F.lit(cfg.WHITE_SPACE))
 
 
 def null_tokens(c: Column, tokens: Iterable[str]) -> Column:
@@ -46,7 +47,8 @@ def clean_id(c: Column, tokens: Iterable[str] = cfg.NULLS_ID) -> Column:
 
 def clean_fte(c: Column) -> Column:
     """'50%' -> 50.0, '0.5' -> 0.5, anything else NULL."""
-    return F.regexp_replace(strip(c.cast("string")), "%", "").try_cast("double")
+    number = F.replace(strip(c.cast("string")), F.lit("%"), F.lit(""))
+    return F.when(number.rlike(dates.NUMBER), number.try_cast("double"))
 
 
 def split_last(c: Column) -> Column:
@@ -73,6 +75,26 @@ def normalize_name(c: Column) -> Column:
     return F.trim(F.regexp_replace(letters, " +", " "))
 
 
+def _cleaned(c: Column) -> Column:
+    s = F.regexp_replace(null_tokens(F.upper(strip(c.cast("string"))), cfg.NULLS_AUDIT), _SPACE, " ")
+    return F.regexp_replace(s, r"\.0+$|[^0-9A-Z/: \-]", "")
+
+
+def _comparable(s: Column, mode: str) -> Column:
+    """Cleaned text -> ISO date, plain integer, or itself."""
+    if mode not in ("reference", "id_safe"):
+        raise ValueError(f"unknown mode {mode!r}")
+    # One test keeps identifiers away from the date patterns.
+    day = F.when(s.rlike(r"^[0-9]{1,4}[/-]"), dates.parse(
+        s, ["M/d/y time", "y-M-d time", "M/d/y", "y-M-d", "M-d-y", "M/d/yy", "M-d-yy"]))
+    if mode == "id_safe":
+        return F.coalesce(day.cast("string"), s)
+    return F.coalesce(
+        day.cast("string"),
+        F.when(s.rlike(_SERIAL_TEXT), F.date_add(F.lit(dates.SERIAL_ORIGIN).cast("date"), s.cast("int")).cast("string")),
+        F.regexp_replace(s, r"^0+(?=[0-9]+$)", ""))
+
+
 def normalize_value(c: Column, mode: str = "reference") -> Column:
     """Comparable text: dates become ISO, integers lose leading zeros.
 
@@ -80,26 +102,14 @@ def normalize_value(c: Column, mode: str = "reference") -> Column:
     date, which turns some five-digit identifiers into dates. mode="id_safe" keeps
     every integer (and its leading zeros) as it is; use it for identifier columns.
     """
-    if mode not in ("reference", "id_safe"):
-        raise ValueError(f"unknown mode {mode!r}")
-    raw = null_tokens(F.upper(strip(c.cast("string"))), cfg.NULLS_AUDIT)
-    s = F.regexp_replace(raw, _SPACE, " ")
-    s = F.regexp_replace(s, r"\.0+$", "")
-    s = F.regexp_replace(s, r"[^0-9A-Z/: \-]", "")
-    as_date = F.coalesce(
-        dates.parse(s, ["M/d/y h:m:s", "M/d/y h:m", "y-M-d h:m:s", "y-M-d h:m"]),
-        dates.parse(s, ["M/d/y", "y-M-d", "M-d-y", "M/d/yy", "M-d-yy"]),
-    )
-    text = F.when(as_date.isNotNull(), F.date_format(as_date, "yyyy-MM-dd"))
-    if mode == "id_safe":
-        return F.coalesce(text, s)
-    digits = s.rlike(r"^[0-9]+$")
-    serial = dates.from_serial(F.when(digits, s), 20000, 60000)
-    return (
-        text.when(digits & serial.isNotNull(), F.date_format(serial, "yyyy-MM-dd"))
-        .when(digits, F.regexp_replace(s, r"^0+(?=[0-9])", ""))
-        .otherwise(s)
-    )
+    return _comparable(_cleaned(c), mode)
+
+
+def normalize_columns(df: DataFrame, columns: Iterable[str], mode: str = "reference") -> DataFrame:
+    """normalize_value over several columns, in two projections so that each cleaned text is computed once."""
+    columns = list(columns)
+    cleaned = df.withColumns({n: _cleaned(F.col(f"`{n}`")) for n in columns})
+    return cleaned.withColumns({n: _comparable(F.col(f"`{n}`"), mode) for n in columns})
 
 
 def name_key(*parts: Column) -> Column:

@@ -41,8 +41,8 @@ def spine_id_match(resolved: Column, roster_ids: dict[str, Column]) -> Column:
     return ladder(steps, NO_ROSTER)
 
 
-def roster_id_match(found: Column, resolved: Column, label: str) -> Column:
-    return ladder([(~found, NO_ROSTER), (resolved == "", NO_ID)], f"Matched - {label}")
+def roster_id_match(found: Column, resolved: Column, school: Column) -> Column:
+    return ladder([(~found, NO_ROSTER), (resolved == "", NO_ID)], F.concat(F.lit("Matched - "), school))
 
 
 def iep_flag(is_sped: Column) -> Column:

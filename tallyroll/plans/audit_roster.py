@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyroll import config as cfg
 from tallyroll.functions.dates import diff_days
-from tallyroll.functions.text import blank_to_null, normalize_value, present, resolve_id, strip
+from tallyroll.functions.text import blank_to_null, normalize_columns, present, resolve_id, strip
 from tallyroll.operators import audit_rules as rules
 from tallyroll.operators.keys import c, first_per_key, left_on_key
 from tallyroll.sources.tables import conform_to_roles
@@ -15,14 +17,14 @@ from tallyroll.sources.tables import conform_to_roles
 NORMALIZED = ("nyssis", "student_id", "universal_id", "entry", "exit")
 
 
-def _narrow(df: DataFrame, patterns: dict, prefix: str, overrides: dict | None, mode: str, keep: list[str]) -> DataFrame:
-    """Role columns only, comparable text in all but the disability column."""
-    roles = conform_to_roles(df, patterns, overrides, prefix="", keep=keep)
-    columns = []
-    for role in patterns:
-        value = normalize_value(c(role), mode) if role in NORMALIZED else c(role)
-        columns.append(value.alias(prefix + role))
-    return roles.select(*[c(k) for k in keep], *columns)
+def _roles(df: DataFrame, patterns: dict, overrides: dict | None, keep: Sequence[str]) -> DataFrame:
+    return conform_to_roles(df, patterns, overrides, keep=keep)
+
+
+def _comparable(roles: DataFrame, patterns: dict, prefix: str, mode: str, done: Sequence[str] = ()) -> DataFrame:
+    """Comparable text in every role but the disability column; role columns get the prefix."""
+    columns = [r for r in patterns if r in NORMALIZED and r not in done]
+    return normalize_columns(roles, columns, mode).withColumnsRenamed({role: prefix + role for role in patterns})
 
 
 def _as_date(text: Column) -> Column:
@@ -30,21 +32,37 @@ def _as_date(text: Column) -> Column:
     return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text.try_cast("date"))
 
 
+def combine_rosters(rosters: dict[str, DataFrame], keep: Sequence[str],
+                    overrides: dict[str, str | None] | None = None) -> DataFrame:
+    """Several schools' rosters in role columns under one table with their ``school`` label."""
+    frames = [
+        _roles(df, cfg.AUDIT_ROSTER_PATTERNS, overrides, keep).withColumn("school", F.lit(label))
+        for label, df in rosters.items()
+    ]
+    result = frames[0]
+    for frame in frames[1:]:
+        result = result.unionByName(frame)
+    return result
+
+
 def audit(
-    roster: DataFrame, st: DataFrame, label: str = "Roster", tolerance: int = 5, *, row_id: str, st_ordinal: str,
+    rosters: dict[str, DataFrame], st: DataFrame, tolerance: int = 5, *, row_id: str, st_ordinal: str,
     dedupe_st: bool = True, mode: str = "reference",
     roster_overrides: dict[str, str | None] | None = None, st_overrides: dict[str, str | None] | None = None,
 ) -> DataFrame:
-    """Every roster row with the 13 audit fields and its school label.
+    """Every row of the rosters (school label -> raw table) with the 13 audit fields and its school label.
 
+    All schools are audited in one join, so the export is read and shuffled once.
     ``row_id`` names a unique roster column, ``st_ordinal`` the ingest order of the
     export. With ``dedupe_st`` the first export row per state ID answers; without it
     every row does, multiplying the roster.
     """
-    left = _narrow(roster, cfg.AUDIT_ROSTER_PATTERNS, "r_", roster_overrides, mode, [row_id])
-    right = _narrow(st, cfg.AUDIT_EXPORT_PATTERNS, "st_", st_overrides, mode, [st_ordinal])
+    left = _comparable(combine_rosters(rosters, [row_id], roster_overrides), cfg.AUDIT_ROSTER_PATTERNS, "r_", mode)
+    # The export is cut to one row per key before its other columns are normalized.
+    keyed = normalize_columns(_roles(st, cfg.AUDIT_EXPORT_PATTERNS, st_overrides, [st_ordinal]), ["nyssis"], mode)
     if dedupe_st:
-        right = first_per_key(right, ["st_nyssis"], [c(st_ordinal).asc()])
+        keyed = first_per_key(keyed, ["nyssis"], [c(st_ordinal).asc()])
+    right = _comparable(keyed, cfg.AUDIT_EXPORT_PATTERNS, "st_", mode, done=["nyssis"])
     right = right.withColumn("_found", F.lit(True)).drop(st_ordinal)
     joined = left_on_key(left, right, c("r_nyssis"), "st_nyssis", [row_id])
 
@@ -57,7 +75,7 @@ def audit(
     roster_sped, st_sped = present(strip(c("r_disability").cast("string"))), present(strip(c("st_disability").cast("string")))
     no_roster_exit, no_st_exit = ~present(c("r_exit")), ~present(c("st_exit"))
     compared = resolved.withColumns({
-        "id_match_status": rules.roster_id_match(found, F.col("resolved_studentid"), label),
+        "id_match_status": rules.roster_id_match(found, F.col("resolved_studentid"), F.col("school")),
         "is_iep_flag": rules.iep_flag(roster_sped),
         "roster_vs_disability_check": rules.roster_disability_check(found, roster_sped, st_sped),
         "entry_diff_days": diff_days(_as_date(c("r_entry")), _as_date(c("st_entry"))),
@@ -79,7 +97,7 @@ def audit(
         "final_validation_status",
         rules.severity(F.col("final_validation_status"), "roster").alias("severity"),
         rules.roster_action(match, rid, issue, entry_cat, check).alias("recommended_action"),
-        F.lit(label).alias("school"),
+        "school",
     )
 
 

@@ -12,6 +12,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Joins that share one shuffle are split too when a key is hot, at the price of one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM never compiles a method above 8000 bytes of bytecode. A stage of many text rules that would
+    # exceed it runs faster as separate projections, each split into small methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
