@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -30,9 +32,15 @@ def plain(df: DataFrame) -> DataFrame:
 class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = tune(spark), sf_dir
+        if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
+            # A local run: no cluster has named a shared folder.
+            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return self._tables[name]
 
     def st_enrollment(self) -> DataFrame:
         return self.spark.sql("SELECT " + sql.st_columns() + " FROM {orders}", orders=self.table("orders"))

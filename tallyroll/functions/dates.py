@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 
 from tallyroll import config as cfg
 
-# Accepted date shapes. y is a four-digit year, yy a two-digit one.
-SHAPES = ("M/d/y", "M/d/y time", "M-d-y", "M/d/yy", "M-d-yy", "d/M/y", "d/M/yy", "y-M-d", "y-M-d time", "y/M/d", "y.M.d", "yyyyMMdd")
+# Accepted date shapes. y is a four-digit year, yy a two-digit one; a time follows after a blank or a T.
+SHAPES = ("M/d/y", "M/d/y time", "M-d-y", "M/d/yy", "M-d-yy", "d/M/y", "d/M/yy", "y-M-d", "y-M-d time", "y-M-d T", "y/M/d", "y.M.d", "yyyyMMdd")
 _PARTS = {"yyyy": r"\d{4}", "yy": r"\d{2}", "y": r"\d{4}", "MM": r"\d{2}", "M": "0?[1-9]|1[0-2]", "dd": r"\d{2}", "d": r"\d{1,2}"}
-_TIME = r"[ T](?:[01]?\d|2[0-3]):[0-5]?\d(?::(?:[0-5]?\d|6[01]))?"
+_TIME = r"(?:[01]?\d|2[0-3]):[0-5]?\d(?::(?:[0-5]?\d|6[01]))?"
 # Fixed value: day zero of spreadsheet serial dates.
 SERIAL_ORIGIN = "1899-12-30"
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
@@ -26,9 +26,11 @@ NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 def _shape_pattern(shape: str, n: int) -> str:
     """'M/d/y time' -> pattern with the groups y<n>, M<n> and d<n>."""
+    if shape not in SHAPES:
+        raise ValueError(f"unknown date shape {shape!r}")
     day, _, time = shape.partition(" ")
     pattern = re.sub(r"y+|M+|d+", lambda t: f"(?<{t[0][0]}{n}>{_PARTS[t[0]]})", day.replace(".", r"\."))
-    return pattern + (_TIME if time else "")
+    return pattern + {"": "", "time": " " + _TIME, "T": "T" + _TIME}[time]
 
 
 def parse(s: Column, shapes: list[str]) -> Column:
@@ -85,7 +87,7 @@ def parse_billing(c: Column) -> Column:
     s = F.when(~F.lower(s).isin(*cfg.NULLS_BILLING_DATE), s)
     return F.coalesce(
         from_serial(s, 20000, 60000),
-        parse(s, ["M/d/y", "y-M-d", "M-d-y", "M/d/yy", "y/M/d", "y-M-d time", "M/d/y time"]),
+        parse(s, ["M/d/y", "y-M-d", "M-d-y", "M/d/yy", "y/M/d", "y-M-d time", "M/d/y time", "y-M-d T"]),
         F.when(~s.rlike(r"^\d{5,}$"), s.try_cast("date")),
     )
 
@@ -95,7 +97,7 @@ def parse_billing_mixed(c: Column) -> Column:
     s = _known(_strip(c), cfg.NULLS_BILLING_DATE_MIXED)
     return F.coalesce(
         from_serial(F.when(s.rlike(r"^[0-9]+\.?[0-9]*$"), s)),
-        parse(s, ["M/d/y", "y-M-d", "M/d/yy", "M-d-y", "y/M/d", "y-M-d time", "M/d/y time"]),
+        parse(s, ["M/d/y", "y-M-d", "M/d/yy", "M-d-y", "y/M/d", "y-M-d time", "M/d/y time", "y-M-d T"]),
     )
 
 

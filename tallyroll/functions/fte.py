@@ -7,6 +7,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -60,23 +62,26 @@ def student_weeks(start: Column, end: Column) -> Column:
     )
 
 
+def open_end(config: BillingConfig, method: str) -> date:
+    """The day that stands in for a missing end."""
+    return config.sheet_end_date if method == "sheet" else config.end_date
+
+
 def fte(start: Column, end: Column, config: BillingConfig = BillingConfig(), method: str = "weeks") -> Column:
     """FTE in [0, 1] of an enrollment from start to end; NULL start gives NULL.
 
     ``end`` may be NULL (still enrolled): the method's own end date stands in.
     """
+    if method not in ("weeks", "continuous", "sheet"):
+        raise ValueError(f"unknown method {method!r}")
+    last = F.coalesce(end, F.lit(open_end(config, method)))
     if method == "weeks":
-        weeks = student_weeks(start, F.coalesce(end, F.lit(config.end_date)))
-        return F.when(weeks.isNotNull(), F.round(F.least(weeks / F.lit(config.program_weeks), F.lit(1.0)), 3))
+        return F.when(start.isNotNull(), F.round(F.least(student_weeks(start, last) / config.program_weeks, F.lit(1.0)), 3))
     if method == "continuous":
-        last = F.least(F.coalesce(end, F.lit(config.end_date)), F.lit(config.end_date))
-        share = F.datediff(last, start) / F.lit(7) * F.lit(4) / F.lit(config.program_weeks)
+        share = F.datediff(F.least(last, F.lit(config.end_date)), start) / F.lit(7) * F.lit(4) / F.lit(config.program_weeks)
         return F.when(start.isNotNull(), F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), share)), 4))
-    if method == "sheet":
-        last = F.coalesce(end, F.lit(config.sheet_end_date))
-        share = F.round(F.datediff(last, start) / F.lit(7) / F.lit(config.program_weeks), 3)
-        return F.when(start.isNotNull(), F.least(F.lit(1.0), F.greatest(F.lit(0.0), share)))
-    raise ValueError(f"unknown method {method!r}")
+    share = F.round(F.datediff(last, start) / F.lit(7) / F.lit(config.program_weeks), 3)
+    return F.when(start.isNotNull(), F.least(F.lit(1.0), F.greatest(F.lit(0.0), share)))
 
 
 def billed_period(

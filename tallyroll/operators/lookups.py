@@ -1,9 +1,9 @@
 """Ordered fallback lookups ("waterfalls").
 
 A row may be found by several keys, tried in a fixed order. Instead of one join per
-key, each row that needs a value emits (level, key) pairs, one join finds all
-levels at once, and the lowest level wins. Only rows that need a value are
-shuffled, and a NULL key emits nothing.
+key, each row emits its (level, key) pairs, one join finds all levels at once, and
+the lowest level wins. The rows travel with their pairs, so the input is read once
+however many lookups follow one another.
 """
 
 from __future__ import annotations
@@ -16,33 +16,37 @@ from pyspark.sql import functions as F
 from tallyroll.operators.keys import c
 
 
-def explode_levels(df: DataFrame, levels: Sequence[Column], keep: Sequence[Column]) -> DataFrame:
-    """One row per known key: level, key and the kept columns."""
-    pairs = F.array(*[F.struct(F.lit(i).alias("level"), k.alias("key")) for i, k in enumerate(levels)])
-    return df.select(*keep, F.inline(pairs)).filter("key is not null")
+def _pairs(levels: Sequence[Column], first: int = 0) -> list[Column]:
+    return [F.struct(F.lit(i).alias("level"), k.alias("key")) for i, k in enumerate(levels, first)]
 
 
 def level_table(source: DataFrame, levels: Sequence[Column], aggregates: Sequence[Column], keep: Sequence[Column],
                 unique_levels: Sequence[int] = ()) -> DataFrame:
     """Lookup side: one row per (level, key). Levels in ``unique_levels`` answer only with exactly one source row."""
-    grouped = explode_levels(source, levels, keep).groupBy("level", "key").agg(
-        *aggregates, F.count(F.lit(1)).alias("_rows")
-    )
+    tagged = source.select(*keep, F.inline(F.array(*_pairs(levels)))).filter("key is not null")
+    grouped = tagged.groupBy("level", "key").agg(*aggregates, F.count(F.lit(1)).alias("_rows"))
     if unique_levels:
         grouped = grouped.filter(~F.col("level").isin(*unique_levels) | (F.col("_rows") == 1))
     return grouped.drop("_rows")
 
 
-def lookup(rows: DataFrame, row_id: str, levels: Sequence[Column], table: DataFrame, payload: Sequence[str]) -> DataFrame:
-    """(row_id, level, payload...) of the winning level for every row that is found."""
-    wanted = explode_levels(rows, levels, [c(row_id)])
-    found = wanted.join(table, ["level", "key"])
-    won = found.groupBy(c(row_id)).agg(F.min_by(F.struct("level", *[c(p) for p in payload]), F.col("level")).alias("_won"))
-    return won.select(c(row_id), F.col("_won.level").alias("level"), *[F.col("_won")[p].alias(p) for p in payload])
-
-
 def patch(df: DataFrame, row_id: str, needs: Column, levels: Sequence[Column], table: DataFrame, payload: Sequence[str]) -> DataFrame:
-    """Left-join the winning payload onto every row; rows that need nothing get NULL and never shuffle for the lookup."""
-    won = lookup(df.filter(needs), row_id, levels, table, payload).drop("level")
-    won = won.withColumnRenamed(row_id, "_won_id")
-    return df.join(won, c(row_id) == F.col("_won_id"), "left").drop("_won_id")
+    """Every row plus the payload of its winning level, NULL where nothing was needed or found.
+
+    A row that needs nothing, or knows no key, emits one pair that matches nothing and
+    is spread over the shuffle.
+    """
+    others = [n for n in df.columns if n != row_id]
+    row = F.struct(*[c(n).alias(f"f{i}") for i, n in enumerate(others)])
+    wanted = [F.when(needs, k) for k in levels]
+    nothing = F.concat(F.lit("\u0000"), F.xxhash64(c(row_id)).cast("string"))
+    tagged = df.select(c(row_id), row.alias("_row"), F.inline(F.array(*_pairs([nothing, *wanted], -1)))).filter("key is not null")
+    side = table.select(F.col("level").alias("_level"), F.col("key").alias("_key"), *[c(p).alias(f"_p{i}") for i, p in enumerate(payload)])
+    joined = tagged.join(side, (F.col("level") == F.col("_level")) & (F.col("key") == F.col("_key")), "left")
+    # One row per emitted pair of a row, so no group here exceeds the number of levels.
+    won = joined.groupBy(c(row_id)).agg(
+        F.any_value(F.col("_row")).alias("_row"),
+        F.min_by(F.struct(*[F.col(f"_p{i}") for i in range(len(payload))]), F.col("_level")).alias("_won"))
+    return won.select(
+        c(row_id), *[F.col("_row")[f"f{i}"].alias(n) for i, n in enumerate(others)],
+        *[F.col("_won")[f"_p{i}"].alias(p) for i, p in enumerate(payload)])

@@ -112,6 +112,12 @@ def counts_by(df: DataFrame, by: Sequence[str], name: str = "rows") -> DataFrame
     return df.groupBy(*[c(b) for b in by]).agg(F.count(F.lit(1)).alias(name))
 
 
+def distributions(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(field, value, rows) of several columns in one pass over the table."""
+    pairs = F.array(*[F.struct(F.lit(n).alias("field"), c(n).cast("string").alias("value")) for n in columns])
+    return df.select(F.inline(pairs)).groupBy("field", "value").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def fte_totals(df: DataFrame, charter: str = "Charter_Source Ticket #", fte: str = "SCSD FTE") -> DataFrame:
     """FTE per charter and in all (charter NULL), three decimals."""
     return df.rollup(c(charter)).agg(F.round(F.sum(c(fte)), 3).alias("fte"))

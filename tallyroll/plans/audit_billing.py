@@ -157,7 +157,10 @@ def with_fte(judged: DataFrame, config: BillingConfig = BillingConfig(), method:
     else:
         start, end = fte.billed_period(c("st_entry"), c("st_exit"), c("charter_entry"), c("charter_exit"), config)
     sped: Column = c("sped_status") == "SPED"
-    return judged.withColumn("st_fte", fte.fte(start, end, config, method)).withColumns({
+    # The period gets its own projection: the week rule names its two dates dozens of times.
+    dated = judged.withColumns({"_start": start, "_end": F.coalesce(end, F.lit(fte.open_end(config, method)))})
+    counted = dated.withColumn("st_fte", fte.fte(F.col("_start"), F.col("_end"), config, method)).drop("_start", "_end")
+    return counted.withColumns({
         "fte_variance": fte.variance(c("charter_fte"), c("st_fte")),
         "st_sped_fte": F.when(sped, c("st_fte")),
         "charter_sped_fte": F.when(sped, c("charter_fte")),

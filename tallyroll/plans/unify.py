@@ -117,7 +117,8 @@ def _long(name: Column) -> Column:
 
 
 def missing(col: Column, *tokens: str) -> Column:
-    return col.isNull() | col.isin("0", *tokens)
+    """TRUE/FALSE, never NULL: no value, '0' or one of the tokens."""
+    return ~text.present(col, ("0", *tokens))
 
 
 def _patch_id(roster: DataFrame, st: DataFrame, row_id: str, target: str, st_target: str, direct: str, st_direct: str) -> DataFrame:
@@ -160,8 +161,16 @@ def patch_dob_and_school(roster: DataFrame, st: DataFrame, row_id: str) -> DataF
 
 
 def patch_all(roster: DataFrame, st: DataFrame, row_id: str) -> DataFrame:
-    """Student IDs, then state IDs (seeing the new student IDs), then birth date and school."""
-    return patch_dob_and_school(patch_nyssis(patch_student_id(roster, st, row_id), st, row_id), st, row_id)
+    """Student IDs, then state IDs (seeing the new student IDs), then birth date and school.
+
+    Complete rows take no part in the lookups and are added back unchanged.
+    """
+    incomplete = (
+        missing(c("Student ID")) | missing(c("NYSSIS ID")) | c("DOB").isNull() | missing(c("School Name"), "", "NA"))
+    gaps = roster.filter(incomplete)
+    for step in (patch_student_id, patch_nyssis, patch_dob_and_school):
+        gaps = step(gaps, st, row_id)
+    return roster.filter(~incomplete).unionByName(gaps)
 
 
 def patch_counters(before: DataFrame, after: DataFrame, row_id: str) -> DataFrame:
@@ -251,7 +260,7 @@ def _export_table(st: DataFrame, charters: Sequence[cfg.CharterSpec]) -> DataFra
     start = F.coalesce(c("start"), F.lit(date(2000, 1, 1)))
     brief = F.struct(c("school").alias("school"), c("start").alias("start"), c("end").alias("end"))
     whole = F.struct(*[c(n).alias(n) for n in ("nyssis", "sid", "lname_text", "school", "start", "end")])
-    by_recency = F.struct(start, -c("st_ord.source_ord"), -c("st_ord.row_ord"))
+    by_recency = F.struct(start, -F.col("st_ord")["source_ord"], -F.col("st_ord")["row_ord"])
     aggregates = [F.min_by(whole, c("st_ord")).alias("first")]
     for i, spec in enumerate(charters):
         ok = school_matches(c("school"), spec)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     # Parsed dates and printed dates must not depend on where the driver runs.
@@ -31,3 +31,12 @@ def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
     if folder is None:
         raise ValueError("spark.checkpoint.dir is not set and no folder was given")
     return folder
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write the table to the checkpoint folder and go on from the files.
+
+    For a table that several later steps read: it is computed once and survives the
+    loss of an executor. The folder is the cluster's spark.checkpoint.dir.
+    """
+    return df.checkpoint(eager=True)

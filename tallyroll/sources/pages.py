@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import json
 import math
+import sys
 from collections.abc import Callable, Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -47,6 +49,32 @@ class PageFiles:
             return []
 
 
+class ParquetPages:
+    """Fetch rows [offset, offset + limit) of one Parquet file, reading only the row groups that hold them."""
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def count(self) -> int:
+        import pyarrow.parquet as pq
+
+        return pq.read_metadata(self.path).num_rows
+
+    def __call__(self, offset: int, limit: int) -> list[dict]:
+        import pyarrow.parquet as pq
+
+        rows: list[dict] = []
+        with pq.ParquetFile(self.path) as file:
+            start = 0
+            for group in range(file.num_row_groups):
+                size = file.metadata.row_group(group).num_rows
+                if start < offset + limit and start + size > offset:
+                    first = max(offset - start, 0)
+                    rows += file.read_row_group(group).slice(first, offset + limit - start - first).to_pylist()
+                start += size
+        return rows
+
+
 class RestPages:
     """Fetch from a REST endpoint with $limit/$offset/$order paging."""
 
@@ -100,6 +128,9 @@ def register(spark: SparkSession, fetch: Fetch, schema: StructType = BRONZE_SCHE
         def reader(self, schema: StructType) -> DataSourceReader:
             return _Reader(fetch, schema, page_limit, max_records, tasks)
 
+    # Ship the reader and the transport by value, so the executors need no copy of their modules.
+    for module in {__name__, type(fetch).__module__} - {"__main__", "builtins"}:
+        cloudpickle.register_pickle_by_value(sys.modules[module])
     spark.dataSource.register(PagedRecords)
     return name
 

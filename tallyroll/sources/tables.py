@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyroll import config as cfg
@@ -170,12 +170,17 @@ def select_by_header(rows: DataFrame, patterns: dict[str, Sequence[str]]) -> Dat
 
     Same order as find_column: the first pattern that fits any header, then the first such header.
     """
-    columns = []
-    for role, alternatives in patterns.items():
-        spots = [F.array_position(F.transform("header", lambda h, p=p: h.rlike("(?i)" + p)), True) for p in alternatives]
-        spot = F.coalesce(*[F.nullif(s, F.lit(0).cast("long")) for s in spots]).cast("int")
-        columns.append(F.nullif(F.get("cells", spot - 1), F.lit("")).alias(role))
-    return rows.select("file", "pos", *columns)
+    def first_match(pattern: str) -> Column:
+        """1-based position of the first header that matches, NULL if none does."""
+        position = F.array_position(F.transform("header", lambda h: h.rlike("(?i)" + pattern)), True)
+        return F.when(position > 0, position.cast("int"))
+
+    spots = {role: F.coalesce(*[first_match(p) for p in alternatives]) for role, alternatives in patterns.items()}
+    # Positions are worked out once per header, not once per row.
+    headers = rows.select("file", "header").distinct().select(
+        F.col("file").alias("_file"), *[spot.alias(f"_{role}") for role, spot in spots.items()])
+    cell = lambda role: F.nullif(F.get("cells", F.col(f"_{role}") - 1), F.lit(""))
+    return rows.join(headers, F.col("file") == F.col("_file")).select("file", "pos", *[cell(role).alias(role) for role in patterns])
 
 
 def newest_snapshot(df: DataFrame, modified: str = "file_modification_time") -> DataFrame:
