@@ -276,15 +276,13 @@ def _prepared_export(i: Inputs) -> DataFrame:
 
 @query
 def latest_enrollment(i: Inputs) -> DataFrame:
-    fields = ["nyssis", "st_entry", "st_exit", "st_school", "st_student_id"]
-    latest = keys.latest_with_count(_prepared_export(i).select(*fields, "enrollment_seq"), "nyssis", "st_entry", "enrollment_seq")
-    return latest.select(*fields, "enrollment_count", keys.enrollment_label(F.col("enrollment_count")).alias("label"))
+    latest = audit_billing.latest_by_nyssis(_prepared_export(i), "enrollment_seq")
+    return latest.withColumn("label", keys.enrollment_label(F.col("enrollment_count")))
 
 
 @query
 def latest_by_name_key(i: Inputs) -> DataFrame:
-    return keys.latest_per_key(_prepared_export(i), ["name_key"], "st_entry", "enrollment_seq").select(
-        "name_key", "nyssis", "st_entry", "st_school")
+    return audit_billing.latest_by_name(_prepared_export(i), "enrollment_seq").select("name_key", "nyssis", "st_entry", "st_school")
 
 
 def _xref(i: Inputs) -> DataFrame:

@@ -15,13 +15,10 @@ WHITE_SPACE = " \t\n\r\f\v\u00a0"
 # Texts standing for "no value". Each caller of the data uses its own list.
 NULLS_AUDIT = ("", "NA", "N/A", "NULL")
 NULLS_ROSTER = ("NA", "N/A", "NULL", "null", "")
-NULLS_ROSTER_DATE = ("", "NA", "N/A", "null", "NULL", "0")
 NULLS_ID = ("", "NA", "NaN", "NULL")
 NULLS_EXPORT_ID = ("NA", "NULL", "", "0")
 NULLS_EXPORT_NAME = ("NA", "NULL", "")
 NULLS_LOOKUP_KEY = ("0", "", "Not Found")
-NULLS_BILLING_DATE = ("", "nan", "none")
-NULLS_BILLING_DATE_MIXED = ("", "N/A", "#N/A")
 
 # Header patterns, searched in this order (first pattern wins).
 AUDIT_ROSTER_PATTERNS = {

@@ -13,7 +13,7 @@ from datetime import date
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallyroll import config as cfg
+from tallyroll.config import WHITE_SPACE
 
 # Accepted date shapes. y is a four-digit year, yy a two-digit one; a time follows after a blank or a T.
 SHAPES = ("M/d/y", "M/d/y time", "M-d-y", "M/d/yy", "M-d-yy", "d/M/y", "d/M/yy", "y-M-d", "y-M-d time", "y-M-d T", "y/M/d", "y.M.d", "yyyyMMdd")
@@ -71,44 +71,43 @@ def from_serial(s: Column, low: float | None = None, high: float | None = None)
     return F.when(inside, F.date_add(F.lit(SERIAL_ORIGIN).cast("date"), F.floor(n).cast("int")))
 
 
+# Pseudo-null texts ("N/A", "none", ...) fit no shape and no number, so they need no test of their own.
+
+
 def normalize_dob(c: Column) -> Column:
     """Birth date of any of the accepted shapes."""
-    s = _known(F.upper(_strip(c)), cfg.NULLS_AUDIT)
+    s = F.upper(_strip(c))
     return F.coalesce(
-        from_serial(s, 20000, 60000),
         parse(s, ["yyyyMMdd", "M/d/y", "y-M-d", "M-d-y", "M/d/yy", "M-d-yy", "d/M/y", "y/M/d", "y.M.d"]),
+        from_serial(s, 20000, 60000),
         parse_month_name(s),
     )
 
 
 def parse_billing(c: Column) -> Column:
-    """Billing rosters: bounded serials, eight shapes, then Spark's own reading of the text."""
+    """Billing rosters: eight shapes, bounded serials, then Spark's own reading of the text."""
     s = _strip(c)
-    s = F.when(~F.lower(s).isin(*cfg.NULLS_BILLING_DATE), s)
     return F.coalesce(
-        from_serial(s, 20000, 60000),
         parse(s, ["M/d/y", "y-M-d", "M-d-y", "M/d/yy", "y/M/d", "y-M-d time", "M/d/y time", "y-M-d T"]),
+        from_serial(s, 20000, 60000),
         F.when(~s.rlike(r"^\d{5,}$"), s.try_cast("date")),
     )
 
 
 def parse_billing_mixed(c: Column) -> Column:
-    """Billing rosters, other reading: any number is a serial."""
-    s = _known(_strip(c), cfg.NULLS_BILLING_DATE_MIXED)
+    """Billing rosters, other reading: any unsigned number is a serial."""
+    s = _strip(c)
     return F.coalesce(
-        from_serial(F.when(s.rlike(r"^[0-9]+\.?[0-9]*$"), s)),
         parse(s, ["M/d/y", "y-M-d", "M/d/yy", "M-d-y", "y/M/d", "y-M-d time", "M/d/y time", "y-M-d T"]),
+        F.when(s.rlike(r"^[0-9]+\.?[0-9]*$"), from_serial(s)),
     )
 
 
 def parse_roster(c: Column, low: float = 20000, high: float | None = None) -> Column:
-    """Unified-roster dates: serials between the bounds, else month first, year first, day first."""
-    s = _known(_strip(c), cfg.NULLS_ROSTER_DATE)
+    """Unified-roster dates: month first, year first or day first with any separator; else serials between the bounds."""
+    s = _strip(c)
     slashed = F.regexp_replace(s, r"[-. ]+", "/")
-    return F.coalesce(
-        from_serial(s, low, high),
-        parse(slashed, ["M/d/y", "M/d/yy", "y/M/d", "d/M/y", "d/M/yy"]),
-    )
+    return F.coalesce(parse(slashed, ["M/d/y", "M/d/yy", "y/M/d", "d/M/y", "d/M/yy"]), from_serial(s, low, high))
 
 
 def parse_roster_recent(c: Column) -> Column:
@@ -132,8 +131,4 @@ def short_date(d: Column) -> Column:
 
 
 def _strip(c: Column) -> Column:
-    return F.btrim(c.cast("string"), F.lit(cfg.WHITE_SPACE))
-
-
-def _known(s: Column, tokens: tuple[str, ...]) -> Column:
-    return F.when(~s.isin(*tokens), s)
+    return F.btrim(c.cast("string"), F.lit(WHITE_SPACE))

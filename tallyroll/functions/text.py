@@ -114,11 +114,10 @@ def normalize_columns(df: DataFrame, columns: Iterable[str], mode: str = "refere
 
 def name_key(*parts: Column) -> Column:
     """Upper/trimmed parts joined by '|'; NULL if any part is NULL, so it can never match by accident."""
-    cleaned = [upper_trim(p) for p in parts]
-    known = cleaned[0].isNotNull()
-    for p in cleaned[1:]:
-        known = known & p.isNotNull()
-    return F.when(known, F.concat_ws("|", *cleaned))
+    pieces = [upper_trim(parts[0])]
+    for part in parts[1:]:
+        pieces += [F.lit("|"), upper_trim(part)]
+    return F.concat(*pieces)
 
 
 def resolve_id(*candidates: Column) -> Column:

@@ -44,22 +44,29 @@ def reconcile(roster_rows: DataFrame, st_keys: DataFrame) -> DataFrame:
 
 
 def date_variance(st: DataFrame, roster: DataFrame) -> DataFrame:
-    """schoolname, entry_diff_days of every pair of enrollment and roster row with both dates."""
-    left = st.filter(F.col("st_studentenrollment_startdate").isNotNull()).select(
-        F.col("st_nyssis_id").cast("string").alias("_k"), "schoolname", "st_studentenrollment_startdate")
-    right = roster.filter(F.col("st_entry_date").isNotNull()).select(F.col("nyssis_id").cast("string").alias("_k"), "st_entry_date")
+    """(schoolname, entry_diff_days, n): signed differences over all pairs of enrollment and roster rows with both dates.
+
+    Both sides are counted per key and date before the join, so a key with many rows
+    on both sides joins its dates, not its rows; ``n`` is the number of pairs.
+    """
+    left = st.filter(F.col("st_studentenrollment_startdate").isNotNull() & F.col("st_nyssis_id").isNotNull()).groupBy(
+        F.col("st_nyssis_id").cast("string").alias("_k"), "schoolname", F.col("st_studentenrollment_startdate").alias("_st"),
+    ).agg(F.count(F.lit(1)).alias("_n_st"))
+    right = roster.filter(F.col("st_entry_date").isNotNull() & F.col("nyssis_id").isNotNull()).groupBy(
+        F.col("nyssis_id").cast("string").alias("_k"), F.col("st_entry_date").alias("_roster"),
+    ).agg(F.count(F.lit(1)).alias("_n_roster"))
     return left.join(right, "_k").select(
-        "schoolname", F.datediff("st_entry_date", "st_studentenrollment_startdate").alias("entry_diff_days"))
+        "schoolname", F.datediff("_roster", "_st").alias("entry_diff_days"), (F.col("_n_st") * F.col("_n_roster")).alias("n"))
 
 
 def variance_stats(diffs: DataFrame, limit: int = 5) -> DataFrame:
     """Per school: pairs, mean and exact median of the absolute difference, pairs beyond the limit and their rate.
 
-    The differences are first counted per (school, days): a histogram as long as the
+    The differences are first summed up per (school, days): a histogram as long as the
     calendar, from which all figures follow, the exact median included.
     """
     days = F.col("days")
-    histogram = diffs.groupBy("schoolname", F.abs("entry_diff_days").alias("days")).agg(F.count(F.lit(1)).alias("n"))
+    histogram = diffs.groupBy("schoolname", F.abs("entry_diff_days").alias("days")).agg(F.sum("n").alias("n"))
     pairs, over = F.sum("n"), F.sum(F.when(days > limit, F.col("n")).otherwise(0))
     return histogram.groupBy("schoolname").agg(
         pairs.alias("compared_rows"),

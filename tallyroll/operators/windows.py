@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from tallyroll.operators.keys import c
 
-# Rows of one period are spread over this many blocks.
-BLOCKS_PER_PERIOD = 16
+# Rows of one period are spread over up to this many blocks. A block costs a row in the look-back
+# over blocks only if it holds rows, so a period with one row still has one block.
+BLOCKS_PER_PERIOD = 4096
 # Value buckets per power of two; more buckets, smaller window partitions.
 BUCKETS_PER_OCTAVE = 16
 

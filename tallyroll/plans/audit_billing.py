@@ -51,40 +51,54 @@ def prepare_roster(roster: DataFrame, parse=dates.parse_billing) -> DataFrame:
 
 
 def prepare_export(st: DataFrame, parse=dates.parse_billing) -> DataFrame:
-    """Clean export roles: key, parsed dates, name key; rows without a state ID are dropped."""
-    return st.filter(present(strip(c("nyssis")))).withColumns({
-        "nyssis": strip_decimal_zero(c("nyssis")),
-        "st_entry": parse(c("entry")), "st_exit": parse(c("exit")),
+    """Clean export roles: key, entry date, name key; rows without a state ID are dropped.
+
+    The exit stays text: only the rows that win a lookup get theirs parsed.
+    """
+    cleaned = st.filter(present(strip(c("nyssis")))).withColumns({
+        "nyssis": strip_decimal_zero(c("nyssis")), "st_entry": parse(c("entry")),
         "st_school": strip(c("school")), "st_student_id": strip(c("student_id")),
-        "name_key": name_key(c("first_name"), c("last_name"), parse(c("dob")), c("grade")),
     })
+    return cleaned.withColumn("name_key", name_key(c("first_name"), c("last_name"), parse(c("dob")), c("grade")))
+
+
+def latest_by_nyssis(export: DataFrame, ordinal: str, parse=dates.parse_billing) -> DataFrame:
+    """Latest enrollment and number of enrollments per state ID, in one aggregation of the export."""
+    fields = ["nyssis", "st_entry", "exit", "st_school", "st_student_id"]
+    latest = latest_with_count(export.select(*fields, ordinal), "nyssis", "st_entry", ordinal)
+    return latest.withColumn("st_exit", parse(c("exit"))).drop("exit", ordinal)
+
+
+def latest_by_name(export: DataFrame, ordinal: str, parse=dates.parse_billing) -> DataFrame:
+    """Latest enrollment per name + birth date + grade."""
+    fields = ["name_key", "nyssis", "st_entry", "exit", "st_school", "st_student_id"]
+    latest = latest_per_key(export.select(*fields, ordinal), ["name_key"], "st_entry", ordinal)
+    return latest.withColumn("st_exit", parse(c("exit"))).drop("exit", ordinal)
 
 
 def match_latest(roster: DataFrame, export: DataFrame, row_id: str, ordinal: str, parse=dates.parse_billing,
                  name_fallback: bool = True) -> DataFrame:
     """Roster with the latest enrollment per state ID and, where that gave nothing, per name + birth date + grade.
 
-    Latest row and enrollment count come from one aggregation of the export. The
-    fallback key is NULL on rows that need none, so those rows match nothing there.
+    The fallback key is NULL on rows that need none, so those rows match nothing there.
     """
-    fields = ["nyssis", "st_entry", "st_exit", "st_school", "st_student_id"]
-    latest = latest_with_count(export.select(*fields, ordinal), "nyssis", "st_entry", ordinal).drop(ordinal)
-    joined = left_on_key(roster, latest.withColumnRenamed("nyssis", "_nyssis"), c("nyssis"), "_nyssis", [row_id])
+    fields = ["st_entry", "st_exit", "st_school", "st_student_id"]
+    latest = latest_by_nyssis(export, ordinal, parse).withColumnRenamed("nyssis", "_nyssis")
+    joined = left_on_key(roster, latest, c("nyssis"), "_nyssis", [row_id])
     missing = F.col("st_entry").isNull() & F.col("st_exit").isNull() & F.col("st_school").isNull()
     if not name_fallback:
         # Here the key alone decides, even if the matched row carries no dates.
         return joined.withColumn(
             "match_method", F.when(F.col("enrollment_count").isNull(), rules.NOT_FOUND).otherwise("NYSSIS"))
-    by_name = latest_per_key(export.select("name_key", *fields[1:], ordinal), ["name_key"], "st_entry", ordinal)
-    by_name = by_name.select("name_key", *[F.col(n).alias(f"_{n}") for n in fields[1:]])
+    by_name = latest_by_name(export, ordinal, parse).select("name_key", *[F.col(n).alias(f"_{n}") for n in fields])
     key = F.when(missing, name_key(c("first_name"), c("last_name"), parse(c("dob")), c("grade")))
     found = left_on_key(joined, by_name, key, "name_key", [row_id]).withColumn("_missing", missing)
     method = (
         F.when(~F.col("_missing"), "NYSSIS").when(F.col("_st_entry").isNotNull(), "Name+DOB+Grade").otherwise(rules.NOT_FOUND)
     )
     return found.withColumn("match_method", method).withColumns({
-        n: F.when(F.col("_missing"), F.coalesce(f"_{n}", n)).otherwise(F.col(n)) for n in fields[1:]
-    }).drop("_missing", *[f"_{n}" for n in fields[1:]])
+        n: F.when(F.col("_missing"), F.coalesce(f"_{n}", n)).otherwise(F.col(n)) for n in fields
+    }).drop("_missing", *[f"_{n}" for n in fields])
 
 
 def match_prepopulated(roster: DataFrame, parse=dates.parse_billing) -> DataFrame:

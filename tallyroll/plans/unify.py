@@ -108,7 +108,7 @@ def _names() -> tuple[Column, Column, Column]:
 
 def _both(a: Column, b: Column) -> Column:
     """Composite key, NULL if a part is NULL."""
-    return F.when(a.isNotNull() & b.isNotNull(), F.concat(a, F.lit("\u001f"), b))
+    return F.concat(a, F.lit("\u001f"), b)
 
 
 def _long(name: Column) -> Column:
