@@ -121,7 +121,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     A file is one value here, because only that gives line numbers; rosters are
     exported from worksheets, which end at 1,048,576 rows.
     """
-    files = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     return files.select("file", F.posexplode(F.split("value", r"\r\n|\n|\r")).alias("pos", "line"))
 
 
@@ -140,13 +140,13 @@ def header_rows(lines: DataFrame, peek: int = 10) -> DataFrame:
     """
     rows = with_cells(lines.filter(F.col("pos") < peek + 2))
     filled = F.size(F.filter("cells", lambda x: x != ""))
-    head = rows.select("file", "pos", filled.alias("filled"), F.element_at("cells", 1).alias("first"))
+    head = rows.select("file", "pos", filled.alias("filled"), F.get("cells", F.lit(0)).alias("first"))
     # At most peek + 2 rows per file reach this aggregation, whatever the size of the file.
     peeked = head.groupBy("file").agg(
         F.sort_array(F.collect_list(F.struct("pos", "filled", "first"))).alias("rows"),
         F.min(F.when((F.col("filled") > 0) & (F.col("pos") < peek), F.col("pos"))).alias("start"),
     )
-    at = lambda offset: F.element_at(F.filter("rows", lambda r: r["pos"] == F.col("start") + offset), 1)
+    at = lambda offset: F.get(F.filter("rows", lambda r: r["pos"] == F.col("start") + offset), F.lit(0))
     legend = F.coalesce(F.upper(at(0)["first"]).rlike("COLOR.*KEY"), F.lit(False))
     title = (at(0)["filled"] <= 2) & F.coalesce(at(1)["filled"] >= 4, F.lit(False))
     return peeked.select(
