@@ -455,6 +455,13 @@ def unified_patch_and_classify(i: Inputs) -> DataFrame:
     return done.select("row_id", "Charter_Source Ticket #", "NYSSIS ID", "Last Name", "School Name", "Student ID", "Student Status", "review_notes")
 
 
+@query
+def unified_classify_counters(i: Inputs) -> DataFrame:
+    before = _built(i)
+    after = unify.patch_and_classify(before, unify.dedupe_export(_exports(i)), "row_id")
+    return unify.patch_counters(before, after, "row_id", unify.BLANKS)
+
+
 @query
 def unified_not_found(i: Inputs) -> DataFrame:
     return unify.not_found(_final_roster(i)).select("row_id", "NYSSIS ID", "Student Status", "Action Needed")

@@ -32,7 +32,7 @@ def blank_to_null(c: Column) -> Column:
 
 def present(c: Column, tokens: Iterable[str] = ("",)) -> Column:
     """TRUE/FALSE, never NULL: the text has a value outside the tokens."""
-    return F.coalesce(~c.isin(*tokens), F.lit(False))
+    return F.coalesce(~c.isin(*tokens), F.lit(False)) if tokens else c.isNotNull()
 
 
 def strip_decimal_zero(c: Column) -> Column:

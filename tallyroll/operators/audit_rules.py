@@ -24,6 +24,36 @@ MISSING, EXACT, WITHIN, RISK = "Missing Date", "Exact Match", "Within Tolerance"
 INVALID_ID, INCOMPLETE, MISMATCH = "Invalid - No ID Match", "Incomplete - Missing Dates", "Invalid - Date Mismatch"
 VALID, WARNING = "Valid", "Valid with Warning"
 
+# Recommended actions, in the order in which they are looked up.
+SPINE_EXIT_ACTIONS = {
+    "Missing Roster Exit": "Add exit date to Southside roster",
+    "Missing ST Exit": "Verify exit date in StudentTracker",
+    "Both Dates Missing": "Investigate enrollment record - both exit dates absent",
+    "Roster Exit Late": "Review late exit discrepancy with billing team",
+    "Roster Exit Early": "Review early exit discrepancy with billing team",
+}
+SPINE_ENTRY_ACTIONS = {RISK: "Do not approve billing prior to ST entry", MISSING: "Add entry date to enrollment record"}
+SPINE_NO_ACTION = "No Action Required"
+ROSTER_ID_ACTIONS = (
+    "Locate student in SchoolTool; confirm NYSSIS on roster.", "Resolve Student ID via NYSSIS mapping or Universal ID.")
+ROSTER_EXIT_ACTIONS = {
+    "Missing Roster Exit": "Add exit/withdrawal date to roster.",
+    "Missing ST Exit": "Enter exit date in SchoolTool.",
+    "Both Dates Missing": "Verify enrollment status; both exit dates absent.",
+    "Roster Exit Late (>5)": "Reconcile roster exit date - billed beyond ST exit.",
+    "Roster Exit Early (<-5)": "Reconcile roster exit date - earlier than ST exit.",
+}
+ROSTER_ENTRY_ACTIONS = {RISK: "Reconcile entry dates - FTE/billing risk.", MISSING: "Add missing entry/enrollment date."}
+ROSTER_SPED_ACTIONS = {
+    "Mismatch - Roster SPED / ST Gen Ed": "Confirm IEP classification; roster says SPED.",
+    "Mismatch - Roster Gen Ed / ST SPED": "Confirm IEP classification; ST says SPED.",
+}
+ROSTER_NO_ACTION = "No action - record valid."
+
+
+def _looked_up(value: Column, actions: dict[str, str]) -> list[tuple[Column, str]]:
+    return [(value == label, action) for label, action in actions.items()]
+
 
 def id_source(student_id: Column, universal_id: Column, mapped_id: Column, blank_counts_as_value: bool) -> Column:
     """Which ID won. The spine dialect looks at NULL only, so '' still names the student ID."""
@@ -132,31 +162,17 @@ def severity(status: Column, dialect: str) -> Column:
 
 
 def spine_action(exit_issue: Column, entry: Column) -> Column:
-    return ladder([
-        (exit_issue == "Missing Roster Exit", "Add exit date to Southside roster"),
-        (exit_issue == "Missing ST Exit", "Verify exit date in StudentTracker"),
-        (exit_issue == "Both Dates Missing", "Investigate enrollment record - both exit dates absent"),
-        (exit_issue == "Roster Exit Late", "Review late exit discrepancy with billing team"),
-        (exit_issue == "Roster Exit Early", "Review early exit discrepancy with billing team"),
-        (entry == RISK, "Do not approve billing prior to ST entry"),
-        (entry == MISSING, "Add entry date to enrollment record"),
-    ], "No Action Required")
+    """The exit decides, then the entry."""
+    return ladder(_looked_up(exit_issue, SPINE_EXIT_ACTIONS) + _looked_up(entry, SPINE_ENTRY_ACTIONS), SPINE_NO_ACTION)
 
 
 def roster_action(id_match: Column, resolved: Column, exit_issue: Column, entry: Column, disability: Column) -> Column:
-    return ladder([
-        (id_match == NO_ROSTER, "Locate student in SchoolTool; confirm NYSSIS on roster."),
-        (resolved == "", "Resolve Student ID via NYSSIS mapping or Universal ID."),
-        (exit_issue == "Missing Roster Exit", "Add exit/withdrawal date to roster."),
-        (exit_issue == "Missing ST Exit", "Enter exit date in SchoolTool."),
-        (exit_issue == "Both Dates Missing", "Verify enrollment status; both exit dates absent."),
-        (exit_issue == "Roster Exit Late (>5)", "Reconcile roster exit date - billed beyond ST exit."),
-        (exit_issue == "Roster Exit Early (<-5)", "Reconcile roster exit date - earlier than ST exit."),
-        (entry == RISK, "Reconcile entry dates - FTE/billing risk."),
-        (entry == MISSING, "Add missing entry/enrollment date."),
-        (disability == "Mismatch - Roster SPED / ST Gen Ed", "Confirm IEP classification; roster says SPED."),
-        (disability == "Mismatch - Roster Gen Ed / ST SPED", "Confirm IEP classification; ST says SPED."),
-    ], "No action - record valid.")
+    """The identity decides, then exit, entry and special-education record."""
+    locate, resolve = ROSTER_ID_ACTIONS
+    return ladder(
+        [(id_match == NO_ROSTER, locate), (resolved == "", resolve)]
+        + _looked_up(exit_issue, ROSTER_EXIT_ACTIONS) + _looked_up(entry, ROSTER_ENTRY_ACTIONS)
+        + _looked_up(disability, ROSTER_SPED_ACTIONS), ROSTER_NO_ACTION)
 
 
 def severity_order(sev: Column) -> Column:

@@ -9,9 +9,22 @@ from tallyroll.config import BillingConfig
 from tallyroll.functions.dates import clamp_to
 from tallyroll.functions.ladders import ladder
 
+# Match and status labels.
 NOT_FOUND = "NOT FOUND"
 NEEDS_REVIEW = "Not Found-Needs Manual Review"
 UPDATE_IN_ST = "(Discrepancy – update in ST)"
+# Notes for the reviewer, and how an analyst's final status can depart from the computed one.
+NOTE_BOTH = "Entry AND exit date discrepancy >3 days - update charter attendance record in ST"
+NOTE_ENTRY = "Entry date discrepancy >3 days - update charter school attendance record in ST"
+NOTE_EXIT = "Exit date discrepancy >3 days - update charter school attendance record in ST"
+NOTE_NO_RECORD = "Student not found in ST Enrollment report"
+DIFFERENCES = {
+    "A": "R Engine: Not Found (no ST data) → Analyst manually resolved to Good",
+    "B": "R Engine: Not Found (no ST data) → Analyst manually confirmed No Good",
+    "C": "R Engine: No Good (entry UNFAVORABLE) → Analyst overrode to Good (ST updated or docs provided)",
+    "D": "R Engine: Good (July/Aug rule applied) → Analyst found post-audit issue, changed to No Good",
+}
+OTHER_DIFFERENCE = "Other difference"
 
 
 def _days(prefix: str, days: Column, suffix: str) -> Column:
@@ -83,17 +96,15 @@ def review_notes(student_status: Column, entry_text: Column, exit_text: Column)
     bad = student_status == "No Good"
     entry, exit_ = unfavorable(entry_text), unfavorable(exit_text)
     return ladder([
-        (bad & entry & exit_, "Entry AND exit date discrepancy >3 days - update charter attendance record in ST"),
-        (bad & entry, "Entry date discrepancy >3 days - update charter school attendance record in ST"),
-        (bad & exit_, "Exit date discrepancy >3 days - update charter school attendance record in ST"),
+        (bad & entry & exit_, NOTE_BOTH),
+        (bad & entry, NOTE_ENTRY),
+        (bad & exit_, NOTE_EXIT),
     ], "")
 
 
 def missing_record_note(st_entry: Column, st_exit: Column, st_school: Column) -> Column:
     """Note on rows without any system date or school."""
-    return F.when(
-        st_entry.isNull() & st_exit.isNull() & st_school.isNull(), "Student not found in ST Enrollment report"
-    ).otherwise("")
+    return F.when(st_entry.isNull() & st_exit.isNull() & st_school.isNull(), NOTE_NO_RECORD).otherwise("")
 
 
 def difference_category(engine: Column, final: Column) -> Column:
@@ -107,9 +118,4 @@ def difference_category(engine: Column, final: Column) -> Column:
 
 
 def difference_explanation(category: Column) -> Column:
-    return ladder([
-        (category == "A", "R Engine: Not Found (no ST data) → Analyst manually resolved to Good"),
-        (category == "B", "R Engine: Not Found (no ST data) → Analyst manually confirmed No Good"),
-        (category == "C", "R Engine: No Good (entry UNFAVORABLE) → Analyst overrode to Good (ST updated or docs provided)"),
-        (category == "D", "R Engine: Good (July/Aug rule applied) → Analyst found post-audit issue, changed to No Good"),
-    ], "Other difference")
+    return ladder([(category == k, text) for k, text in DIFFERENCES.items()], OTHER_DIFFERENCE)

@@ -10,6 +10,7 @@ from tallyroll.functions.ladders import ladder
 from tallyroll.functions.text import title_case
 from tallyroll.operators import windows
 from tallyroll.operators.keys import left_on_key
+from tallyroll.sources import sinks
 
 INTEGERS = ("year", "months_reported")
 DOUBLES = tuple(n for n in cfg.BRONZE_COLUMNS if n not in (*INTEGERS, "county", "agency"))
@@ -107,6 +108,20 @@ def gold(silver_df: DataFrame) -> dict[str, DataFrame]:
     return {name: build(silver_df) for name, (build, _) in GOLD.items()}
 
 
+def build_tables(bronze: DataFrame, bronze_table: str = "bronze_statistics", silver_table: str = "silver_statistics",
+                 fmt: str = "parquet") -> list[str]:
+    """Write bronze, silver and the six gold tables, each layer read back from the table below it. Returns the names.
+
+    Every table is a full refresh, so a failed run is simply run again.
+    """
+    spark = bronze.sparkSession
+    sinks.write_table(bronze, bronze_table, fmt)
+    sinks.write_table(silver(spark.table(bronze_table)), silver_table, fmt)
+    for name, (build, order) in GOLD.items():
+        sinks.write_table(sinks.sorted_for_write(build(spark.table(silver_table)), order), name, fmt)
+    return [bronze_table, silver_table, *GOLD]
+
+
 def rank_movement(rankings: DataFrame) -> DataFrame:
     """Places gained (positive) or lost against the county's previous ranked year."""
     moved = windows.with_previous_two(rankings, ["county"], "year", ["county_rank"], "county_rank")

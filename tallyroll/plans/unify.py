@@ -32,6 +32,9 @@ BLANKS = {
 }
 
 
+PATCHED_BLANKS = {"Student ID": ("0", "", "NA"), "NYSSIS ID": ("0", "", "NA"), "DOB": (), "School Name": ("0", "", "NA")}
+
+
 # ---------------------------------------------------------------- build
 def build_source(raw: DataFrame, spec: cfg.CharterSpec, month: date, source_file: str, keep: Sequence[str] = (),
                  parse=dates.parse_roster) -> DataFrame:
@@ -173,22 +176,20 @@ def patch_all(roster: DataFrame, st: DataFrame, row_id: str) -> DataFrame:
     return roster.filter(~incomplete).unionByName(gaps)
 
 
-def patch_counters(before: DataFrame, after: DataFrame, row_id: str) -> DataFrame:
-    """Per field: values filled and values still missing."""
-    fields = ["Student ID", "NYSSIS ID", "DOB", "School Name"]
+def patch_counters(before: DataFrame, after: DataFrame, row_id: str, blanks: dict[str, tuple[str, ...]] = PATCHED_BLANKS) -> DataFrame:
+    """Per field: values filled and values still missing; ``blanks`` tells what counts as missing in each field."""
     def gap(prefix: str, name: str) -> Column:
-        col = c(prefix + name)
-        return col.isNull() if name == "DOB" else missing(col, "", "NA")
+        return ~text.present(c(prefix + name).cast("string"), blanks[name])
 
-    old = before.select(c(row_id).alias("_id"), *[c(n).alias("_old" + n) for n in fields])
+    old = before.select(c(row_id).alias("_id"), *[c(n).alias("_old" + n) for n in blanks])
     joined = after.join(old, c(row_id) == F.col("_id"))
     one = joined.agg(*[
-        m for i, n in enumerate(fields) for m in (
+        m for i, n in enumerate(blanks) for m in (
             F.count_if(gap("_old", n) & ~gap("", n)).alias(f"p{i}"), F.count_if(gap("", n)).alias(f"s{i}"))
     ])
     return one.select(F.inline(F.array(*[
         F.struct(F.lit(n).alias("field"), F.col(f"p{i}").alias("patched"), F.col(f"s{i}").alias("still_missing"))
-        for i, n in enumerate(fields)])))
+        for i, n in enumerate(blanks)])))
 
 
 # ---------------------------------------------------------------- de-duplication
