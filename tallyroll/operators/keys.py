@@ -37,9 +37,16 @@ def left_on_key(left: DataFrame, right: DataFrame, left_key: Column, right_key:
     ``identity`` names columns that vary from row to row; they only decide where a
     row without a key is computed.
     """
-    keyed = left.withColumn("_left_key", spread_key(left_key, *[c(i) for i in identity]))
-    side = right.filter(c(right_key).isNotNull()).withColumnRenamed(right_key, "_right_key")
-    return keyed.join(side, F.col("_left_key") == F.col("_right_key"), "left").drop("_left_key", "_right_key")
+    return left_on_same_key(left, [right], left_key, right_key, identity)
+
+
+def left_on_same_key(left: DataFrame, rights: Sequence[DataFrame], left_key: Column, right_key: str, identity: Sequence[str]) -> DataFrame:
+    """LEFT join of several tables on the same key of the left side, which is shuffled once for all of them."""
+    joined = left.withColumn("_left_key", spread_key(left_key, *[c(i) for i in identity]))
+    for i, right in enumerate(rights):
+        side = right.filter(c(right_key).isNotNull()).withColumnRenamed(right_key, f"_right_key_{i}")
+        joined = joined.join(side, F.col("_left_key") == F.col(f"_right_key_{i}"), "left").drop(f"_right_key_{i}")
+    return joined.drop("_left_key")
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

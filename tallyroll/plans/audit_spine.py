@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyroll.functions.dates import diff_days
 from tallyroll.functions.text import resolve_id
 from tallyroll.operators import audit_rules as rules
-from tallyroll.operators.keys import left_on_key
+from tallyroll.operators.keys import left_on_key, left_on_same_key
 
 # Roster label -> column carrying its student ID; the order decides which match is reported.
 ROSTER_IDS = {
@@ -43,10 +43,7 @@ def join_rosters(st: DataFrame, southside: DataFrame, sasccs: DataFrame, sas: Da
         sas.select(F.col("nyssis_id").cast("string").alias(key), F.col("student_id").alias("sas_student_id")),
         ontech.select(F.col("nyssis_id").cast("string").alias(key), F.col("sped_student_id").alias("ontech_sped_student_id")),
     )
-    joined = st
-    for side in sides:
-        joined = left_on_key(joined, side, F.col("st_nyssis_id").cast("string"), key, [identity])
-    return joined
+    return left_on_same_key(st, sides, F.col("st_nyssis_id").cast("string"), key, [identity])
 
 
 def roster_driven_join(st: DataFrame, roster: DataFrame, roster_columns: dict[str, str], identity: str) -> DataFrame:
