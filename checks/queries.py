@@ -176,12 +176,12 @@ def _billing_export(i: Inputs) -> DataFrame:
 
 
 def _sped(i: Inputs) -> DataFrame:
-    rows = i.text_roster().filter(F.col("sped_text").startswith("SPED") & (F.col("j") % 2 == 0))
+    rows = i.text_roster().filter(F.col("iep_text").isNotNull())
     return keys.sped_keys(rows.select("row_id", F.col("nyssis_text").alias("NYSSIS")), "NYSSIS", None)
 
 
 def _disability_list(i: Inputs) -> DataFrame:
-    listed = i.st_enrollment().filter("schoolyear_disability IS NOT NULL AND enrollment_seq % 3 = 0")
+    listed = i.st_enrollment().filter("schoolyear_disability IS NOT NULL")
     return listed.select(F.col("st_nyssis_id").cast("string").alias("nyssis"))
 
 
@@ -347,6 +347,11 @@ def compare_final_rate(i: Inputs) -> DataFrame:
     return compare_final.match_rate(_compared(i))
 
 
+@query
+def compare_final_summary(i: Inputs) -> DataFrame:
+    return compare_final.summary(_compared(i))
+
+
 @query
 def compare_final_differences(i: Inputs) -> DataFrame:
     return compare_final.differences(_compared(i), ["entry_discrepancy"])
@@ -371,9 +376,12 @@ def _built(i: Inputs) -> DataFrame:
 
 
 def _exports(i: Inputs) -> DataFrame:
-    """Four exports in source order, cleaned."""
-    roles = i.export_roles()
-    parts = {f"{label} ST": roles.filter(F.col("enrollment_seq") % 4 == n) for n, label in enumerate(("Southside", "SAS", "SASCCS", "OnTech"))}
+    """Four exports, one per charter, in source order; the last also holds the district's own schools. Cleaned."""
+    roles, school = i.export_roles(), F.col("school")
+    named = {"Southside ST": school == "Southside Academy", "SAS ST": school == "Syracuse Academy of Science",
+             "SASCCS ST": school == "Citizenship & Science Academy"}
+    rest = ~school.isin("Southside Academy", "Syracuse Academy of Science", "Citizenship & Science Academy")
+    parts = {label: roles.filter(condition) for label, condition in {**named, "OnTech ST": rest}.items()}
     return unify.clean_export(unify.combine_exports(parts, "enrollment_seq"))
 
 
@@ -480,7 +488,7 @@ def unified_export_lookups(i: Inputs) -> DataFrame:
 
 @query
 def unified_resolve_from_log(i: Inputs) -> DataFrame:
-    log = i.st_enrollment().filter("enrollment_seq % 5 = 0 AND st_nyssis_id IS NOT NULL AND studentid <> ''").select(
+    log = i.st_enrollment().filter("schoolname = 'Southside Academy' AND st_nyssis_id IS NOT NULL AND studentid <> ''").select(
         "enrollment_seq", F.col("studentid").alias("Student ID"), F.concat(F.lit("R"), F.col("st_nyssis_id").cast("string")).alias("NYSSIS ID"))
     resolved = unify.resolve_from_log(_unified(i), log, "row_id", [F.col("enrollment_seq")])
     return resolved.select("row_id", "Resolved_NYSSIS", "Match_Source")
@@ -552,8 +560,8 @@ def county_rank_last_years(i: Inputs) -> DataFrame:
 
 @query
 def population_rate(i: Inputs) -> DataFrame:
-    population = _county_year(i).filter("year % 7 <> 6").selectExpr(
-        "county", "year", "CASE WHEN year % 4 = 0 THEN 0 ELSE 100000 + total_index_crimes * 7 END AS population")
+    population = _county_year(i).filter("data_quality_flag = 'COMPLETE'").selectExpr(
+        "county", "year", "CASE WHEN year = 2000 THEN 0 ELSE 100000 + total_index_crimes * 7 END AS population")
     return statistics.with_population_rate(_silver(i), population).select(
         "county", "agency", "year", "total_index_crimes", "crime_rate_per_100k")
 

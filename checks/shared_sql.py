@@ -79,7 +79,7 @@ def text_roster(x: Dialect) -> str:
   CASE WHEN j % 2 = 0 THEN {mdy('st_exit_date')} ELSE CAST(st_exit_date AS STRING) END AS withdrew_text,
   CASE WHEN j % 14 = 3 THEN NULL WHEN j % 14 = 5 THEN '' WHEN j % 14 = 6 THEN '0' ELSE CASE k WHEN 0 THEN 'Southside Academy' WHEN 1 THEN 'Citizenship & Science Academy' WHEN 2 THEN 'Syracuse Academy of Science' ELSE 'OnTECH Charter High School' END END AS school_text,
   CASE j % 6 WHEN 0 THEN 'Good' WHEN 1 THEN 'No Good' WHEN 2 THEN 'Not in ST System' WHEN 3 THEN 'NA' END AS status_text,
-  CASE WHEN j % 8 = 1 THEN 'checked' END AS notes_text,
+  CASE WHEN j % 8 = 1 THEN 'checked' END AS notes_text, iep_code AS iep_text,
   CASE WHEN j % 13 = 2 THEN 'x' WHEN j % 13 = 5 THEN concat(CAST(j % 100 AS STRING), '%') ELSE concat('0.', lpad(CAST(j % 1000 AS STRING), 3, '0')) END AS fte_text,
   {"CASE WHEN j % 29 = 11 THEN 'SPED - Not on Gen Roster' ELSE 'Gen Ed' END" if copy else "CASE WHEN c_custkey % 6 = 0 THEN 'SPED' WHEN c_custkey % 15 = 0 THEN NULL ELSE 'Gen Ed' END"} AS sped_text
 FROM {{roster}} WHERE {where}"""

@@ -16,6 +16,7 @@ from tallyroll.operators import billing_rules as rules
 from tallyroll.operators.keys import (
     c, distinct_keys, enrollment_label, first_per_key, flag_members, latest_per_key, latest_with_count, left_on_key,
 )
+from tallyroll.plans import compare_final
 
 # Output column -> internal column, 30 columns in order.
 OUTPUT = {
@@ -289,9 +290,18 @@ def sped_roster(sped: DataFrame, audited: DataFrame, export: DataFrame, disabili
     return result
 
 
-def report(audited: DataFrame) -> dict[str, DataFrame]:
-    """The tabs of the billing report."""
-    return {
+def report(audited: DataFrame, sped_tab: DataFrame | None = None, matched: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The tabs of the billing report.
+
+    ``sped_tab`` is the output of sped_roster, ``matched`` that of compare_final.match;
+    their tabs are left out where they are not given.
+    """
+    tabs = {
         "Roster": output(audited), "Audit_Summary": summary(audited), "Not_In_ST": not_in_st(audited),
         "Multiple_Enrollments": multiple_enrollments(audited), "Action_Needed": action_needed(audited),
     }
+    if sped_tab is not None:
+        tabs["SPED_Roster"] = sped_tab
+    if matched is not None:
+        tabs |= {"VS_Final_Summary": compare_final.summary(matched), "VS_Final_Detail": compare_final.differences(matched)}
+    return tabs

@@ -39,10 +39,32 @@ def match_rate(matched: DataFrame) -> DataFrame:
                        is_("SKIP-NA").alias("skipped"), rate.alias("match_rate_pct"))
 
 
+def _mismatch_category() -> Column:
+    """Category of a mismatch, NULL on other rows."""
+    return F.when(F.col("status_match") == "MISMATCH", rules.difference_category(F.col("engine_norm"), F.col("final_norm")))
+
+
+def summary(matched: DataFrame) -> DataFrame:
+    """(section, value) rows of the comparison, from one pass over the matched rows."""
+    is_ = lambda s: F.count_if(F.col("status_match") == s)
+    total, skipped = F.count(F.lit(1)), is_("SKIP-NA")
+    of = lambda k: F.count_if(F.col("_category") == k)
+    values = {
+        "Total Students Compared": total, "Status Matches": is_("MATCH"), "Status Differences": is_("MISMATCH"),
+        "Skipped (missing status)": skipped,
+        "Match rate %": F.round(100.0 * is_("MATCH") / F.greatest(total - skipped, F.lit(1)), 1),
+        "Category A": of("A"), "Category B": of("B"), "Category C": of("C"), "Category D": of("D"),
+        "Unexplained differences": of("Other"),
+    }
+    one = matched.withColumn("_category", _mismatch_category()).agg(
+        *[v.cast("double").alias(f"v{i}") for i, v in enumerate(values.values())])
+    return one.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("section"), F.col(f"v{i}").alias("value")) for i, name in enumerate(values)])))
+
+
 def differences(matched: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """The mismatches with their category and its explanation."""
-    category = rules.difference_category(F.col("engine_norm"), F.col("final_norm"))
-    return matched.filter(F.col("status_match") == "MISMATCH").withColumn("category", category).select(
+    return matched.withColumn("category", _mismatch_category()).filter(F.col("category").isNotNull()).select(
         "nyssis", "engine_status", "final_status", "category", *[c(n) for n in carry],
         rules.difference_explanation(F.col("category")).alias("explanation"))
 
