@@ -28,7 +28,7 @@ CASES = {
     "clean_fte": (text.clean_fte, {"0.5": 0.5, "50%": 50.0, "x": None, " 1 ": 1.0, "": None}),
     "split_last": (text.split_last, {"Last, First M": "Last", "Single": "Single", "": None}),
     "split_first": (text.split_first, {"Last, First M": "First M", "Single": "", "A,B": "B"}),
-    "title_case": (text.title_case, {"  ONONDAGA county TOTAL ": "Onondaga County Total"}),
+    "title_case": (text.title_case, {"  NORTH county TOTAL ": "North County Total"}),
     "comparable_status": (text.comparable_status, {
         "Not in ST System": "Not Found-Needs Manual Review", " Good ": "Good", "": None, "NA": None, "Other": "Other"}),
     "null_tokens": (lambda c: text.null_tokens(c, ("0", "")), {"0": None, "": None, "1": "1"}),
