@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -10,8 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, TimestampType
 
 from checks import shared_sql as sql
-from tallyroll.session import tune
+from tallyroll.session import shared_folder, tune
 
+_LOCAL: dict[str, str] = {}
 ROSTER_LABELS = {0: "Southside", 1: "SASCCS", 2: "SAS", 3: "OnTech"}
 CHARTER_LABELS = {0: "Southside 291462", 1: "SASCCS 291464", 2: "SAS 291463", 3: "OnTech 291465"}
 
@@ -32,11 +34,15 @@ def plain(df: DataFrame) -> DataFrame:
 class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = tune(spark), sf_dir
-        if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
-            # A local run: no cluster has named a shared folder.
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
         self._tables: dict[str, DataFrame] = {}
 
+    def folder(self, name: str) -> str:
+        """A new folder below the shared one. Where Spark runs in one process and none is named, a temporary one."""
+        spark = self.spark
+        if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.master.startswith("local["):
+            _LOCAL.setdefault("folder", "file://" + tempfile.mkdtemp(prefix="run-"))
+        return f"{shared_folder(spark, _LOCAL.get('folder'))}/{name}-{uuid.uuid4().hex}"
+
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
             self._tables[name] = self.spark.read.parquet(f"{self.dir}/{name}.parquet")

@@ -212,6 +212,17 @@ def billing_without_export(i: Inputs) -> DataFrame:
     return audit_billing.output(audit_billing.audit(_billing_roster(i), None, "row_id"), ("row_id",))
 
 
+@query
+def billing_sped_without_keys(i: Inputs) -> DataFrame:
+    """A special-education list without rows, and one without a key column: nobody's status is known."""
+    rows = i.text_roster().filter(F.col("iep_text").isNotNull()).select("row_id", F.col("nyssis_text").alias("NYSSIS"))
+    parts = []
+    for variant, sped in (("no rows", _sped(i).filter("sped_key = 'none'")), ("no key column", keys.sped_keys(rows, None, None))):
+        audited = audit_billing.audit(_billing_roster(i), None, "row_id", sped=sped)
+        parts.append(audited.select("row_id", F.lit(variant).alias("variant"), "sped_status"))
+    return parts[0].unionByName(parts[1])
+
+
 @query
 def billing_not_in_st(i: Inputs) -> DataFrame:
     return audit_billing.not_in_st(_billing(i))
@@ -371,8 +382,8 @@ def _unified(i: Inputs) -> DataFrame:
 
 
 def _built(i: Inputs) -> DataFrame:
-    """The unified roster as a finished stage: the steps after it read files, not its date parsing."""
-    return cut_lineage(_unified(i))
+    """The unified roster as a written stage: the steps after it read files, not its date parsing."""
+    return cut_lineage(_unified(i), i.folder("unified"))
 
 
 def _exports(i: Inputs) -> DataFrame:
@@ -380,7 +391,7 @@ def _exports(i: Inputs) -> DataFrame:
     roles, school = i.export_roles(), F.col("school")
     named = {"Southside ST": school == "Southside Academy", "SAS ST": school == "Syracuse Academy of Science",
              "SASCCS ST": school == "Citizenship & Science Academy"}
-    rest = ~school.isin("Southside Academy", "Syracuse Academy of Science", "Citizenship & Science Academy")
+    rest = ~F.coalesce(school.isin("Southside Academy", "Syracuse Academy of Science", "Citizenship & Science Academy"), F.lit(False))
     parts = {label: roles.filter(condition) for label, condition in {**named, "OnTech ST": rest}.items()}
     return unify.clean_export(unify.combine_exports(parts, "enrollment_seq"))
 
@@ -411,7 +422,7 @@ def unified_patch_dob_school(i: Inputs) -> DataFrame:
 
 
 def _final_roster(i: Inputs) -> DataFrame:
-    return unify.dedupe_within_charter(cut_lineage(_patched(i)), "row_id")
+    return unify.dedupe_within_charter(cut_lineage(_patched(i), i.folder("patched")), "row_id")
 
 
 @query
@@ -653,7 +664,7 @@ def measure_average_per_county_by_year(i: Inputs) -> DataFrame:
 
 @query
 def measure_quality_matrix(i: Inputs) -> DataFrame:
-    return measures.quality_matrix(_county_year(i), range(1995, 2002))
+    return measures.quality_matrix(_county_year(i))
 
 
 @query
@@ -662,12 +673,25 @@ def measure_above_ten_year_average(i: Inputs) -> DataFrame:
 
 
 # ---------------------------------------------------------------- sources
+ORDER_RECORDS = StructType([StructField(n, StringType()) for n in ("o_orderkey", "o_custkey", "o_orderstatus", "absent_key")])
+
+
+def _order_pages(i: Inputs) -> str:
+    """All orders as page files; order keys are sparse, so pages differ in length."""
+    records = i.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.floor(F.col("o_orderkey") / 700).alias("page"))
+    return pages.land_pages(records, i.folder("pages"), "page")
+
+
 @query
 def source_paged_rows(i: Inputs) -> DataFrame:
-    schema = StructType([StructField(n, StringType()) for n in ("o_orderkey", "o_custkey", "o_orderstatus", "absent_key")])
-    path = f"{i.dir}/orders.parquet"
-    fetch = pages.ParquetPages(path)
-    return pages.read_pages(i.spark, fetch, schema=schema, max_records=fetch.count(), tasks=8, name="paged_orders")
+    """Pages of uneven length, pulled in ranges that don't know where pages end."""
+    fetch = pages.LandedPages(_order_pages(i))
+    return pages.read_pages(i.spark, fetch, schema=ORDER_RECORDS, page_limit=500, tasks=8, name="paged_orders")
+
+
+@query
+def source_landed_pages(i: Inputs) -> DataFrame:
+    return pages.read_landed_pages(i.spark, _order_pages(i), ORDER_RECORDS)
 
 
 @query
@@ -702,7 +726,7 @@ def source_blank_rows_dropped(i: Inputs) -> DataFrame:
 
 @query
 def source_export_rows_identified(i: Inputs) -> DataFrame:
-    return tables.filter_export_rows(i.st_enrollment(), ["student_universalstudentid", "studentid"]).select("enrollment_seq")
+    return tables.filter_export_rows(i.st_enrollment(), ["student_universalstudentid", "studentid", "firstname"]).select("enrollment_seq")
 
 
 @query

@@ -90,8 +90,9 @@ FROM {{roster}} WHERE {where}"""
 def messy_values(x: Dialect) -> str:
     """One text per order in one of many shapes of dates, identifiers and pseudo-nulls."""
     d = "CAST(o_orderdate AS DATE)"
+    short = f"substr('JanFebMarAprMayJunJulAugSepOctNovDec', CAST(3 * month({d}) - 2 AS INT), 3)"
     two = f"lpad(CAST(year({d}) % 100 AS STRING), 2, '0')"
-    return f"""SELECT o_orderkey AS id, CASE o_orderkey % 26
+    return f"""SELECT o_orderkey AS id, CASE o_orderkey % 29
   WHEN 0 THEN {mdy(d)} WHEN 1 THEN CAST({d} AS STRING) WHEN 2 THEN {mdy(d, '-')} WHEN 3 THEN {serial(x, d)}
   WHEN 4 THEN concat({serial(x, d)}, '.0') WHEN 5 THEN concat(CAST(month({d}) AS STRING), '/', CAST(day({d}) AS STRING), '/', {two})
   WHEN 6 THEN concat(CAST({d} AS STRING), ' 08:30:15') WHEN 7 THEN concat({mdy(d)}, ' 8:30') WHEN 8 THEN replace(CAST({d} AS STRING), '-', '/')
@@ -99,7 +100,8 @@ def messy_values(x: Dialect) -> str:
   WHEN 13 THEN ' null ' WHEN 14 THEN concat('000', CAST(o_orderkey AS STRING)) WHEN 15 THEN concat(' id  ', CAST(o_custkey AS STRING), '#7 ')
   WHEN 16 THEN concat(CAST(o_custkey AS STRING), '.00') WHEN 17 THEN CAST(20000 + o_orderkey % 40000 AS STRING) WHEN 18 THEN '31/12/2010'
   WHEN 19 THEN '2/30/2024' WHEN 20 THEN '02/14/70' WHEN 21 THEN '70000' WHEN 22 THEN '39000' WHEN 23 THEN concat({mdy(d)}, ' 25:10')
-  WHEN 24 THEN concat(CAST({d} AS STRING), 'T00:00:00') ELSE o_orderpriority END AS txt, {d} AS day, o_custkey
+  WHEN 24 THEN concat(CAST({d} AS STRING), 'T00:00:00')
+  WHEN 26 THEN concat({short}, ' ', CAST(day({d}) AS STRING), ', ', CAST(year({d}) AS STRING)) WHEN 27 THEN concat('February ', CAST(day({d}) AS STRING), ' ', CAST(year({d}) AS STRING)) ELSE o_orderpriority END AS txt, {d} AS day, o_custkey
 FROM {{orders}}"""
 
 

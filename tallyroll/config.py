@@ -74,6 +74,39 @@ DISABILITY_PATTERNS = {
     "nyssis": ["Universal.*Student.*ID", "Student_Universal", "UniversalStudentID"],
     "iep_code": ["StudentID.?Disability", "Disability.*ID"],
 }
+# The wider lists of the other billing reader; columns that only it finds resolve by these.
+BILLING_ROSTER_PATTERNS_WIDE = {
+    "nyssis": ["NYSSIS", "Universal.*Student.*ID", "StateID"],
+    "first_name": ["First.*Name", "FirstName"],
+    "last_name": ["Last.*Name", "LastName"],
+    "dob": ["Birth", "DOB"],
+    "grade": ["Grade"],
+    "entry": ["Entry.*Date", "Enroll.*Date", "Entered", "Start"],
+    "exit": ["Leave.*Date", "Exit.*Date", "Withdrew", "Withdraw.*Date", "Withdraw$", "^End.*Date"],
+    "fte": ["^FTE$", "Southside.*FTE", "Charter.*FTE", "OnTECH.*FTE", "SCSD.*FTE"],
+    "address": ["Address", "House", "Street"],
+    "city": ["^City$"],
+    "zip": ["Zip"],
+    "district": ["District"],
+    "st_entry": ["^ST.?Entry.?Date$", "^ST.?Entry$", "^ST.?Enroll"],
+    "st_exit": ["^ST.?Exit.?Date$", "^ST.?Exit$", "^ST.?Withdraw", "^ST.?Leave"],
+    "st_school": ["^School.?Name$", "^SchoolName$"],
+}
+BILLING_EXPORT_PATTERNS_WIDE = {
+    "nyssis": ["Universal.*Student.*ID", "NYSSIS", "StateID"],
+    "student_id": ["^StudentID$", "Student.*ID$"],
+    "entry": ["Start.*Date", "Entry.*Date", "Enrollment.*Start"],
+    "exit": ["End.*Date", "Exit.*Date", "Enrollment.*End"],
+    "school": ["SchoolName", "School.*Name"],
+    "first_name": ["First.*Name"],
+    "last_name": ["Last.*Name"],
+    "dob": ["DOB", "Birth"],
+    "grade": ["Grade"],
+}
+SPED_PATTERNS_WIDE = {
+    "nyssis": ["NYSSIS", "Universal.*Student.*ID"],
+    "student_id": ["Student.*Gen.*Ed.*ID", "Student.*ID"],
+}
 # A second Entry/Exit column holds the pre-filled system date, unless its header matches the last pattern.
 PREPOPULATED_PATTERNS = {
     "st_entry": ["^Entry.?Date|^Enroll.?Date"],

@@ -56,6 +56,17 @@ def parse_month_name(s: Column) -> Column:
     return F.when(s.rlike(r"^\d{1,2}-?[A-Za-z]{3}-?\d{2,4}$"), F.try_to_date(dashed, "d-MMM-yyyy"))
 
 
+def parse_written_month(s: Column) -> Column:
+    """Feb 14, 2026, February 14 2026, 14 February 2026 and 14-Feb-2026, in any case of letters."""
+    month = "jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?"
+    first = rf"^(?i)({month})[.]?[ -]+(\d{{1,2}}),?[ -]+(\d{{4}})$"
+    later = rf"^(?i)(\d{{1,2}})[ -]+({month})[.,]?[ -]+(\d{{4}})$"
+    day_first = F.regexp_replace(s, first, "$2-$1-$3")
+    parts = F.regexp_extract(day_first, later, 2)
+    short = F.concat(F.regexp_extract(day_first, later, 1), F.lit("-"), F.initcap(F.substring(parts, 1, 3)), F.lit("-"), F.regexp_extract(day_first, later, 3))
+    return F.when(parts != "", F.try_to_date(short, "d-MMM-yyyy"))
+
+
 def from_serial(s: Column, low: float | None = None, high: float | None = None) -> Column:
     """Spreadsheet serial number as text -> date, if strictly between the bounds.
 
@@ -85,12 +96,13 @@ def normalize_dob(c: Column) -> Column:
 
 
 def parse_billing(c: Column) -> Column:
-    """Billing rosters: eight shapes, bounded serials, then Spark's own reading of the text."""
+    """Billing rosters: eight shapes, bounded serials, then Spark's own reading of the text, then written months."""
     s = _strip(c)
     return F.coalesce(
         parse(s, ["M/d/y", "y-M-d", "M-d-y", "M/d/yy", "y/M/d", "y-M-d time", "M/d/y time", "y-M-d T"]),
         from_serial(s, 20000, 60000),
         F.when(~s.rlike(r"^\d{5,}$"), s.try_cast("date")),
+        parse_written_month(s),
     )
 
 

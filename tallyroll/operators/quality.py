@@ -60,7 +60,7 @@ def date_variance(st: DataFrame, roster: DataFrame) -> DataFrame:
 
 
 def variance_stats(diffs: DataFrame, limit: int = 5) -> DataFrame:
-    """Per school: pairs, mean and exact median of the absolute difference, pairs beyond the limit and their rate.
+    """Per school: pairs, decimal mean and exact median of the absolute difference, pairs beyond the limit and their rate.
 
     The differences are first summed up per (school, days): a histogram as long as the
     calendar, from which all figures follow, the exact median included.
@@ -70,7 +70,7 @@ def variance_stats(diffs: DataFrame, limit: int = 5) -> DataFrame:
     pairs, over = F.sum("n"), F.sum(F.when(days > limit, F.col("n")).otherwise(0))
     return histogram.groupBy("schoolname").agg(
         pairs.alias("compared_rows"),
-        (F.sum(days * F.col("n")) / pairs).alias("avg_abs_variance_days"),
+        (F.sum(days * F.col("n")).cast("decimal(18,2)") / pairs).cast("decimal(14,6)").alias("avg_abs_variance_days"),
         F.percentile("days", F.lit(0.5), F.col("n")).alias("median_abs_variance_days"),
         over.alias("over_5_day_rows"), _percent(over, pairs).alias("over_5_day_pct"),
     ).orderBy(F.desc("over_5_day_pct"), "schoolname")

@@ -17,6 +17,7 @@ from tallyroll.operators.keys import (
     c, distinct_keys, enrollment_label, first_per_key, flag_members, latest_per_key, latest_with_count, left_on_key,
 )
 from tallyroll.plans import compare_final
+from tallyroll.session import cut_lineage
 
 # Output column -> internal column, 30 columns in order.
 OUTPUT = {
@@ -141,11 +142,12 @@ def sped_key_set(sped: DataFrame | None, disability: DataFrame | None, roster: D
 
 
 def with_sped_status(matched: DataFrame, keys: DataFrame | None, row_id: str) -> DataFrame:
-    """SPED / Gen Ed; Unknown when there is no key set."""
+    """SPED / Gen Ed; Unknown when there is no key set, or none of its keys has a value."""
     if keys is None:
         return matched.withColumn("sped_status", F.lit("Unknown"))
+    some = (keys.agg(F.count("key").alias("n")).select(F.col("n") > 0)).scalar()
     flagged = flag_members(matched, c("nyssis"), keys, "_sped", [row_id])
-    return flagged.withColumn("sped_status", F.when(F.col("_sped"), "SPED").otherwise("Gen Ed")).drop("_sped")
+    return flagged.withColumn("sped_status", F.when(~some, "Unknown").when(F.col("_sped"), "SPED").otherwise("Gen Ed")).drop("_sped")
 
 
 def with_rules(matched: DataFrame, config: BillingConfig = BillingConfig(), summer_rule: str = "deadline") -> DataFrame:
@@ -158,7 +160,8 @@ def with_rules(matched: DataFrame, config: BillingConfig = BillingConfig(), summ
         "student_status", rules.status(c("entry_discrepancy"), c("exit_discrepancy"), c("match_method")))
     own_id = blank_to_null(strip_decimal_zero(c("student_id")))
     return judged.withColumns({
-        "review_notes": rules.review_notes(c("student_status"), c("entry_discrepancy"), c("exit_discrepancy")),
+        "review_notes": rules.review_notes(c("student_status"), c("entry_discrepancy"), c("exit_discrepancy"))
+        if summer_rule == "deadline" else rules.missing_record_note(c("st_entry"), c("st_exit"), c("st_school")),
         "st_id_match": F.coalesce(c("st_student_id"), F.lit("NOT FOUND IN ST")),
         "auto_student_id": F.coalesce(own_id, c("st_student_id")),
         "multiple_enrollments": enrollment_label(c("enrollment_count")),
@@ -222,19 +225,16 @@ def multiple_enrollments(audited: DataFrame) -> DataFrame:
 
 
 def action_needed(audited: DataFrame) -> DataFrame:
-    """Work queue of two sections, combined; a section's missing columns are NULL."""
-    base = ["NYSSIS ID", "Last Name", "First Name", "Date of Birth", "Current Grade Level", "Entry Date", "Leave Date"]
+    """Work queue: rows not found and rows that are No Good, in one pass; the former have no system dates."""
+    base = ["NYSSIS ID", "Last Name", "First Name", "Date of Birth", "Current Grade Level", "Entry Date", "Leave Date", "Student Status"]
     dated = ["ST Entry Date", "ST Exit Date", "Entry Date Discrepancy (>3 Days)", "Exit Date Discrepancy (>3 Days)"]
-    pick = lambda names: [c(OUTPUT[n]).alias(n) for n in names]
-    missing = audited.filter(c("student_status") == rules.NEEDS_REVIEW).select(
-        *pick([*base, "Student Status"]),
-        F.lit("Look up in ST Enrollment - add ST entry/exit dates via VLOOKUP").alias("Action Required"),
-        F.lit("NOT FOUND IN ST").alias("Action Type"))
-    bad = audited.filter(c("student_status") == "No Good").select(
-        *pick([*base, *dated, "Student Status"]),
-        F.lit("Review: check for duplicate enrollment or supporting docs from charter").alias("Action Required"),
-        F.lit("NO GOOD - NEEDS REVIEW").alias("Action Type"))
-    return missing.unionByName(bad, allowMissingColumns=True)
+    missing = c("student_status") == rules.NEEDS_REVIEW
+    return audited.filter(missing | (c("student_status") == "No Good")).select(
+        *[c(OUTPUT[n]).alias(n) for n in base],
+        F.when(missing, "Look up in ST Enrollment - add ST entry/exit dates via VLOOKUP")
+        .otherwise("Review: check for duplicate enrollment or supporting docs from charter").alias("Action Required"),
+        F.when(missing, "NOT FOUND IN ST").otherwise("NO GOOD - NEEDS REVIEW").alias("Action Type"),
+        *[F.when(~missing, c(OUTPUT[n])).alias(n) for n in dated])
 
 
 def summary(audited: DataFrame) -> DataFrame:
@@ -290,12 +290,13 @@ def sped_roster(sped: DataFrame, audited: DataFrame, export: DataFrame, disabili
     return result
 
 
-def report(audited: DataFrame, sped_tab: DataFrame | None = None, matched: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The tabs of the billing report.
+def report(audited: DataFrame, sped_tab: DataFrame | None = None, matched: DataFrame | None = None, folder: str | None = None) -> dict[str, DataFrame]:
+    """The tabs of the billing report. The audit is written once, below the shared folder, and all tabs read it from there.
 
     ``sped_tab`` is the output of sped_roster, ``matched`` that of compare_final.match;
     their tabs are left out where they are not given.
     """
+    audited = cut_lineage(audited, folder)
     tabs = {
         "Roster": output(audited), "Audit_Summary": summary(audited), "Not_In_ST": not_in_st(audited),
         "Multiple_Enrollments": multiple_enrollments(audited), "Action_Needed": action_needed(audited),
@@ -303,5 +304,6 @@ def report(audited: DataFrame, sped_tab: DataFrame | None = None, matched: DataF
     if sped_tab is not None:
         tabs["SPED_Roster"] = sped_tab
     if matched is not None:
+        matched = cut_lineage(matched, folder)
         tabs |= {"VS_Final_Summary": compare_final.summary(matched), "VS_Final_Detail": compare_final.differences(matched)}
     return tabs

@@ -12,6 +12,7 @@ from tallyroll.functions.dates import diff_days
 from tallyroll.functions.text import blank_to_null, normalize_columns, present, resolve_id, strip
 from tallyroll.operators import audit_rules as rules
 from tallyroll.operators.keys import c, first_per_key, left_on_key
+from tallyroll.session import cut_lineage
 from tallyroll.sources.tables import conform_to_roles
 
 NORMALIZED = ("nyssis", "student_id", "universal_id", "entry", "exit")
@@ -122,6 +123,7 @@ def run_counters(audited: DataFrame) -> DataFrame:
     )
 
 
-def report(audited: DataFrame) -> dict[str, DataFrame]:
-    """The three tabs of the audit report."""
+def report(audited: DataFrame, folder: str | None = None) -> dict[str, DataFrame]:
+    """The three tabs of the audit report. The audit is written once, below the shared folder, and the tabs read it from there."""
+    audited = cut_lineage(audited, folder)
     return {"Full_Audit": audited, "Exceptions": exceptions(audited), "Severity_Summary": severity_summary(audited)}

@@ -13,6 +13,7 @@ from tallyroll.functions import dates, text
 from tallyroll.functions.ladders import ladder
 from tallyroll.operators import lookups
 from tallyroll.operators.keys import c, first_per_key, left_on_key
+from tallyroll.session import cut_lineage
 
 DATE_COLUMNS = ("DOB", "Enroll Date", "Withdraw Date")
 ID_COLUMNS = ("NYSSIS ID", "Student ID")
@@ -375,8 +376,9 @@ def export_tab(st: DataFrame) -> DataFrame:
     return st.select(*[c(n).alias(new) if n in st.columns else F.lit(None).cast("string").alias(new) for n, new in names.items()])
 
 
-def report(roster: DataFrame, st: DataFrame, row_id: str) -> dict[str, DataFrame]:
-    """The tabs of the unified-roster report."""
+def report(roster: DataFrame, st: DataFrame, row_id: str, folder: str | None = None) -> dict[str, DataFrame]:
+    """The tabs of the unified-roster report. Roster and export are written once, below the shared folder, and the tabs read them from there."""
+    roster, st = cut_lineage(roster, folder), cut_lineage(st, folder)
     plain = roster.select(*[c(n) for n in cfg.UNIFIED_COLUMNS])
     return {
         "All Charters Unified": plain, "Formula Version": export_lookups(roster, st, row_id), "Copy Paste": plain,

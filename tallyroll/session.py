@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -12,9 +14,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Joins that share one shuffle are split too when a key is hot, at the price of one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # The JVM never compiles a method above 8000 bytes of bytecode. A stage of many text rules that would
-    # exceed it runs faster as separate projections, each split into small methods.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -25,18 +24,20 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
-    """The folder all executors can reach: spark.checkpoint.dir, else the given fallback (tests only)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or fallback
-    if folder is None:
+def shared_folder(spark: SparkSession, folder: str | None = None) -> str:
+    """The folder all executors can reach: the given one, else spark.checkpoint.dir. Without either there is none."""
+    found = folder or spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
         raise ValueError("spark.checkpoint.dir is not set and no folder was given")
-    return folder
+    return found.rstrip("/")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the table to the checkpoint folder and go on from the files.
+def cut_lineage(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """Write the table below the shared folder and go on from its files.
 
-    For a table that several later steps read: it is computed once and survives the
-    loss of an executor. The folder is the cluster's spark.checkpoint.dir.
+    For a table that several later steps read: it is computed once, survives the loss of
+    an executor, and later steps read only the columns they need.
     """
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession, folder)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

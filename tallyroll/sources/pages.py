@@ -1,19 +1,21 @@
-"""Paged records as a Spark data source: one input partition per run of offset pages.
+"""Paged records: pulled by a data source in parallel ranges, or read as landed page files.
 
-The transport is a callable ``fetch(offset, limit) -> list of dicts`` that must be
-picklable; every executor task pulls its own pages, so nothing passes through the
-driver. A task stops at the first empty or short page of its run.
+A transport is a picklable callable ``fetch(offset, limit) -> list of dicts``. It may
+return fewer records than asked for; an empty page means that there are none from that
+offset on. A pull advances by what came back, has no record cap, and gives the same
+rows whatever the number of tasks.
 """
 
 from __future__ import annotations
 
+import bisect
 import json
 import math
 import sys
 from collections.abc import Callable, Iterator
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
@@ -22,57 +24,46 @@ from tallyroll import config as cfg
 
 Fetch = Callable[[int, int], list[dict]]
 
-# Page size and safety cap of a pull.
+# Fixed value: records asked for at once.
 PAGE_LIMIT = 2000
-MAX_RECORDS = 200_000
 
 BRONZE_SCHEMA = StructType([StructField(n, StringType()) for n in cfg.BRONZE_COLUMNS])
 
 
 class PageRange(InputPartition):
-    def __init__(self, first: int, last: int):
+    """Records from ``first`` up to ``last``; without ``last`` up to the end of the source."""
+
+    def __init__(self, first: int, last: int | None):
         super().__init__((first, last))
         self.first, self.last = first, last
 
 
-class PageFiles:
-    """Fetch from landed pages ``<folder>/<offset>.json`` (JSON lines); a missing page is empty."""
-
-    def __init__(self, folder: str):
-        self.folder = folder
-
-    def __call__(self, offset: int, limit: int) -> list[dict]:
-        try:
-            with open(f"{self.folder}/{offset}.json", encoding="utf-8") as f:
-                return [json.loads(line) for line in f if line.strip()][:limit]
-        except FileNotFoundError:
-            return []
-
-
-class ParquetPages:
-    """Fetch rows [offset, offset + limit) of one Parquet file, reading only the row groups that hold them."""
+class LandedPages:
+    """Fetch from page files ``<folder>/start=<offset>/...`` (JSON lines, pages of any length) on any file system that Arrow opens.
 
-    def __init__(self, path: str):
-        self.path = path
+    It answers like a server that never reaches over the end of a page.
+    """
 
-    def count(self) -> int:
-        import pyarrow.parquet as pq
+    def __init__(self, folder: str):
+        from pyarrow import fs
 
-        return pq.read_metadata(self.path).num_rows
+        self.folder = folder
+        system, base = fs.FileSystem.from_uri(folder)
+        files = [f.path for f in system.get_file_info(fs.FileSelector(base, recursive=True)) if f.is_file and f.path.endswith(".json")]
+        found = sorted((int(path.rsplit("start=", 1)[1].split("/")[0]), path) for path in files)
+        self.starts, self.paths = [s for s, _ in found], [p for _, p in found]
 
     def __call__(self, offset: int, limit: int) -> list[dict]:
-        import pyarrow.parquet as pq
+        from pyarrow import fs
 
-        rows: list[dict] = []
-        with pq.ParquetFile(self.path) as file:
-            start = 0
-            for group in range(file.num_row_groups):
-                size = file.metadata.row_group(group).num_rows
-                if start < offset + limit and start + size > offset:
-                    first = max(offset - start, 0)
-                    rows += file.read_row_group(group).slice(first, offset + limit - start - first).to_pylist()
-                start += size
-        return rows
+        page = bisect.bisect_right(self.starts, offset) - 1
+        if page < 0:
+            return []
+        system, _ = fs.FileSystem.from_uri(self.folder)
+        with system.open_input_stream(self.paths[page]) as f:
+            lines = [line for line in f.read().splitlines() if line.strip()]
+        first = offset - self.starts[page]
+        return [json.loads(line) for line in lines[first:first + limit]]
 
 
 class RestPages:
@@ -91,27 +82,49 @@ class RestPages:
             return json.load(response)
 
 
+def count_records(fetch: Fetch) -> int:
+    """How many records a source has, by single-record requests: about twice the logarithm of the answer."""
+    if not fetch(0, 1):
+        return 0
+    low, high = 0, 1
+    while fetch(high, 1):
+        low, high = high, high * 2
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (middle, high) if fetch(middle, 1) else (low, middle)
+    return high
+
+
+def as_text(value: object) -> str | None:
+    """A record's value as text: text as it is, everything else as JSON."""
+    return value if value is None or isinstance(value, str) else json.dumps(value, separators=(",", ":"), ensure_ascii=False)
+
+
 class _Reader(DataSourceReader):
-    def __init__(self, fetch: Fetch, schema: StructType, page_limit: int, max_records: int, tasks: int):
-        self.fetch, self.schema, self.page_limit = fetch, schema, page_limit
-        self.pages, self.tasks = math.ceil(max_records / page_limit), tasks
+    def __init__(self, fetch: Fetch, schema: StructType, page_limit: int, tasks: int):
+        self.fetch, self.schema, self.page_limit, self.tasks = fetch, schema, page_limit, tasks
 
     def partitions(self) -> list[PageRange]:
-        step = max(1, math.ceil(self.pages / self.tasks))
-        return [PageRange(p, min(p + step, self.pages)) for p in range(0, self.pages, step)]
+        total = count_records(self.fetch)
+        # Whole pages for each task; the last range is open, for records that arrive meanwhile.
+        step = max(1, math.ceil(math.ceil(total / self.tasks) / self.page_limit)) * self.page_limit
+        firsts = list(range(0, total, step)) or [0]
+        return [PageRange(first, first + step if first != firsts[-1] else None) for first in firsts]
 
     def read(self, partition: PageRange) -> Iterator[tuple]:
-        names = self.schema.fieldNames()
-        for page in range(partition.first, partition.last):
-            records = self.fetch(page * self.page_limit, self.page_limit)
-            for record in records:
-                yield tuple(None if record.get(n) is None else str(record[n]) for n in names)
-            if len(records) < self.page_limit:
+        names, offset = self.schema.fieldNames(), partition.first
+        while partition.last is None or offset < partition.last:
+            wanted = self.page_limit if partition.last is None else min(self.page_limit, partition.last - offset)
+            records = self.fetch(offset, wanted)
+            if not records:
                 return
+            for record in records:
+                yield tuple(as_text(record.get(n)) for n in names)
+            offset += len(records)
 
 
 def register(spark: SparkSession, fetch: Fetch, schema: StructType = BRONZE_SCHEMA, page_limit: int = PAGE_LIMIT,
-             max_records: int = MAX_RECORDS, tasks: int = 100, name: str = "paged_records") -> str:
+             tasks: int = 100, name: str = "paged_records") -> str:
     """Register the source under ``name``; read it with spark.read.format(name).load().
 
     Keys missing from a record become NULL, keys outside the schema are dropped.
@@ -126,7 +139,7 @@ def register(spark: SparkSession, fetch: Fetch, schema: StructType = BRONZE_SCHE
             return schema
 
         def reader(self, schema: StructType) -> DataSourceReader:
-            return _Reader(fetch, schema, page_limit, max_records, tasks)
+            return _Reader(fetch, schema, page_limit, tasks)
 
     # Ship the reader and the transport by value, so the executors need no copy of their modules.
     for module in {__name__, type(fetch).__module__} - {"__main__", "builtins"}:
@@ -140,6 +153,20 @@ def read_pages(spark: SparkSession, fetch: Fetch, **options) -> DataFrame:
     return spark.read.format(register(spark, fetch, **options)).load()
 
 
+def land_pages(records: DataFrame, folder: str, page: str) -> str:
+    """Write records as page files ``<folder>/start=<offset>/*.json``, one page for each value of the column ``page``, in its order."""
+    sizes = records.groupBy(page).agg(F.count(F.lit(1)).alias("_n"))
+    starts = sizes.select(F.col(page).alias("_page"), (F.sum("_n").over(Window.orderBy(page)) - F.col("_n")).alias("start"))
+    body = records.join(starts, F.col(page) == F.col("_page")).drop(page, "_page")
+    body.repartition("start").write.partitionBy("start").json(folder)
+    return folder
+
+
+def read_landed_pages(spark: SparkSession, folder: str, schema: StructType = BRONZE_SCHEMA) -> DataFrame:
+    """All records of a folder of page files, read by Spark; keys missing become NULL, other keys are dropped."""
+    return conform_records(spark.read.text(folder, recursiveFileLookup=True, pathGlobFilter="*.json"), "value", schema)
+
+
 def conform_records(df: DataFrame, json_column: str, schema: StructType = BRONZE_SCHEMA) -> DataFrame:
     """JSON text records -> the schema's columns: missing keys NULL, extra keys dropped."""
     record = F.from_json(F.col(json_column), schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyroll import config as cfg
@@ -100,13 +100,14 @@ def drop_junk_rows(df: DataFrame, id_column: str, table: str, share: float = 0.5
     """Keep rows whose ID is 6 to 12 digits, in the tables where at least ``share`` of the rows have one.
 
     Footers and totals go; a table that carries no IDs in that column stays whole. All
-    tables are judged in one pass: the shares are one row per table.
+    tables are judged by one aggregation; its answer is one value, the list of labels of
+    the tables to be cut, so the rows themselves are not shuffled.
     """
-    valid = F.regexp_replace(strip(c(id_column).cast("string")), r"\.0", "").rlike(r"^\d{6,12}$")
-    marked = df.withColumn("_valid", F.coalesce(valid, F.lit(False)))
-    shares = marked.groupBy(c(table).alias("_table")).agg(F.avg(F.col("_valid").cast("int")).alias("_share"))
-    joined = marked.join(shares, c(table).eqNullSafe(F.col("_table")))
-    return joined.filter(F.col("_valid") | (F.col("_share") < share)).drop("_valid", "_share", "_table")
+    valid = F.coalesce(F.regexp_replace(strip(c(id_column).cast("string")), r"\.0", "").rlike(r"^\d{6,12}$"), F.lit(False))
+    label = F.to_json(F.struct(c(table).alias("t")))  # NULL is a label too
+    shares = df.select(label.alias("_table"), valid.cast("int").alias("_valid")).groupBy("_table").agg(F.avg("_valid").alias("_share"))
+    cut = shares.filter(F.col("_share") >= share).agg(F.collect_list("_table")).scalar()
+    return df.filter(valid | ~F.array_contains(cut, label))
 
 
 def filter_export_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -116,44 +117,53 @@ def filter_export_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 # ---------------------------------------------------------------- header rows of landed files
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, pos, line) of landed text files.
+    """(file, pos, line) of landed text files, which Spark splits as it does any text.
 
-    A file is one value here, because only that gives line numbers; rosters are
-    exported from worksheets, which end at 1,048,576 rows.
+    A line's place in its split comes from the order in which a task reads; splits of a
+    file are put one after the other by the number of lines before them.
     """
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    return files.select("file", F.posexplode(F.split("value", r"\r\n|\n|\r")).alias("pos", "line"))
+    raw = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"), F.col("value").alias("line"))
+    blocks = raw.groupBy("file", "_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_lines"))
+    before = F.sum("_lines").over(Window.partitionBy("file").orderBy("_block")) - F.col("_lines")
+    places = blocks.select(F.col("file").alias("_file"), F.col("_block").alias("_at"), "_first", before.alias("_before"))
+    joined = raw.join(places, (F.col("file") == F.col("_file")) & (F.col("_block") == F.col("_at")))
+    return joined.select("file", (F.col("_before") + F.col("_id") - F.col("_first")).cast("int").alias("pos"), "line")
 
 
 def with_cells(lines: DataFrame, delimiter: str = ",") -> DataFrame:
-    """Split each line into trimmed cells."""
-    cells = F.split("line", "\\Q" + delimiter + "\\E", -1)
-    return lines.withColumn("cells", F.transform(cells, lambda x: strip(x)))
-
-
-def header_rows(lines: DataFrame, peek: int = 10) -> DataFrame:
-    """(file, header_pos): where the header of each file is.
-
-    The first non-empty of the first ``peek`` rows; one row further if that row is a
-    title (at most two values, and the next row has four or more); at the row after
-    next if its first cell is a color legend.
+    """Split each line into trimmed cells. A cell in double quotes may hold delimiters, and quotes written twice."""
+    d = re.escape(delimiter)
+    # Every match starts at a delimiter: a quoted cell up to the next one, or all up to the next one.
+    pattern = rf'{d}(?:[ \t]*"([^"]*+(?:""[^"]*+)*+)"[ \t]*(?={d}|$)|([^{d}]*))'
+    line = F.concat(F.lit(delimiter), "line")
+    quoted, bare = (F.regexp_extract_all(line, F.lit(pattern), F.lit(k)) for k in (1, 2))
+    cell = lambda q, b: strip(F.when(b == "", F.replace(q, F.lit('""'), F.lit('"'))).otherwise(b))
+    plain = F.transform(F.split("line", "\\Q" + delimiter + "\\E", -1), lambda x: strip(x))
+    return lines.withColumn("cells", F.when(F.contains("line", F.lit('"')), F.zip_with(quoted, bare, cell)).otherwise(plain))
+
+
+def header_rows(lines: DataFrame) -> DataFrame:
+    """(file, header_pos): where the header of each file is; -1 for a file without a value.
+
+    The first row that has a value, wherever it is; one row further if that row is a
+    title (at most two values, and the next row has four or more); two rows further if
+    its first cell, or that of the next row, is a color legend, or if the row below
+    has fewer than three values and two rows further there are three or more.
     """
-    rows = with_cells(lines.filter(F.col("pos") < peek + 2))
     filled = F.size(F.filter("cells", lambda x: x != ""))
-    head = rows.select("file", "pos", filled.alias("filled"), F.get("cells", F.lit(0)).alias("first"))
-    # At most peek + 2 rows per file reach this aggregation, whatever the size of the file.
-    peeked = head.groupBy("file").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "filled", "first"))).alias("rows"),
-        F.min(F.when((F.col("filled") > 0) & (F.col("pos") < peek), F.col("pos"))).alias("start"),
-    )
-    at = lambda offset: F.get(F.filter("rows", lambda r: r["pos"] == F.col("start") + offset), F.lit(0))
-    legend = F.coalesce(F.upper(at(0)["first"]).rlike("COLOR.*KEY"), F.lit(False))
-    title = (at(0)["filled"] <= 2) & F.coalesce(at(1)["filled"] >= 4, F.lit(False))
-    return peeked.select(
-        "file",
-        F.coalesce(F.when(legend, F.col("start") + 2).when(title, F.col("start") + 1).otherwise(F.col("start")), F.lit(0))
-        .cast("int").alias("header_pos"),
-    )
+    rows = with_cells(lines).select("file", "pos", filled.alias("filled"), F.get("cells", F.lit(0)).alias("first"))
+    # One number for each file, aggregated where the rows are read; then three rows for each file.
+    starts = rows.groupBy("file").agg(F.min(F.when(F.col("filled") > 0, F.col("pos"))).alias("start"))
+    near = rows.join(starts.withColumnRenamed("file", "_file"), (F.col("file") == F.col("_file")) & (F.col("pos") >= F.col("start")) & (F.col("pos") <= F.col("start") + 2))
+    at = lambda k, name: F.max(F.when(F.col("pos") == F.col("start") + k, F.col(name)))
+    seen = near.groupBy("file").agg(*[at(k, n).alias(f"{n}_{k}") for k in range(3) for n in ("filled", "first")])
+    legend = lambda k: F.coalesce(F.upper(F.col(f"first_{k}")).rlike("COLOR.*KEY"), F.lit(False))
+    title = (F.col("filled_0") <= 2) & F.coalesce(F.col("filled_1") >= 4, F.lit(False))
+    third = F.coalesce((F.col("filled_1") < 3) & (F.col("filled_2") >= 3), F.lit(False))
+    skip = F.when(legend(0) | legend(1), 2).when(title, 1).when(third, 2).otherwise(0)
+    judged = seen.select(F.col("file").alias("_file"), skip.alias("skip"))
+    return starts.join(judged, F.col("file") == F.col("_file"), "left").select("file", F.coalesce(F.col("start") + F.col("skip"), F.lit(-1)).cast("int").alias("header_pos"))
 
 
 def table_rows(lines: DataFrame, headers: DataFrame | None = None) -> DataFrame:
@@ -190,11 +200,14 @@ def newest_snapshot(df: DataFrame, modified: str = "file_modification_time") ->
 
 
 def read_newest_file(spark: SparkSession, folder: str, schema: str | None = None, pattern: str = "*.csv") -> DataFrame:
-    """Newest file of a folder, all columns text."""
+    """Newest file of a folder, all columns text. Times come from the listing; older files are never opened."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).agg(F.max("modificationTime"))
+    newest = listed.first()[0]
     reader = spark.read.option("header", True).option("pathGlobFilter", pattern).option("inferSchema", False)
+    if newest is None:
+        raise ValueError(f"no {pattern} in {folder}")
     df = (reader.schema(schema) if schema else reader).csv(folder)
-    stamped = df.select("*", F.col("_metadata.file_modification_time").alias("_modified"))
-    return newest_snapshot(stamped, "_modified").drop("_modified")
+    return df.filter(F.col("_metadata.file_modification_time") == F.lit(newest)).select(*df.columns)
 
 
 def read_roster(spark: SparkSession, path: str) -> DataFrame:

@@ -69,6 +69,38 @@ def test_landed_files_of_four_layouts_become_one_table(spark, tmp_path):
         ("100004", "Di", "Kim", "6"), ("100005", "Ed", "Poe", "7")]
 
 
+def test_header_rules_look_at_the_whole_file(spark, tmp_path):
+    write(tmp_path / "late.csv", "\n" * 12 + "NYSSIS ID,Full Name,Grade\n100001,\"Lee, Ann\",3\n100002,\"Ray, \"\"Bo\"\"\",4\n")
+    write(tmp_path / "third.csv", "Audit,of,June\nprinted,,\nGrade,NYSSIS,Full Name\n5,100003,Fox\n")
+    write(tmp_path / "empty.csv", ",,\n\n")
+    write(tmp_path / "narrow.csv", "NYSSIS,Grade\n100004,6\n100005,7\n")
+    lines = tables.read_lines(spark, str(tmp_path))
+    heads = {os.path.basename(r.file): r.header_pos for r in tables.header_rows(lines).collect()}
+    assert heads == {"late.csv": 12, "third.csv": 2, "empty.csv": -1, "narrow.csv": 0}
+    roles = {"nyssis": ["NYSSIS"], "full_name": ["Full.?Name"], "grade": ["Grade"]}
+    out = tables.select_by_header(tables.table_rows(lines), roles)
+    assert sorted((tuple(r) for r in out.select("nyssis", "full_name", "grade").collect()), key=repr) == [
+        ("100001", "Lee, Ann", "3"), ("100002", 'Ray, "Bo"', "4"), ("100003", "Fox", "5"), ("100004", None, "6"), ("100005", None, "7")]
+
+
+def test_lines_keep_their_numbers_over_splits(spark, tmp_path):
+    write(tmp_path / "long.txt", "".join(f"line {n}\n" for n in range(5000)))
+    write(tmp_path / "short.txt", "line 0\r\n\r\nline 2")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = tables.read_lines(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(rows) == 5003 and all(r.line in ("", f"line {r.pos}") for r in rows)
+    assert sorted(r.pos for r in rows if r.file.endswith("long.txt")) == list(range(5000))
+
+
+def test_cells_in_quotes(spark):
+    lines = ['a,b', '"x, y",z', ' "q ""r""" ,', ',"",w', 'say "hi", you', '"open, end', ',']
+    df = tables.with_cells(spark.createDataFrame([(n, x) for n, x in enumerate(lines)], "n int, line string"))
+    assert [r.cells for r in df.orderBy("n").collect()] == [["a", "b"], ["x, y", "z"], ['q "r"', ""], ["", "", "w"], ['say "hi"', "you"], ['"open', "end"], ["", ""]]
+
+
 def test_junk_rows_go_only_where_half_the_rows_have_ids(spark):
     df = spark.createDataFrame(
         [("a", "100001"), ("a", "100002.0"), ("a", "Total"), ("b", "x"), ("b", "y"), ("b", "100003"), ("c", None)], "file string, id string")
@@ -89,6 +121,21 @@ def test_newest_file_of_a_folder(spark, tmp_path):
     os.utime(tmp_path / "new.csv", (1_800_000_000, 1_800_000_000))
     out = tables.read_newest_file(spark, str(tmp_path))
     assert sorted(tuple(r) for r in out.collect()) == [("1", "new"), ("2", "new")]
+    scans = [n for n in _nodes(out._jdf.queryExecution().executedPlan()) if n.nodeName().startswith("Scan csv")]
+    assert [s.metrics().apply("numFiles").value() for s in scans] == [1]
+
+
+def _nodes(plan):
+    yield plan
+    children = plan.children()
+    for k in range(children.size()):
+        yield from _nodes(children.apply(k))
+
+
+def test_tables_are_judged_without_a_shuffle_of_their_rows(spark):
+    df = spark.range(100).selectExpr("CAST(id AS STRING) AS id", "'a' AS file", "'p' AS pad")
+    plan = tables.drop_junk_rows(df, "id", "file")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan
 
 
 def test_read_roster_is_all_text(spark, tmp_path):
@@ -97,24 +144,53 @@ def test_read_roster_is_all_text(spark, tmp_path):
     assert out.columns == ["NYSSIS ID", "Entry Date"] and tuple(out.head()) == ("00123", "45839")
 
 
+def land(folder, records, lengths):
+    """Page files of the given lengths, the last one repeated, each under its start."""
+    at, k = 0, 0
+    while at < len(records):
+        size = lengths[min(k, len(lengths) - 1)]
+        write(folder / f"start={at}" / "part-0.json", "".join(json.dumps(r) + "\n" for r in records[at:at + size]))
+        at, k = at + size, k + 1
+
+
 @pytest.mark.parametrize("total", [0, 1, 49, 50, 51, 250])
-@pytest.mark.parametrize("tasks", [1, 3, 100])
-def test_pages_are_read_whole(spark, tmp_path, total, tasks):
-    records = [{"county": f"c{n}", "year": n, "extra": 1} for n in range(total)]
-    for offset in range(0, total, 50):
-        write(tmp_path / f"{offset}.json", "".join(json.dumps(r) + "\n" for r in records[offset:offset + 50]))
-    df = pages.read_pages(spark, pages.PageFiles(str(tmp_path)), page_limit=50, max_records=400, tasks=tasks)
-    assert df.columns == list(cfg.BRONZE_COLUMNS)
-    assert sorted(r.county for r in df.collect()) == sorted(r["county"] for r in records)
+@pytest.mark.parametrize("lengths", [[50], [40], [7, 1, 120, 13]])
+def test_pages_are_read_whole_by_any_number_of_tasks(spark, tmp_path, total, lengths):
+    records = [{"county": f"c{n}", "year": n, "agency": {"a": [1, True]}, "robbery": n % 2 == 0, "extra": 1} for n in range(total)]
+    land(tmp_path, records, lengths)
+    tmp_path.mkdir(exist_ok=True)
+    fetch = pages.LandedPages(f"file://{tmp_path}")
+    assert pages.count_records(fetch) == total
+    for tasks in (1, 2, 6, 100):
+        df = pages.read_pages(spark, fetch, page_limit=50, tasks=tasks)
+        assert df.columns == list(cfg.BRONZE_COLUMNS)
+        assert sorted(r.county for r in df.collect()) == sorted(r["county"] for r in records)
     if total:
         first = df.filter("county = 'c0'").head()
-        assert first.year == "0" and first.agency is None
+        assert first.year == "0" and first.agency == '{"a":[1,true]}' and first.robbery == "true" and first.murder_non_negl_manslaughter is None
+        landed = pages.read_landed_pages(spark, str(tmp_path))
+        assert sorted(map(str, landed.collect())) == sorted(map(str, df.collect()))
+
+
+def test_records_that_arrive_after_the_count_are_read(spark):
+    class Growing:
+        def __call__(self, offset, limit):
+            return [{"county": str(n)} for n in range(offset, min(130, offset + min(limit, 30)))]
+
+    reader = pages._Reader(Growing(), pages.BRONZE_SCHEMA, 50, 3)
+    ranges = [pages.PageRange(0, 50), pages.PageRange(50, None)]
+    assert [r[0] for p in ranges for r in reader.read(p)] == [str(n) for n in range(130)]
+    assert sorted(r[0] for p in reader.partitions() for r in reader.read(p)) == sorted(str(n) for n in range(130))
+
 
+def test_rest_transport_asks_for_pages_in_order(monkeypatch):
+    import io
+    import urllib.request
 
-def test_page_cap_is_rounded_up_to_a_page(spark, tmp_path):
-    for offset in range(0, 200, 50):
-        write(tmp_path / f"{offset}.json", "".join(json.dumps({"county": str(offset + n)}) + "\n" for n in range(50)))
-    assert pages.read_pages(spark, pages.PageFiles(str(tmp_path)), page_limit=50, max_records=120).count() == 150
+    asked = []
+    monkeypatch.setattr(urllib.request, "urlopen", lambda request, timeout: asked.append((request.full_url, request.headers, timeout)) or io.BytesIO(b'[{"county": "a"}]'))
+    assert pages.RestPages("https://host/x", "key")(40, 20) == [{"county": "a"}]
+    assert asked == [("https://host/x?%24limit=20&%24offset=40&%24order=%3Aid", {"X-app-token": "key"}, 60)]
 
 
 def test_empty_source_is_refused(spark):
