@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -761,3 +761,83 @@ def clean_texts(i: Inputs) -> DataFrame:
         text.normalize_name(txt).alias("name"), text.clean_fte(txt).alias("fte"), text.split_last(full).alias("last"),
         text.split_first(full).alias("first"), text.name_key(txt, F.nullif(full, F.lit("SOLO"))).alias("name_key"),
         dates.short_date(F.col("day")).alias("short_day"))
+
+
+# ---------------------------------------------------------------- written tables, reports and their order
+def _placed(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows of a sorted report with their place."""
+    return df.withColumn("_id", F.monotonically_increasing_id()).select(*columns, F.row_number().over(Window.orderBy("_id")).alias("place"))
+
+
+@query
+def order_conflicting_state_ids(i: Inputs) -> DataFrame:
+    return _placed(quality.conflicting_keys(i.st_enrollment()), "normalized_nyssis_id")
+
+
+@query
+def order_spine_triage(i: Inputs) -> DataFrame:
+    return _placed(audit_spine.triage(_spine(i)), "severity", "final_validation_status")
+
+
+@query
+def order_roster_summary(i: Inputs) -> DataFrame:
+    return _placed(audit_roster.severity_summary(_roster_audits(i)), "severity", "final_validation_status")
+
+
+@query
+def order_of_written_rankings(i: Inputs) -> DataFrame:
+    """Places in the written files: by file, then by row."""
+    folder = i.folder("rankings")
+    sinks.sorted_for_write(statistics.GOLD["gold_county_rankings"][0](_silver(i)), ["county", "year"]).write.parquet(folder)
+    back = i.spark.read.parquet(folder).select("county", "year", F.col("_metadata.file_name").alias("f"), F.col("_metadata.row_index").alias("r"))
+    return back.select("county", "year", F.row_number().over(Window.orderBy("f", "r")).alias("place"))
+
+
+@query
+def sink_refreshed_table(i: Inputs) -> DataFrame:
+    """Written twice under one name, then scanned by name."""
+    folder = i.folder("silver")
+    name = "checks_" + folder.rsplit("-", 1)[1]
+    sinks.write_table(_silver(i).limit(0).drop("agency"), name, path=folder)
+    sinks.write_table(_silver(i), name, path=folder)
+    return i.spark.table(name)
+
+
+@query
+def source_roster_file(i: Inputs) -> DataFrame:
+    folder = i.folder("roster")
+    columns = {"c_custkey": "Cust  Key", "nyssis_id": " NYSSIS ID", "student_id": "Student ID", "grade": "Grade"}
+    i.gen_roster().select(*[F.col(n).alias(h) for n, h in columns.items()]).write.option("header", True).csv(folder)
+    back = tables.read_roster(i.spark, folder)
+    return back.select(*[F.col(f"`{tables.normalize_header(h)}`").alias(n) for n, h in columns.items()])
+
+
+@query
+def source_fallback(i: Inputs) -> DataFrame:
+    return tables.with_fallback([None, i.monthly(1)], "c_custkey long, nyssis_id string").select("c_custkey", "nyssis_id")
+
+
+@query
+def source_required_rows(i: Inputs) -> DataFrame:
+    return sinks.require_rows(i.st_enrollment()).select("enrollment_seq")
+
+
+def _report_counts(i: Inputs, tabs: dict[str, DataFrame]) -> DataFrame:
+    """Rows of every tab, read back from where the report was written."""
+    paths = sinks.write_report(tabs, i.folder("report"))
+    return sinks.table_counts({tab: i.spark.read.parquet(path) for tab, path in paths.items()})
+
+
+@query
+def report_roster_audit(i: Inputs) -> DataFrame:
+    return _report_counts(i, audit_roster.report(_roster_audits(i), i.folder("audit")))
+
+
+@query
+def report_billing(i: Inputs) -> DataFrame:
+    return _report_counts(i, audit_billing.report(_billing(i), folder=i.folder("audit")))
+
+
+@query
+def report_unified(i: Inputs) -> DataFrame:
+    return _report_counts(i, unify.report(_final_roster(i), unify.dedupe_export(_exports(i)), "row_id", i.folder("audit")))

@@ -135,16 +135,18 @@ def top_counties(rankings: DataFrame, k: int = 10) -> DataFrame:
 
 
 def county_history(trend: DataFrame, county: str, columns: list[str], n: int) -> DataFrame:
-    """The last n years of one county."""
-    return trend.filter(F.col("county") == county).select(*columns).orderBy(F.desc("year")).limit(n)
+    """The last n years of one county; rows of one year by their other columns."""
+    return trend.filter(F.col("county") == county).select(*columns).orderBy(F.desc("year"), *columns).limit(n)
 
 
 def with_population_rate(silver_df: DataFrame, population: DataFrame) -> DataFrame:
-    """Fill crime_rate_per_100k from (county, year, population); unknown or zero population leaves NULL."""
-    side = population.select(
-        F.concat_ws("|", "county", F.col("year").cast("string")).alias("_key"), F.col("population"))
-    key = F.when(F.col("county").isNotNull() & F.col("year").isNotNull(),
-                 F.concat_ws("|", "county", F.col("year").cast("string")))
+    """Fill crime_rate_per_100k from (county, year, population); unknown or zero population leaves NULL.
+
+    A county and year that is listed more than once counts with its largest population, so rows are never multiplied.
+    """
+    glued = F.when(F.col("county").isNotNull() & F.col("year").isNotNull(), F.concat_ws("\u001f", "county", F.col("year").cast("string")))
+    side = population.groupBy(glued.alias("_key")).agg(F.max("population").alias("population")).filter("_key IS NOT NULL")
+    key = glued
     joined = left_on_key(silver_df, side, key, "_key", ["agency", "total_index_crimes"])
     rate = F.round(F.try_divide(F.col("total_index_crimes") * 100000, F.col("population")), 2)
     return joined.withColumn("crime_rate_per_100k", rate).drop("population")

@@ -15,7 +15,7 @@ def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]").appName("tests").config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "6g")
-        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false").config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints"))).getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
