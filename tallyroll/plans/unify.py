@@ -167,14 +167,19 @@ def patch_dob_and_school(roster: DataFrame, st: DataFrame, row_id: str) -> DataF
 def patch_all(roster: DataFrame, st: DataFrame, row_id: str) -> DataFrame:
     """Student IDs, then state IDs (seeing the new student IDs), then birth date and school.
 
-    Complete rows take no part in the lookups and are added back unchanged.
+    Only the columns that the lookups read and fill go through them, and only those of
+    incomplete rows; what they found is joined to the whole rows once, by row.
     """
     incomplete = (
         missing(c("Student ID")) | missing(c("NYSSIS ID")) | c("DOB").isNull() | missing(c("School Name"), "", "NA"))
-    gaps = roster.filter(incomplete)
+    filled = ["Student ID", "NYSSIS ID", "DOB", "School Name"]
+    gaps = roster.filter(incomplete).select(c(row_id), *[c(n) for n in (*filled, "First Name", "Last Name")])
     for step in (patch_student_id, patch_nyssis, patch_dob_and_school):
         gaps = step(gaps, st, row_id)
-    return roster.filter(~incomplete).unionByName(gaps)
+    found = gaps.select(c(row_id).alias("_id"), *[c(n).alias(f"_{k}") for k, n in enumerate(filled)])
+    joined = roster.join(found, c(row_id) == F.col("_id"), "left")
+    new = {n: F.when(F.col("_id").isNotNull(), F.col(f"_{k}")).otherwise(c(n)).alias(n) for k, n in enumerate(filled)}
+    return joined.select(*[new[n] if n in new else c(n) for n in roster.columns])
 
 
 def patch_counters(before: DataFrame, after: DataFrame, row_id: str, blanks: dict[str, tuple[str, ...]] = PATCHED_BLANKS) -> DataFrame:
