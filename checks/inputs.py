@@ -39,7 +39,7 @@ class Inputs:
     def folder(self, name: str) -> str:
         """A new folder below the shared one. Where Spark runs in one process and none is named, a temporary one."""
         spark = self.spark
-        if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.master.startswith("local["):
+        if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.master.split("[")[0] == "local":
             _LOCAL.setdefault("folder", "file://" + tempfile.mkdtemp(prefix="run-"))
         return f"{shared_folder(spark, _LOCAL.get('folder'))}/{name}-{uuid.uuid4().hex}"
 
