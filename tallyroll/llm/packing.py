@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 import zlib
 from collections import defaultdict
 
@@ -34,15 +35,24 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyroll.llm.bpe import _UNITS, LONGEST_KEPT, UNITS_KEPT
+from tallyroll.llm.bpe import WORDS, byte_alphabet
 from tallyroll.llm.common import land, texts_of
 
 #: A source below this share of the tokens (8 tokens of a window of 2048) has no queue of its own, so there are 257 queues at most.
 OWN_SHARE = 1 / 256
+#: Texts of more characters are tokenized in parts.
+LONG = 1 << 16
+#: A single space between two visible characters.
+_CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 class LibraryTokens:
-    """Token ids by the tokenizers library; the ids of short units between spaces are kept."""
+    """Token ids as the tokenizers library gives them.
+
+    For a byte-level BPE file whose ids are in merge order (checked when it is read),
+    texts without added tokens go through tiktoken with that file's vocabulary, which
+    makes the same ids faster; all others go through the library.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -52,31 +62,39 @@ class LibraryTokens:
         self.library.no_padding()
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        pre = spec["pre_tokenizer"] or {}
-        self.by_unit = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not spec["normalizer"] and not any(
-            t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"] for t in spec["added_tokens"])
         self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self._kept: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
+        self.added = [t["content"] for t in spec["added_tokens"]]
+        self.ranked = self._ranked(spec)
+
+    @staticmethod
+    def _ranked(spec: dict):
+        import tiktoken
+
+        model, pre = spec["model"], spec["pre_tokenizer"] or {}
+        if model["type"] != "BPE" or spec["normalizer"] or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True) or any(
+                model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")):
+            return None
+        merged = [model["vocab"]["".join(m) if isinstance(m, list) else m.replace(" ", "", 1)] for m in model["merges"]]
+        alphabet = byte_alphabet()
+        if merged != sorted(merged) or len(merged) + 256 != len(model["vocab"]) or min(merged, default=256) < 256:
+            return None
+        ranks = {bytes(alphabet[c] for c in token): i for token, i in model["vocab"].items()}
+        return tiktoken.Encoding("file", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def encode(self, text: str) -> bytes:
         """The text's ids, packed."""
-        if not self.by_unit:
-            return self._ids(text)
-        out, units = [], _UNITS.split(text) if text else []
-        for lead, some in (("", units[:1]), (" ", units[1:])):
-            kept = self._kept[bool(lead)]
-            for unit in some:
-                found = kept.get(unit)
-                if found is None:
-                    found = self._ids(lead + unit)
-                    if len(unit) <= LONGEST_KEPT:
-                        if len(kept) >= UNITS_KEPT:
-                            kept.clear()
-                        kept[unit] = found
-                out.append(found)
+        if self.ranked is None or any(t in text for t in self.added):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
+        if len(text) <= LONG:
+            return np.array(self.ranked(text), dtype=self.kind).tobytes()
+        # Long texts in parts that start at single spaces, where no word of the pattern continues.
+        out, at = [], 0
+        while at < len(text):
+            cut = _CUT.search(text, at + LONG // 2)
+            end = cut.start() if cut else len(text)
+            part = text[at:end]
+            out.append(np.array(self.ranked(part) if len(part) <= LONG else self.library.encode(part, add_special_tokens=False).ids, dtype=self.kind).tobytes())
+            at = end
         return b"".join(out)
 
 
@@ -86,6 +104,9 @@ def library_tokens(path: str) -> LibraryTokens:
     return LibraryTokens(path)
 
 
+_TURNS = 1 << 13  # rounds looked at together
+
+
 class Rounds:
     """Which queue serves which tokens in which round.
 
@@ -108,40 +129,63 @@ class Rounds:
         out[rounds >= self.rounds] = self.totals
         return out
 
-    def round_of(self, queue: int, tokens: np.ndarray) -> np.ndarray:
-        """The round in which the queue serves its tokens of these numbers."""
-        level = (tokens + 0.5) / self.weights[queue]
+    def served_by(self, queues: np.ndarray, rounds: np.ndarray) -> np.ndarray:
+        """Tokens that the given queues have served before the given rounds, pair by pair; the same numbers as in `served`."""
+        level = np.interp(rounds * float(self.length), self.served_at, self.levels)
+        out = np.minimum(np.floor(level * self.weights[queues] + 0.5).astype(np.int64), self.totals[queues])
+        return np.where(rounds >= self.rounds, self.totals[queues], out)
+
+    def round_of(self, queues: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+        """The rounds in which the given queues serve their tokens of the given numbers, pair by pair."""
+        level = (tokens + 0.5) / self.weights[queues]
         found = np.interp(level, self.levels, self.served_at) // self.length
         found = np.clip(found.astype(np.int64), 0, self.rounds - 1)
         while True:
-            early = self.served(found + 1)[:, queue] <= tokens
-            late = self.served(found)[:, queue] > tokens
+            early = self.served_by(queues, found + 1) <= tokens
+            late = self.served_by(queues, found) > tokens
             if not early.any() and not late.any():
                 return found
             found = found + early - late
 
-    def pieces(self, queue: int, first: int, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """How tokens first .. first + count - 1 of a queue are cut: start (from first), length, place in the stream of all rounds."""
-        ends = np.array([first, first + count - 1])
-        if self.served(self.round_of(queue, ends[:1]) + 1)[0, queue] >= first + count:
-            rounds = self.round_of(queue, ends[:1])
-        elif self.weights[queue] * self.levels[-1] >= self.rounds:  # a token and more in each round
-            rounds = np.arange(*(self.round_of(queue, ends) + [0, 1]))
-        else:
-            rounds = np.unique(self.round_of(queue, np.arange(first, first + count)))
-        before, after = self.served(rounds), self.served(rounds + 1)
-        starts = np.maximum(before[:, queue], first)
-        lengths = np.minimum(after[:, queue], first + count) - starts
-        places = before.sum(axis=1) + (after - before)[:, :queue].sum(axis=1) + starts - before[:, queue]
+    def pieces(self, queues: np.ndarray, firsts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """How documents are cut whose tokens are first .. first + count - 1 of their queues.
+
+        Per piece: document, start in the document, length, place in the stream of all rounds.
+        """
+        begin, end = self.round_of(queues, firsts), self.round_of(queues, firsts + counts - 1)
+        # A queue that serves less than a token in a round skips rounds; then its tokens are looked at, not the rounds between them.
+        sparse = end - begin >= counts
+        docs, rounds = [], []
+        for k in np.flatnonzero(sparse):
+            own = np.unique(self.round_of(np.full(counts[k], queues[k]), np.arange(firsts[k], firsts[k] + counts[k])))
+            docs.append(np.full(len(own), k))
+            rounds.append(own)
+        dense = np.flatnonzero(~sparse)
+        n = (end - begin + 1)[dense]
+        docs.append(np.repeat(dense, n))
+        rounds.append(np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begin[dense], n))
+        doc, turn = np.concatenate(docs), np.concatenate(rounds)
+        # What all queues have served before each round, once for each round that occurs.
+        turns, at = np.unique(turn, return_inverse=True)
+        starts, lengths, places = np.empty(len(doc), np.int64), np.empty(len(doc), np.int64), np.empty(len(doc), np.int64)
+        by_turn = np.argsort(at, kind="stable")
+        for low in range(0, len(turns), _TURNS):
+            before, after = self.served(turns[low:low + _TURNS]), self.served(turns[low:low + _TURNS] + 1)
+            ahead = np.cumsum(after - before, axis=1) - (after - before) + before.sum(axis=1)[:, None]
+            own = by_turn[np.searchsorted(at, low, sorter=by_turn):np.searchsorted(at, low + _TURNS, sorter=by_turn)]
+            row, queue = at[own] - low, queues[doc[own]]
+            starts[own] = np.maximum(before[row, queue], firsts[doc[own]])
+            lengths[own] = np.minimum(after[row, queue], firsts[doc[own]] + counts[doc[own]]) - starts[own]
+            places[own] = ahead[row, queue] + starts[own] - before[row, queue]
         full = lengths > 0
-        starts, lengths, places = starts[full], lengths[full], places[full]
+        doc, starts, lengths, places = doc[full], starts[full], lengths[full], places[full]
         # Cut again where a sequence ends.
         n = (places + lengths - 1) // self.length - places // self.length + 1
         k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        starts, lengths, places = np.repeat(starts, n), np.repeat(lengths, n), np.repeat(places, n)
+        doc, starts, lengths, places = np.repeat(doc, n), np.repeat(starts, n), np.repeat(lengths, n), np.repeat(places, n)
         begin = np.maximum(places, (places // self.length + k) * self.length)
         stop = np.minimum(places + lengths, (places // self.length + k + 1) * self.length)
-        return starts + begin - places - first, stop - begin, begin
+        return doc, starts + begin - places - firsts[doc], stop - begin, begin
 
 
 def tokenize(docs: DataFrame, path: str, end_id: int) -> DataFrame:
@@ -216,23 +260,19 @@ def pack(docs: DataFrame, path: str, length: int = 2048, end_id: int = 1, mixtur
 
     def run(batches):
         for batch in batches:
-            n, packed, queue, first = (batch.column(k).to_pylist() for k in (2, 3, 4, 5))
-            rows, cuts, crcs = [], [], []
-            for k in range(batch.num_rows):
-                start, size, place = rounds.pieces(queue[k], first[k], n[k])
-                ids = np.frombuffer(packed[k], np.dtype(f"<u{len(packed[k]) // n[k]}")).astype("<u4")
-                view = memoryview(ids).cast("B")
-                crcs += [zlib.crc32(view[4 * a:4 * (a + b)]) for a, b in zip(start.tolist(), size.tolist(), strict=True)]
-                rows.append(np.full(len(start), k))
-                cuts.append((start, size, place))
-            if not rows:
+            packed = batch.column(3).to_pylist()
+            n, queue, first = (np.array(batch.column(k).to_pylist(), np.int64) for k in (2, 4, 5))
+            if not len(n):
                 continue
-            row = pa.array(np.concatenate(rows))
-            start, size, place = (np.concatenate([c[k] for c in cuts]) for k in range(3))
-            sequence = place // length
+            row, start, size, place = rounds.pieces(queue, first, n)
+            crcs = np.empty(len(row), np.int64)
+            views = [memoryview(np.frombuffer(p, np.dtype(f"<u{len(p) // k}")).astype("<u4")).cast("B") for p, k in zip(packed, n.tolist(), strict=True)]
+            for at, (k, a, b) in enumerate(zip(row.tolist(), (4 * start).tolist(), (4 * (start + size)).tolist(), strict=True)):
+                crcs[at] = zlib.crc32(views[k][a:b])
+            sequence, row = place // length, pa.array(row)
             padded = np.where(sequence == rounds.rounds - 1, padded_last, length)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(row), pa.array(start), pa.array(size), pa.array(crcs, pa.int64()), batch.column(2).take(row), pa.array(sequence), pa.array(place % length), pa.array(padded.astype(np.int64)), batch.column(1).take(row)],
+                [batch.column(0).take(row), pa.array(start), pa.array(size), pa.array(crcs), batch.column(2).take(row), pa.array(sequence), pa.array(place % length), pa.array(padded.astype(np.int64)), batch.column(1).take(row)],
                 names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "padded_length", "source"])
 
     return placed.mapInArrow(run, schema)
