@@ -23,6 +23,10 @@ first pivot. The number of pivots grows from round to round, the last takes all
 are left, so the recursion ends and misses nothing. Pairs within a group of near
 copies are never listed.
 
+Before sets are compared, signatures are: counts of a set's shingles in 256 buckets.
+They map sets into a space where they lie no farther apart, so they rule out pairs and
+never a link. Only the sets of classes that still have a partner are made again.
+
 Shingles are 64-bit hashes of word sequences. Within one pair of texts of n shingles
 two different shingles collide with a probability of about n^2 / 2^64.
 """
@@ -40,14 +44,18 @@ from pyspark.sql import functions as F
 from tallyroll.llm.common import bytes_of, land, new_path
 from tallyroll.llm.components import components
 
-#: Cells and blocks of the table of shingle counts: 2 MB whatever the input.
-CELLS, BLOCK = 1 << 18, 1 << 14
+#: Cells and blocks of the table of shingle counts: 8 MB whatever the input.
+CELLS, BLOCK = 1 << 20, 1 << 14
 #: Members up to which a region yields its pairs directly.
 LEAF = 32
 #: Members that meet one pivot in one task.
 SALT = 512
-#: 64-bit words of the bitmap that tells which classes have a partner: 1 MB whatever the input.
+#: 64-bit words of the bitmap that tells which texts are needed again: 1 MB whatever the input.
 WORDS = 1 << 17
+#: Buckets of a class's signature.
+BUCKETS = 256
+_ROWS = 2000  # rows handled at a time
+_CELL = np.uint64(64 - CELLS.bit_length() + 1)
 _ENTRY = np.dtype([("u", "<u8"), ("c", "<i8"), ("n", "<u4"), ("i", "<u4")])
 
 
@@ -73,39 +81,51 @@ def shingle_hashes(text: bytes, width: int, factors: list[np.uint64]) -> np.ndar
     return h[np.concatenate([[True], h[1:] != h[:-1]])]
 
 
-def shingle_sets(docs: DataFrame, width: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """The landed sets (id, n, digest, shingles: null if the task has seen the set before) and the counts by task (block, counts)."""
-    spark, rows = docs.sparkSession, docs.select(id_col, text_col)
-    kind = rows.schema[0].dataType.simpleString()
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, _ROWS):
+            yield batch.slice(at, _ROWS)
+
+
+def class_number(digest: bytes) -> int:
+    return int.from_bytes(digest[:8], "little", signed=True)
+
+
+def signature(shingles: np.ndarray) -> bytes:
+    """How many shingles fall into each of BUCKETS buckets, 255 at most. Between two sets these numbers differ by |A \\ B| + |B \\ A| in sum at most."""
+    return np.minimum(np.bincount(((shingles >> np.uint64(20)) & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS), 255).astype(np.uint8).tobytes()
+
+
+def shingled(docs: DataFrame, width: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """The landed rows (id, n, c, digest, sig: null if the task has seen the set before) and the counts by task (block, counts)."""
+    spark, kind = docs.sparkSession, docs.schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        factors, counts, seen, names = _odd(1, width), np.zeros(CELLS, np.uint32), set(), ["id", "n", "digest", "shingles", "kind"]
-        id_type = pa.int64()
-        for batch in batches:
+        factors, counts, seen, names, id_type = _odd(seed, width), np.zeros(CELLS, np.uint32), set(), ["id", "n", "c", "digest", "sig", "kind"], pa.int64()
+        for batch in _slices(batches):
             id_type = batch.column(0).type
-            n, digests, sets = [], [], []
+            n, digests, signatures = [], [], []
             for text in bytes_of(batch.column(1)):
                 s = shingle_hashes(text, width, factors)
                 digest = xxhash.xxh3_128_digest(s.tobytes())
+                new = len(s) > 0 and digest not in seen
                 n.append(len(s))
                 digests.append(digest)
-                new = len(s) > 0 and digest not in seen
-                sets.append(s.tobytes() if new else None)
+                signatures.append(signature(s) if new else None)
                 if new:
                     seen.add(digest)
-                    counts += np.bincount((s >> np.uint64(46)).astype(np.int64), minlength=CELLS).astype(np.uint32) if len(s) > CELLS >> 4 else 0
-                    if len(s) <= CELLS >> 4:
-                        np.add.at(counts, s >> np.uint64(46), 1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(sets, pa.binary()), pa.array([0] * len(n), pa.int32())], names=names)
+                    np.add.at(counts, (s >> _CELL).astype(np.int64), 1)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(map(class_number, digests), pa.int64()), pa.array(digests, pa.binary()), pa.array(signatures, pa.binary()), pa.array([0] * len(n), pa.int32())], names=names)
         if seen:
             blocks = [counts[k:k + BLOCK].tobytes() for k in range(0, CELLS, BLOCK)]
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(blocks), id_type), pa.array(range(len(blocks)), pa.int64()), pa.nulls(len(blocks), pa.binary()), pa.array(blocks, pa.binary()), pa.array([1] * len(blocks), pa.int32())], names=names)
+            none, n = lambda t: pa.nulls(len(blocks), t), pa.array(range(len(blocks)), pa.int64())
+            yield pa.RecordBatch.from_arrays([none(id_type), n, none(pa.int64()), none(pa.binary()), pa.array(blocks, pa.binary()), pa.array([1] * len(blocks), pa.int32())], names=names)
 
-    path = new_path(spark, "shingle-sets")
-    schema = f"id {kind}, n long, digest binary, shingles binary"
-    rows.mapInArrow(run, schema + ", kind int").write.partitionBy("kind").option("compression", "zstd").parquet(path)
-    read = spark.read.schema(schema + ", kind int").parquet(path)
-    return read.filter("kind = 0").drop("kind"), read.filter("kind = 1").select(F.col("n").alias("block"), F.col("shingles").alias("counts"))
+    path, schema = new_path(spark, "shingled"), f"id {kind}, n long, c long, digest binary, sig binary, kind int"
+    docs.mapInArrow(run, schema).write.partitionBy("kind").option("compression", "zstd").parquet(path)
+    read = spark.read.schema(schema).parquet(path)
+    return read.filter("kind = 0").drop("kind"), read.filter("kind = 1").select(F.col("n").alias("block"), F.col("sig").alias("counts"))
 
 
 def total_counts(parts: DataFrame) -> np.ndarray:
@@ -125,21 +145,28 @@ def total_counts(parts: DataFrame) -> np.ndarray:
     return out
 
 
-def region_entries(sets: DataFrame, counts: np.ndarray, percent: int, buckets: int) -> DataFrame:
-    """(bucket, entries): each class with the shingles in whose regions it lies, its size and their places, packed."""
-    order = sets.sparkSession.sparkContext.broadcast(counts)
+def region_entries(docs: DataFrame, counts: np.ndarray, width: int, seed: int, percent: int, buckets: int) -> DataFrame:
+    """(bucket, entries): each class with the shingles in whose regions it lies, its size and their places, packed.
+
+    Shingles are hashed anew: reading the texts again is cheaper than writing all shingles.
+    """
+    order = docs.sparkSession.sparkContext.broadcast(np.minimum(counts, np.iinfo(np.uint32).max).astype(np.uint32))
     shift = np.uint64(64 - buckets.bit_length() + 1) if buckets > 1 else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        factors, seen = _odd(seed, width), set()
+        for batch in _slices(batches):
             some = []
-            for c, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                s = np.frombuffer(raw, np.uint64)
-                n = len(s)
+            for text in bytes_of(batch.column(1)):
+                s = shingle_hashes(text, width, factors)
+                n, digest = len(s), xxhash.xxh3_128_digest(s.tobytes())
+                if not n or digest in seen:
+                    continue
+                seen.add(digest)
                 reach = n - -(-percent * n // 100) + 1
-                place = np.argsort(order.value[(s >> np.uint64(46)).astype(np.int64)], kind="stable")[:reach]
+                place = np.argsort(order.value[(s >> _CELL).astype(np.int64)], kind="stable")[:reach]
                 e = np.empty(reach, _ENTRY)
-                e["u"], e["c"], e["n"], e["i"] = s[place], c, n, np.arange(reach)
+                e["u"], e["c"], e["n"], e["i"] = s[place], class_number(digest), n, np.arange(reach)
                 some.append(e)
             if not some:
                 continue
@@ -151,7 +178,7 @@ def region_entries(sets: DataFrame, counts: np.ndarray, percent: int, buckets: i
             ends = np.append(at[1:], len(bucket))
             yield pa.RecordBatch.from_arrays([pa.array(bucket[at]), pa.array([entries[a:b].tobytes() for a, b in zip(at, ends, strict=True)], pa.binary())], names=["bucket", "entries"])
 
-    return sets.filter("shingles IS NOT NULL").select("c", "shingles").mapInArrow(run, "bucket long, entries binary")
+    return docs.mapInArrow(run, "bucket long, entries binary")
 
 
 def join_regions(entries: DataFrame, percent: int) -> DataFrame:
@@ -201,34 +228,65 @@ def join_regions(entries: DataFrame, percent: int) -> DataFrame:
     return entries.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "large long, x long, y long, k long")
 
 
-def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Per distinct pair (x, y) of classes: x, y, `common`, n_x, n_y. Pairs with equal (key, salt) meet in one task, and every set goes there once."""
-    spark = pairs.sparkSession
-    pairs = land(pairs.groupBy("x", "y").agg(F.min(F.struct("key", "salt")).alias("at")).select("x", "y", "at.key", "at.salt"), "pairs")
-    ends = land(pairs.select("key", "salt", F.col("x").alias("c")).unionAll(pairs.select("key", "salt", "y")).distinct(), "pair-ends")
-    words = ends.groupBy(F.pmod("c", F.lit(WORDS)).cast("int").alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(shiftright(c, 17), 64) as int))")).alias("bits"))
+def possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The distinct pairs (x, y, key, salt), landed, less those whose signatures lie too far apart.
+
+    Signatures lie no farther apart than the sets, so no pair within the radius goes.
+    """
+    once = pairs.groupBy("x", "y").agg(F.min(F.struct("key", "salt")).alias("at")).select("x", "y", "at.key", "at.salt")
+    side = lambda name: classes.select(F.col("c").alias(name), F.col("n").alias(f"n_{name}"), F.col("sig").alias(f"sig_{name}"))
+    both = once.join(side("x"), "x").join(side("y"), "y").select("x", "y", "key", "salt", "n_x", "n_y", "sig_x", "sig_y")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            n = sum(batch.column(k).to_numpy(zero_copy_only=False) for k in (4, 5))
+            a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, BUCKETS).astype(np.int16) for k in (6, 7))
+            apart = np.abs(a - b).sum(axis=1, dtype=np.int64)
+            yield batch.select(range(4)).filter(pa.array(apart <= n - 2 * -(-percent * n // (100 + percent))))
+
+    return land(both.mapInArrow(run, "x long, y long, key long, salt long"), "pairs")
+
+
+def wanted_sets(docs: DataFrame, wanted: DataFrame, width: int, seed: int) -> DataFrame:
+    """The landed sets (c, shingles) of the wanted classes (c, keeper: the id of a row that has it), hashed anew."""
+    spark = docs.sparkSession
+    place = F.xxhash64("keeper")
+    words = wanted.groupBy(F.pmod(place, F.lit(WORDS)).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(shiftright(xxhash64(keeper), 17), 64) as int))")).alias("bits"))
     bitmap = np.zeros(WORDS, np.uint64)  # at most WORDS rows come to the driver
     for w, bits in words.collect():
         bitmap[w] = np.int64(bits).astype(np.uint64)
-    wanted = spark.sparkContext.broadcast(bitmap)
+    marked = spark.sparkContext.broadcast(bitmap)
 
-    def having_partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            c = batch.column(0).to_numpy(zero_copy_only=False)
-            bit = np.right_shift(c, 17) % 64
-            hit = (wanted.value[c % WORDS] >> bit.astype(np.uint64)) & np.uint64(1) == 1
-            if hit.any():
-                yield batch.filter(pa.array(hit))
-
-    found = sets.filter("shingles IS NOT NULL").select("c", "shingles").mapInArrow(having_partners, "c long, shingles binary")
-    found = ends.join(found, "c").dropDuplicates(["key", "salt", "c"])
-    rows = found.select("key", "salt", F.lit(0).alias("what"), "c", F.lit(0).cast("long").alias("d"), "shingles").unionAll(
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        factors, seen = _odd(seed, width), set()
+        for batch in _slices(batches):
+            at = batch.column(2).to_numpy(zero_copy_only=False)
+            hit = (marked.value[at % WORDS] >> (np.right_shift(at, 17) % 64).astype(np.uint64)) & np.uint64(1) == 1
+            c, sets = [], []
+            for text in bytes_of(batch.column(1).filter(pa.array(hit))):
+                s = shingle_hashes(text, width, factors)
+                digest = xxhash.xxh3_128_digest(s.tobytes())
+                if len(s) and digest not in seen:
+                    seen.add(digest)
+                    c.append(class_number(digest))
+                    sets.append(s.tobytes())
+            if c:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(sets, pa.binary())], names=["c", "shingles"])
+
+    found = docs.select("id", "text", F.xxhash64("id")).mapInArrow(run, "c long, shingles binary")
+    return land(found.join(wanted.select("c"), "c", "left_semi"), "wanted-sets")
+
+
+def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Per pair (x, y) of classes: x, y, `common`, n_x, n_y. Pairs with equal (key, salt) meet in one task, and every set goes there once."""
+    ends = pairs.select("key", "salt", F.col("x").alias("c")).unionAll(pairs.select("key", "salt", "y")).distinct()
+    rows = ends.join(sets, "c").select("key", "salt", F.lit(0).alias("what"), "c", F.lit(0).cast("long").alias("d"), "shingles").unionAll(
         pairs.select("key", "salt", F.lit(1), "x", "y", F.lit(None).cast("binary")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
         at = None
-        for batch in batches:
+        for batch in _slices(batches):
             out = []
             for key, salt, what, c, d, raw in zip(*(col.to_pylist() for col in batch.columns), strict=True):
                 if (key, salt) != at:
@@ -245,25 +303,29 @@ def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.repartition("key", "salt").sortWithinPartitions("key", "salt", "what").mapInArrow(run, "x long, y long, common long, n_x long, n_y long")
 
 
-def class_links(sets: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
+def class_links(docs: DataFrame, classes: DataFrame, counts: np.ndarray, width: int, seed: int, percent: int) -> DataFrame:
     """Edges (x, y) between classes within the radius, enough of them to join all that are linked by a path."""
-    total = sets.agg(F.sum("n")).first()[0] or 0
+    total = classes.agg(F.sum("n")).first()[0] or 0
     buckets = 1 << max(0, int(total * (100 - percent) // 100 // 32768).bit_length())
-    regions = land(join_regions(region_entries(sets, counts, percent, buckets), percent), "regions")
-    pairs = regions.filter("large = 0").select("x", "y", F.col("k").alias("key"), F.lit(0).cast("long").alias("salt"))
+    regions = land(join_regions(region_entries(docs, counts, width, seed, percent, buckets), percent), "regions")
+    near = regions.filter("large = 0").select("x", "y", F.col("k").alias("key"), F.lit(0).cast("long").alias("salt"))
     members = regions.filter("large = 1").select(F.col("k").alias("g"), F.col("x").alias("c"))
     heads = members.groupBy("g").agg(F.min("c").alias("p"), F.count("*").alias("m"))
     salt = F.pmod(F.xxhash64("c"), F.ceil(F.col("m") / SALT))
     met = members.join(heads, "g").filter("c <> p")
     stars = met.select(F.col("c").alias("x"), F.col("p").alias("y"), F.col("p").alias("key"), salt.alias("salt"))
     within = f"100 * common >= {percent} * (n_x + n_y - common)"
-    measured = land(overlaps(pairs.unionAll(stars), sets), "overlaps")
+    pairs = possible(near.unionAll(stars), classes, percent)
+    wanted = pairs.select(F.col("x").alias("c")).unionAll(pairs.select("y")).unionAll(members.select("c")).distinct()
+    sets = wanted_sets(docs, land(wanted.join(classes.select("c", "keeper"), "c"), "wanted"), width, seed)
+    measured = land(overlaps(pairs, sets), "overlaps")
     edges = land(measured.filter(within).select("x", "y"), "links")
     if not members.take(1):
         return edges
     radius = 1 - percent / 100
     apart = measured.select("x", "y", (1 - F.col("common") / (F.col("n_x") + F.col("n_y") - F.col("common"))).alias("far"))
-    placed = met.join(apart, (apart["x"] == met["c"]) & (apart["y"] == met["p"])).select("g", "c", "far")
+    # A distance that no one has measured is null: it rules out no pair.
+    placed = met.join(apart, (apart["x"] == met["c"]) & (apart["y"] == met["p"]), "left").select("g", "c", "far")
     placed = land(placed.unionAll(heads.select("g", "p", F.lit(0.0))), "placed")
     pivots = 8
     while True:
@@ -281,9 +343,10 @@ def class_links(sets: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
         if not last:
             rest = rest.groupBy("g", F.pmod(F.xxhash64("c", F.lit(pivots)), F.lit(pivots)).alias("cell")).agg(F.min_by(F.struct("c", "far", "label"), "c").alias("q")).select("g", "q.*")
         q = rest.select("g", F.col("c").alias("q"), F.col("far").alias("q_far"), F.col("label").alias("q_label"))
-        near = still.join(q, "g").filter((F.col("label") != F.col("q_label")) & (F.abs(F.col("far") - F.col("q_far")) <= radius + 1e-9))
-        tried = near.select(F.least("c", "q").alias("x"), F.greatest("c", "q").alias("y"), F.col("q").alias("key"), F.pmod(F.xxhash64("c"), F.ceil(F.col("m") / SALT)).alias("salt"))
-        found = overlaps(tried, sets).filter(within).select("x", "y")
+        window = F.coalesce(F.abs(F.col("far") - F.col("q_far")) <= radius + 1e-9, F.lit(True))
+        met_again = still.join(q, "g").filter((F.col("label") != F.col("q_label")) & window)
+        tried = met_again.select(F.least("c", "q").alias("x"), F.greatest("c", "q").alias("y"), F.col("label").alias("key"), F.pmod(F.xxhash64("c"), F.ceil(F.col("m") / SALT)).alias("salt"))
+        found = overlaps(possible(tried, classes, percent), sets).filter(within).select("x", "y")
         edges = land(edges.unionAll(found).distinct(), "links")
         if last:
             return edges
@@ -304,14 +367,16 @@ def jaccard_classes(docs: DataFrame, width: int = 5, percent: int = 75, id_col:
     component but never names one, so among null ids alone the component is null.
     Other columns are not read; an empty table gives an empty one.
     """
-    sets, parts = shingle_sets(docs, width, id_col, text_col)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     for seed in range(1, 99):
-        keyed = sets.withColumn("c", F.xxhash64("digest", F.lit(seed)))
-        full = keyed.filter("n > 0")
-        classes = land(full.groupBy("c").agg(F.min("id").alias("first"), F.count("*").alias("n_copies"), F.min("digest").alias("d0"), F.max("digest").alias("d1")), "classes")
-        if not classes.filter("d0 <> d1").take(1):  # two different sets with one number: number anew
+        sets, parts = shingled(rows, width, seed)
+        full = sets.filter("n > 0")
+        classes = land(full.groupBy("c").agg(
+            F.min("id").alias("first"), F.count("*").alias("n_copies"), F.min("n").alias("n"), F.min(F.when(F.col("sig").isNotNull(), F.col("id"))).alias("keeper"),
+            F.min("sig").alias("sig"), F.min("digest").alias("d0"), F.max("digest").alias("d1")), "classes")
+        if not classes.filter("d0 <> d1").take(1):  # two different sets with one number: hash anew
             break
-    edges = class_links(full, total_counts(parts), percent)
+    edges = class_links(rows, classes, total_counts(parts), width, seed, percent)
     labels = components(edges)
     named = classes.join(labels, classes["c"] == labels["node"], "left").select("c", "first", "n_copies", F.coalesce("label", "c").alias("label"))
     heads = named.groupBy("label").agg(F.min("first").alias("component_id"))
