@@ -77,7 +77,8 @@ def payload_digests(pages: DataFrame, payload_col: str = "html") -> DataFrame:
 class ArchiveWriter:
     """Records into archives below a folder; `archives` lists (uri, records)."""
 
-    def __init__(self, folder: str, stem: str):
+    def __init__(self, folder: str, stem: str, most: int = ARCHIVE):
+        self.most = most
         self.fs, self.base = pyarrow.fs.FileSystem.from_uri(folder)
         self.folder, self.stem, self.archives = folder, stem, []
         self.fs.create_dir(self.base, recursive=True)
@@ -85,7 +86,7 @@ class ArchiveWriter:
         self.size = 0
 
     def record(self, headers: list[tuple[str, str]], http: bytes, payload: memoryview) -> None:
-        if self.out is None or self.size > ARCHIVE:
+        if self.out is None or self.size > self.most:
             self.close()
             name = f"{self.stem}-{len(self.archives):05d}.warc.gz"
             self.out, self.size = self.fs.open_output_stream(f"{self.base}/{name}", compression=None), 0
@@ -109,7 +110,7 @@ class ArchiveWriter:
             self.out = None
 
 
-def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least_bytes: int = 0) -> DataFrame:
+def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least_bytes: int = 0, archive_bytes: int = ARCHIVE) -> DataFrame:
     """Write a record for each row; the landed list of archives (uri, records).
 
     Of rows with equal payloads of at least `least_bytes` bytes, those with the largest
@@ -129,7 +130,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
         for batch in batches:
             ids, urls, digests, refers = (batch.column(k).to_pylist() for k in (0, 1, 3, 4))
             for i, url, payload, digest, to in zip(ids, urls, _views(batch.column(2)), digests, refers, strict=True):
-                out = out or ArchiveWriter(folder, f"part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}")
+                out = out or ArchiveWriter(folder, f"part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}", archive_bytes)
                 http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
                 clean = "".join(c for c in url or "" if c not in "\r\n")
                 headers = [("WARC-Type", "revisit" if to is not None else "response"), ("WARC-Record-ID", f"<urn:page:{'' if i is None else i}>"), ("WARC-Target-URI", clean),
