@@ -1,16 +1,18 @@
 """Toxicity grades by cumulative-link ordinal regression on sparse text features.
 
-Labels tell toxic from clean. Severity grades of the toxic texts come from the data:
-terms that labelled toxic texts hold far more often than clean ones are counted, and
-the texts' shares of such terms are cut at their thirds into grades 1 to 3; clean
-texts have grade 0. The model has one weight for each term, shared by all grades, and
-ordered thresholds t1 <= t2 <= t3: P(grade >= k) = sigmoid(w . x - t_k). The expected
-severity is the sum of these probabilities; a text is toxic if P(grade >= 1) >= 0.5.
+Labels tell toxic from clean. Features are words and beginnings of words that labelled
+toxic texts hold so much more often than clean ones that chance would hardly give one
+such term among all. The
+severity grades of toxic texts come from the data: the numbers of their words that hold
+such terms are cut at their thirds into grades 1 to 3; clean texts have grade 0. The model
+has one weight for each term, shared by all grades, and ordered thresholds
+t1 <= t2 <= t3: P(grade >= k) = sigmoid(w . x - t_k). The expected severity is the sum
+of these probabilities; a text is toxic if P(grade >= 1) >= 0.5.
 
 Fitting reads at most `max_labelled` labelled texts (all that there are, if fewer),
-taken by a hash of their ids, one of each group of equal texts. Terms are selected by
-Spark over these texts; what reaches the driver is at most `max_terms` terms and the
-sampled texts' entries for them. Every document is scored.
+taken by a hash of their ids, one of each group of copies. Terms are selected by Spark
+over these texts; what reaches the driver is at most `max_terms` terms and the sampled
+texts' counts of them. Every document is scored.
 """
 
 from __future__ import annotations
@@ -18,26 +20,35 @@ from __future__ import annotations
 import dataclasses
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyroll.llm.common import bytes_of, land
+from tallyroll.llm.common import bytes_of, land, texts_of
 from tallyroll.llm.features import Rows, descend, sigmoid
+from tallyroll.llm.jaccard import _odd, shingle_hashes
 
-#: Terms: runs of anything but ASCII characters that are no letters, A-Z in lower case.
-_TERM = re.compile(rb"[a-z\x80-\xff]+")
-MAX_LABELLED, MAX_TERMS, GRADES = 8000, 4096, 3
-#: A term marks toxic texts if its share of them is so many times its share of clean ones.
-MARKED = 8.0
+_WORD = re.compile(r"[^\W\d_]+")
+#: Lengths of the beginnings of words that are terms beside the words themselves.
+BEGINNINGS = (4, 5, 6, 7)
+MAX_LABELLED, MAX_TERMS, GRADES = 8000, 1024, 3
 
 
-def term_counts(text: bytes) -> Counter:
-    """How often each term occurs in a text in UTF-8."""
-    return Counter(_TERM.findall(text.lower()))
+def terms_of(word: str) -> list[str]:
+    """The word, and its beginnings with a mark behind them."""
+    return [word, *(word[:n] + "*" for n in BEGINNINGS if len(word) > n)]
+
+
+def term_counts(text: str) -> Counter:
+    """How often each term occurs in a text, in lower case."""
+    out: Counter = Counter()
+    for word, n in Counter(_WORD.findall(text.lower())).items():
+        for term in terms_of(word):
+            out[term] += n
+    return out
 
 
 def feature(count: np.ndarray | float) -> np.ndarray | float:
@@ -48,14 +59,26 @@ def feature(count: np.ndarray | float) -> np.ndarray | float:
 class OrdinalModel:
     """Weights by term and ordered thresholds."""
 
-    weights: dict[bytes, float]
+    weights: dict[str, float]
     thresholds: list[float]
 
-    def level(self, text: bytes) -> float:
-        """The linear score of a text."""
-        get = self.weights.get
-        hits = Counter(t for t in _TERM.findall(text.lower()) if t in self.weights)
-        return float(sum(get(t) * feature(n) for t, n in hits.items()))
+    def scorer(self) -> Callable[[str], float]:
+        """A function that gives a text's linear score. It keeps which terms of the model a word holds, for so many words."""
+        kept: dict[str, tuple[str, ...]] = {}
+        weights = self.weights
+
+        def level(text: str) -> float:
+            hits: dict[str, int] = {}
+            for word, n in Counter(_WORD.findall(text.lower())).items():
+                own = kept.get(word)
+                if own is None:
+                    if len(kept) >= 1 << 18:
+                        kept.clear()
+                    own = kept[word] = tuple(t for t in terms_of(word) if t in weights)
+                for term in own:
+                    hits[term] = hits.get(term, 0) + n
+            return float(sum(weights[t] * feature(n) for t, n in sorted(hits.items())))
+        return level
 
     def at_least(self, levels: np.ndarray) -> np.ndarray:
         """P(grade >= k) for k from 1, one row for each level."""
@@ -89,29 +112,40 @@ def fit_ordinal(rows: Rows, grades: np.ndarray, top: int, l2: float = 1e-4, step
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, most: int) -> DataFrame:
-    """At most `most` labelled texts, half of them at most of one label: (doc_id, label, text), one of each group of equal texts, by a hash of the id."""
+    """At most `most` labelled texts, half of them at most of one label: (doc_id, label, text), one of each group of copies, by a hash of the id."""
     known = labels.select(F.col("doc_id").alias("of"), F.col(label_col).cast("int").alias("label")).filter(f"of IS NOT NULL AND label IN (0, 1)")
     known = known.groupBy("of").agg(F.max("label").alias("label"))
     ranked = [known.filter(F.col("label") == k).orderBy(F.xxhash64("of"), "of").limit(most // 2) for k in (0, 1)]
     chosen = land(ranked[0].unionAll(ranked[1]), "sampled-labels")
     # The sample has `most` rows at most, so the large table is not shuffled for it.
-    found = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("of")).select("doc_id", "label", F.coalesce("text", F.lit("")).alias("text"))
-    return land(found.groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.max("label").alias("label")).select("doc_id", "label", "text"), "sample")
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("of")).select(F.col("doc_id").cast("long"), "label", F.coalesce("text", F.lit("")).alias("text"))
+
+    def with_least_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        factors = _odd(1, 3)
+        for batch in batches:
+            least = [int(s[0].view(np.int64)) if len(s := shingle_hashes(t, 3, factors)) else 0 for t in bytes_of(batch.column(2))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(least, pa.int64())], names=["doc_id", "label", "text", "least"])
+
+    # Copies, also most of the near ones, share their least shingle.
+    keyed = found.mapInArrow(with_least_shingle, "doc_id long, label int, text string, least long")
+    return land(keyed.groupBy("least", "label").agg(F.min(F.struct("doc_id", "text")).alias("one")).select("one.doc_id", "label", "one.text"), "sample")
 
 
 def sample_terms(sample: DataFrame) -> DataFrame:
-    """(doc_id, label, term, n, length) of the sampled texts."""
+    """(term, k, n): in how many sampled texts a term is, and in how many toxic ones; summed up in the tasks first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[tuple] = []
-            for i, label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), bytes_of(batch.column(2)), strict=True):
-                counts = term_counts(text)
-                total = sum(counts.values())
-                rows += [(i, label, t, n, total) for t, n in counts.items()]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64()), strict=True)], names=["doc_id", "label", "term", "n", "length"])
+            texts: Counter = Counter()
+            toxic: Counter = Counter()
+            for label, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
+                own = term_counts(text).keys()
+                texts.update(own)
+                if label:
+                    toxic.update(own)
+            if texts:
+                yield pa.RecordBatch.from_arrays([pa.array(texts.keys(), pa.string()), pa.array([toxic[t] for t in texts], pa.int64()), pa.array(texts.values(), pa.int64())], names=["term", "k", "n"])
 
-    return sample.select(F.col("doc_id").cast("long"), "label", "text").mapInArrow(run, "doc_id long, label int, term binary, n long, length long")
+    return sample.select("label", "text").mapInArrow(run, "term string, k long, n long").groupBy("term").agg(F.sum("k").alias("k"), F.sum("n").alias("n"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", max_labelled: int = MAX_LABELLED, max_terms: int = MAX_TERMS, min_texts: int = 3) -> OrdinalModel:
@@ -121,31 +155,44 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", max_labell
     clean, toxic = sizes.get(0, 0), sizes.get(1, 0)
     if not toxic:
         return OrdinalModel({}, [20.0] * GRADES)
-    terms = land(sample_terms(sample), "sample-terms")
-    texts = terms.groupBy("term").agg(F.sum("label").alias("in_toxic"), F.sum(1 - F.col("label")).alias("in_clean"))
-    ratio: Column = ((F.col("in_toxic") + 0.5) / (toxic + 1)) / ((F.col("in_clean") + 0.5) / (clean + 1))
-    texts = texts.filter(F.col("in_toxic") + F.col("in_clean") >= min_texts).withColumn("ratio", ratio)
-    # The terms that tell most: the texts they are in, weighed by how far the ratio is from 1.
-    told = (F.col("in_toxic") + F.col("in_clean")) * F.abs(F.log("ratio"))
-    chosen = texts.orderBy(F.desc(told), "term").limit(max_terms).select("term", "ratio", "in_toxic").collect()
-    vocabulary = {bytes(r[0]): k for k, r in enumerate(chosen)}
-    marked = {bytes(r[0]) for r in chosen if r[1] >= MARKED and r[2] >= max(min_texts, toxic // 50)}
-    wanted = sample.sparkSession.createDataFrame([(t, k) for t, k in ((bytearray(t), k) for t, k in vocabulary.items())], "w_term binary, k int")
-    entries = terms.join(F.broadcast(wanted), terms["term"] == wanted["w_term"]).select("doc_id", "k", "n", "length").collect()
-    ids = {i: (n, label) for n, (i, label) in enumerate(sorted((r[0], r[1]) for r in sample.select("doc_id", "label").collect() if r[0] is not None))}
+    texts = land(sample_terms(sample), "sample-terms")
+    base = toxic / (toxic + clean)
+    share = F.col("k") / F.col("n")
+    # n times the divergence of the term's toxic share from the base share bounds minus the log of the chance of such a share.
+    part = lambda p, q: F.when(p > 0, p * F.log(p / q)).otherwise(0.0)
+    told: Column = F.col("n") * (part(share, F.lit(base)) + part(1 - share, F.lit(max(1 - base, 1e-9))))
+    tested = texts.count()
+    telling = texts.filter((share > base) & (F.col("k") >= min_texts)).withColumn("told", told).filter(F.col("told") >= (float(np.log(tested)) + 2 if clean else 0.0))
+    vocabulary = {r[0]: k for k, r in enumerate(telling.orderBy(F.desc("told"), "term").limit(max_terms).select("term").collect())}
+    if not vocabulary:
+        return OrdinalModel({}, [20.0] * GRADES)
     names = list(vocabulary)
-    row, column, value = np.array([ids[e[0]][0] for e in entries], np.int64), np.array([e[1] for e in entries], np.int64), np.array([feature(e[2]) for e in entries])
-    label = np.zeros(len(ids), np.int64)
-    share = np.zeros(len(ids))
-    for n, found in ids.values():
-        label[n] = found
-    for e in entries:
-        if names[e[1]] in marked:
-            share[ids[e[0]][0]] += e[2] / max(1, e[3])
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marked, columns, counts = [], [], []
+            for text in texts_of(batch.column(2)):
+                own, words = Counter(), 0
+                for word, n in Counter(_WORD.findall(text.lower())).items():
+                    held = [vocabulary[t] for t in terms_of(word) if t in vocabulary]
+                    words += n * bool(held)
+                    for k in held:
+                        own[k] += n
+                marked.append(words)
+                columns.append(np.array(sorted(own), np.int32).tobytes())
+                counts.append(np.array([own[k] for k in sorted(own)], np.int32).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(marked, pa.int64()), pa.array(columns, pa.binary()), pa.array(counts, pa.binary())], names=["doc_id", "label", "marked", "k", "n"])
+
+    rows = sample.select(F.col("doc_id").cast("long"), "label", "text").mapInArrow(packed, "doc_id long, label int, marked long, k binary, n binary")
+    found = sorted(tuple(r) for r in rows.collect())  # max_labelled rows of packed numbers at most
+    columns, counts = ([np.frombuffer(r[k], np.int32) for r in found] for k in (3, 4))
+    row = np.repeat(np.arange(len(found)), [len(c) for c in columns])
+    column, count = np.concatenate(columns), np.concatenate(counts)
+    label, marked = (np.array([r[k] for r in found], np.int64) for k in (1, 2))
     grades = label.copy()
-    cuts = np.quantile(share[label == 1], [k / GRADES for k in range(1, GRADES)])
-    grades[label == 1] = 1 + (share[label == 1][:, None] > cuts[None, :]).sum(axis=1)
-    weights, thresholds = fit_ordinal(Rows(row, column, value, len(ids), len(names)), grades, GRADES)
+    cuts = np.quantile(marked[label == 1], [k / GRADES for k in range(1, GRADES)])
+    grades[label == 1] = 1 + (marked[label == 1][:, None] > cuts[None, :]).sum(axis=1)
+    weights, thresholds = fit_ordinal(Rows(row, column, feature(count), len(found), len(names)), grades, GRADES)
     return OrdinalModel({t: float(w) for t, w in zip(names, weights, strict=True) if w}, [float(t) for t in thresholds])
 
 
@@ -157,8 +204,9 @@ def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col
     table gives an empty one.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        level = model.scorer()
         for batch in batches:
-            p = model.at_least(np.array([model.level(t) for t in bytes_of(batch.column(1))]))
+            p = model.at_least(np.array([level(t) for t in texts_of(batch.column(1))]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(p[:, 0]), pa.array(p.sum(axis=1)), pa.array((p >= 0.5).sum(axis=1).astype(np.int32)), pa.array(p[:, 0] >= 0.5)], names=[id_col, "p_toxic", "severity", "grade", "toxic"])
 
@@ -171,8 +219,9 @@ def keep_clean(docs: DataFrame, model: OrdinalModel, text_col: str = "text") ->
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        level = model.scorer()
         for batch in batches:
-            p = model.at_least(np.array([model.level(t) for t in bytes_of(batch.column(at))]))
+            p = model.at_least(np.array([level(t) for t in texts_of(batch.column(at))]))
             yield batch.filter(pa.array(p[:, 0] < 0.5))
 
     return docs.mapInArrow(run, docs.schema)
