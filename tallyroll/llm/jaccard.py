@@ -49,7 +49,7 @@ CELLS, BLOCK = 1 << 20, 1 << 14
 #: Members up to which a region yields its pairs directly.
 LEAF = 32
 #: Members that meet one pivot in one task.
-SALT = 512
+SALT = 128
 #: 64-bit words of the bitmap that tells which texts are needed again: 1 MB whatever the input.
 WORDS = 1 << 17
 #: Buckets of a class's signature.
@@ -182,7 +182,7 @@ def region_entries(docs: DataFrame, counts: np.ndarray, width: int, seed: int, p
 
 
 def join_regions(entries: DataFrame, percent: int) -> DataFrame:
-    """Regions with two members and more. large = 0: a pair (x, y), meeting key `k`; large = 1: member x of region k (size y)."""
+    """Regions with two members and more. large = 0: a pair (x, y), meeting key `k`; large = 1: member x (of y shingles) of region k, whose shingle is at place i of x."""
     def joined(e: np.ndarray) -> Iterator[np.ndarray]:
         e = e[np.lexsort((e["c"], e["u"]))]
         fresh = np.ones(len(e), bool)  # several tasks may send one class
@@ -200,12 +200,13 @@ def join_regions(entries: DataFrame, percent: int) -> DataFrame:
             least = -(-percent * (n + k) // (100 + percent))
             most = 1 + np.minimum(n - x["i"], k - y["i"]) - 1
             fit = (100 * np.minimum(n, k) >= percent * np.maximum(n, k)) & (most >= least)
-            pairs.append(np.stack([np.zeros(fit.sum(), np.int64), x["c"][fit], y["c"][fit], key[fit]]))
+            zero = np.zeros(fit.sum(), np.int64)
+            pairs.append(np.stack([zero, x["c"][fit], y["c"][fit], key[fit], zero]))
         if pairs:
             yield np.unique(np.concatenate(pairs, axis=1), axis=1)
         for first, m in zip(at[size > LEAF], size[size > LEAF], strict=True):
             own = e[first:first + m]
-            yield np.stack([np.ones(m, np.int64), own["c"], own["n"].astype(np.int64), np.full(m, own["u"][0]).view(np.int64)])
+            yield np.stack([np.ones(m, np.int64), own["c"], own["n"].astype(np.int64), np.full(m, own["u"][0]).view(np.int64), own["i"].astype(np.int64)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[bytes] = []
@@ -214,7 +215,7 @@ def join_regions(entries: DataFrame, percent: int) -> DataFrame:
         def flush():
             if held:
                 for some in joined(np.frombuffer(b"".join(held), _ENTRY)):
-                    yield pa.RecordBatch.from_arrays([pa.array(row) for row in some], names=["large", "x", "y", "k"])
+                    yield pa.RecordBatch.from_arrays([pa.array(row) for row in some], names=["large", "x", "y", "k", "i"])
                 held.clear()
 
         for batch in batches:
@@ -225,7 +226,7 @@ def join_regions(entries: DataFrame, percent: int) -> DataFrame:
                 held.append(raw)
         yield from flush()
 
-    return entries.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "large long, x long, y long, k long")
+    return entries.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "large long, x long, y long, k long, i long")
 
 
 def possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -309,8 +310,10 @@ def class_links(docs: DataFrame, classes: DataFrame, counts: np.ndarray, width:
     buckets = 1 << max(0, int(total * (100 - percent) // 100 // 32768).bit_length())
     regions = land(join_regions(region_entries(docs, counts, width, seed, percent, buckets), percent), "regions")
     near = regions.filter("large = 0").select("x", "y", F.col("k").alias("key"), F.lit(0).cast("long").alias("salt"))
-    members = regions.filter("large = 1").select(F.col("k").alias("g"), F.col("x").alias("c"))
-    heads = members.groupBy("g").agg(F.min("c").alias("p"), F.count("*").alias("m"))
+    members = regions.filter("large = 1").select(F.col("k").alias("g"), F.col("x").alias("c"), F.col("y").alias("n"), "i")
+    # The pivot of a region is the member that lies in most large regions: edits bring rare shingles, so that is the middle of a group of near copies.
+    often = members.groupBy("c").agg(F.count("*").alias("often"))
+    heads = land(members.join(often, "c").groupBy("g").agg(F.max_by("c", F.struct("often", "c")).alias("p"), F.count("*").alias("m")), "heads")
     salt = F.pmod(F.xxhash64("c"), F.ceil(F.col("m") / SALT))
     met = members.join(heads, "g").filter("c <> p")
     stars = met.select(F.col("c").alias("x"), F.col("p").alias("y"), F.col("p").alias("key"), salt.alias("salt"))
@@ -325,12 +328,13 @@ def class_links(docs: DataFrame, classes: DataFrame, counts: np.ndarray, width:
     radius = 1 - percent / 100
     apart = measured.select("x", "y", (1 - F.col("common") / (F.col("n_x") + F.col("n_y") - F.col("common"))).alias("far"))
     # A distance that no one has measured is null: it rules out no pair.
-    placed = met.join(apart, (apart["x"] == met["c"]) & (apart["y"] == met["p"]), "left").select("g", "c", "far")
-    placed = land(placed.unionAll(heads.select("g", "p", F.lit(0.0))), "placed")
+    placed = met.join(apart, (apart["x"] == met["c"]) & (apart["y"] == met["p"]), "left").select("g", "c", "n", "i", "far")
+    own = members.join(heads, "g").filter("c = p").select("g", "c", "n", "i", F.lit(0.0))
+    placed = land(placed.unionAll(own), "placed")
     pivots = 8
     while True:
         labels = components(edges)
-        named = placed.join(labels, placed["c"] == labels["node"], "left").select("g", "c", "far", F.coalesce("label", "c").alias("label"))
+        named = placed.join(labels, placed["c"] == labels["node"], "left").select("g", "c", "n", "i", "far", F.coalesce("label", "c").alias("label"))
         sizes = named.groupBy("g", "label").agg(F.count("*").alias("m"))
         most = sizes.groupBy("g").agg(F.max_by("label", F.struct("m", "label")).alias("main"), F.count("*").alias("parts"), F.sum("m").alias("m"))
         most = land(most.filter("parts > 1"), "open-regions")
@@ -341,10 +345,12 @@ def class_links(docs: DataFrame, classes: DataFrame, counts: np.ndarray, width:
         left = rest.groupBy("g").agg(F.count("*").alias("left"))
         last = not left.filter(F.col("left") > pivots).take(1) or pivots > 4096
         if not last:
-            rest = rest.groupBy("g", F.pmod(F.xxhash64("c", F.lit(pivots)), F.lit(pivots)).alias("cell")).agg(F.min_by(F.struct("c", "far", "label"), "c").alias("q")).select("g", "q.*")
-        q = rest.select("g", F.col("c").alias("q"), F.col("far").alias("q_far"), F.col("label").alias("q_label"))
+            rest = rest.groupBy("g", F.pmod(F.xxhash64("c", F.lit(pivots)), F.lit(pivots)).alias("cell")).agg(F.min_by(F.struct("c", "n", "i", "far", "label"), "c").alias("q")).select("g", "q.*")
+        q = rest.select("g", F.col("c").alias("q"), F.col("n").alias("q_n"), F.col("i").alias("q_i"), F.col("far").alias("q_far"), F.col("label").alias("q_label"))
         window = F.coalesce(F.abs(F.col("far") - F.col("q_far")) <= radius + 1e-9, F.lit(True))
-        met_again = still.join(q, "g").filter((F.col("label") != F.col("q_label")) & window)
+        # As in small regions: sizes, and places if the region's shingle is the first that the two share.
+        sized = (100 * F.least("n", "q_n") >= percent * F.greatest("n", "q_n")) & ((100 + percent) * F.least(F.col("n") - F.col("i"), F.col("q_n") - F.col("q_i")) >= percent * (F.col("n") + F.col("q_n")))
+        met_again = still.join(q, "g").filter((F.col("label") != F.col("q_label")) & window & sized)
         tried = met_again.select(F.least("c", "q").alias("x"), F.greatest("c", "q").alias("y"), F.col("label").alias("key"), F.pmod(F.xxhash64("c"), F.ceil(F.col("m") / SALT)).alias("salt"))
         found = overlaps(possible(tried, classes, percent), sets).filter(within).select("x", "y")
         edges = land(edges.unionAll(found).distinct(), "links")
