@@ -10,7 +10,9 @@ t1 <= t2 <= t3: P(grade >= k) = sigmoid(w . x - t_k). The expected severity is t
 of these probabilities; a text is toxic if P(grade >= 1) >= 0.5.
 
 Fitting reads at most `max_labelled` labelled texts (all that there are, if fewer),
-taken by a hash of their ids, one of each group of copies. Terms are selected by Spark
+taken by a hash of their ids, one of each group of copies. Each label's sampled texts
+weigh as many as the label has in the whole table, so that P(grade >= 1) means the same
+whether the sample is all there is or a small part of it. Terms are selected by Spark
 over these texts; what reaches the driver is at most `max_terms` terms and the sampled
 texts' counts of them. Every document is scored.
 """
@@ -24,6 +26,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,9 +88,10 @@ class OrdinalModel:
         return sigmoid(np.asarray(levels, np.float64)[:, None] - np.array(self.thresholds)[None, :])
 
 
-def fit_ordinal(rows: Rows, grades: np.ndarray, top: int, l2: float = 1e-4, steps: int = 400) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and thresholds that maximize the likelihood of the grades 0 .. top; thresholds ascend by construction."""
-    n, d = max(1, rows.rows), rows.columns
+def fit_ordinal(rows: Rows, grades: np.ndarray, top: int, l2: float = 1e-4, steps: int = 400, weigh: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and thresholds that maximize the likelihood of the grades 0 .. top; thresholds ascend by construction. `weigh` says how many rows each row stands for."""
+    d = rows.columns
+    own_part = np.full(rows.rows, 1 / max(1, rows.rows)) if weigh is None else weigh / weigh.sum()
 
     def thresholds(x: np.ndarray) -> np.ndarray:
         return np.cumsum(np.concatenate([x[:1], np.exp(x[1:])]))
@@ -99,10 +103,10 @@ def fit_ordinal(rows: Rows, grades: np.ndarray, top: int, l2: float = 1e-4, step
         own = np.maximum(np.take_along_axis(padded, grades[:, None], 1) - np.take_along_axis(padded, grades[:, None] + 1, 1), 1e-12)[:, 0]
         slope = np.concatenate([np.zeros((rows.rows, 1)), above * (1 - above), np.zeros((rows.rows, 1))], axis=1)
         low, high = np.take_along_axis(slope, grades[:, None], 1)[:, 0], np.take_along_axis(slope, grades[:, None] + 1, 1)[:, 0]
-        by_level = -(low - high) / own / n
+        by_level = -(low - high) / own * own_part
         by_threshold = np.zeros(top)
         for k in range(top):
-            by_threshold[k] = ((grades == k + 1) * low / own - (grades == k) * high / own).sum() / n
+            by_threshold[k] = (((grades == k + 1) * low / own - (grades == k) * high / own) * own_part).sum()
         steps_down = np.cumsum(by_threshold[::-1])[::-1]  # each threshold holds all earlier steps
         steps_down[1:] *= np.exp(x[d + 1:])
         return np.concatenate([rows.transposed_dot(by_level) + l2 * x[:d], steps_down])
@@ -111,24 +115,41 @@ def fit_ordinal(rows: Rows, grades: np.ndarray, top: int, l2: float = 1e-4, step
     return found[:d], thresholds(found[d:])
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, most: int) -> DataFrame:
-    """At most `most` labelled texts, half of them at most of one label: (doc_id, label, text), one of each group of copies, by a hash of the id."""
-    known = labels.select(F.col("doc_id").alias("of"), F.col(label_col).cast("int").alias("label")).filter(f"of IS NOT NULL AND label IN (0, 1)")
+def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, most: int) -> tuple[DataFrame, dict[int, int]]:
+    """At most `most` labelled texts, half of them at most of one label: (doc_id, label, text), one of each group of copies, by a hash of the id.
+
+    With them, how many such texts each label has in the whole table: labels without a
+    document don't count, and copies are put together before the sample is taken.
+    """
+    known = labels.select(F.col("doc_id").alias("of"), F.col(label_col).cast("int").alias("label")).filter("of IS NOT NULL AND label IN (0, 1)")
     known = known.groupBy("of").agg(F.max("label").alias("label"))
-    ranked = [known.filter(F.col("label") == k).orderBy(F.xxhash64("of"), "of").limit(most // 2) for k in (0, 1)]
-    chosen = land(ranked[0].unionAll(ranked[1]), "sampled-labels")
-    # The sample has `most` rows at most, so the large table is not shuffled for it.
-    found = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("of")).select(F.col("doc_id").cast("long"), "label", F.coalesce("text", F.lit("")).alias("text"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def least_shingles(texts: pa.Array, factors: list[np.uint64]) -> pa.Array:
+        return pa.array([int(s[0].view(np.int64)) if len(s := shingle_hashes(t, 3, factors)) else 0 for t in bytes_of(texts)], pa.int64())
 
     def with_least_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = _odd(1, 3)
         for batch in batches:
-            least = [int(s[0].view(np.int64)) if len(s := shingle_hashes(t, 3, factors)) else 0 for t in bytes_of(batch.column(2))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(least, pa.int64())], names=["doc_id", "label", "text", "least"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), least_shingles(batch.column(1), factors)], names=["doc_id", "least"])
+
+    # Copies, also most of the near ones, share their least shingle. Only ids and shingles are shuffled.
+    rows = docs.filter("doc_id IS NOT NULL").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    keyed = rows.mapInArrow(with_least_shingle, f"doc_id {kind}, least long")
+    groups = land(keyed.join(known, F.col("doc_id") == F.col("of")).groupBy("least", "label").agg(F.min("doc_id").alias("one")), "labelled-groups")
+    full = dict(tuple(r) for r in groups.groupBy("label").count().collect())
+    ranked = [groups.filter(F.col("label") == k).orderBy(F.xxhash64("one"), "one", "least").limit(most // 2) for k in (0, 1)]
+    chosen = land(ranked[0].unionAll(ranked[1]), "sampled-labels")
+    # The sample has `most` rows at most, so the large table is not shuffled for it.
+    found = rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("one")).select(F.col("doc_id").cast("long"), "label", "text", "least")
+
+    def of_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        factors = _odd(1, 3)
+        for batch in batches:  # rows that repeat an id may hold other texts
+            yield batch.filter(pc.equal(batch.column(3), least_shingles(batch.column(2), factors)))
 
-    # Copies, also most of the near ones, share their least shingle.
-    keyed = found.mapInArrow(with_least_shingle, "doc_id long, label int, text string, least long")
-    return land(keyed.groupBy("least", "label").agg(F.min(F.struct("doc_id", "text")).alias("one")).select("one.doc_id", "label", "one.text"), "sample")
+    same = found.mapInArrow(of_group, "doc_id long, label int, text string, least long")
+    return land(same.groupBy("least", "label").agg(F.min(F.struct("doc_id", "text")).alias("one")).select("one.doc_id", "label", "one.text"), "sample"), full
 
 
 def sample_terms(sample: DataFrame) -> DataFrame:
@@ -150,12 +171,14 @@ def sample_terms(sample: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", max_labelled: int = MAX_LABELLED, max_terms: int = MAX_TERMS, min_texts: int = 3) -> OrdinalModel:
     """Fit on labelled documents. Without toxic labels, the model finds nothing toxic."""
-    sample = labelled_sample(docs, labels, label_col, max_labelled)
+    sample, full = labelled_sample(docs, labels, label_col, max_labelled)
     sizes = dict(tuple(r) for r in sample.groupBy("label").count().collect())
     clean, toxic = sizes.get(0, 0), sizes.get(1, 0)
     if not toxic:
         return OrdinalModel({}, [20.0] * GRADES)
     texts = land(sample_terms(sample), "sample-terms")
+    # How likely chance is to give a term goes by the texts looked at, so here the base share is the sample's; a share
+    # is above it exactly if the weighted share is above the whole table's.
     base = toxic / (toxic + clean)
     share = F.col("k") / F.col("n")
     # n times the divergence of the term's toxic share from the base share bounds minus the log of the chance of such a share.
@@ -192,7 +215,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", max_labell
     grades = label.copy()
     cuts = np.quantile(marked[label == 1], [k / GRADES for k in range(1, GRADES)])
     grades[label == 1] = 1 + (marked[label == 1][:, None] > cuts[None, :]).sum(axis=1)
-    weights, thresholds = fit_ordinal(Rows(row, column, feature(count), len(found), len(names)), grades, GRADES)
+    weigh = np.where(label == 1, full[1] / toxic, full.get(0, 0) / max(1, clean))
+    weights, thresholds = fit_ordinal(Rows(row, column, feature(count), len(found), len(names)), grades, GRADES, weigh=weigh)
     return OrdinalModel({t: float(w) for t, w in zip(names, weights, strict=True) if w}, [float(t) for t in thresholds])
 
 

@@ -100,3 +100,24 @@ def test_no_labels_and_no_documents(make, spark):
     assert toxicity.score(make([]), toxicity.fit(make([]), some)).collect() == []
     assert cotraining.quality_scores(make([]), some).collect() == []
     assert len(cotraining.quality_scores(docs, some).collect()) == 1
+
+
+def test_verdicts_do_not_depend_on_the_size_of_the_sample(make, spark):
+    """One text in ten is toxic; a balanced sample of 200 must not call texts toxic that the fit on all of them calls clean."""
+    def text(k, toxic):
+        words = ["calm", "plain", "words"]
+        words += ["dubious"] * (k // 10 % 20 < (12 if toxic else 3)) + ["scum"] * (toxic and k % 3 > 0)
+        return " ".join(f"{w} {k}" for w in words)
+
+    rows = [(k, text(k, k % 10 == 0)) for k in range(3000)]
+    # Copies, and labels without a document, don't shift the shares.
+    rows += [(10000 + k, "some calm text that stands here very often") for k in range(2000)]
+    labels = spark.createDataFrame([(k, int(k < 3000 and k % 10 == 0)) for k, _ in rows] + [(20000 + k, 1) for k in range(1000)], "doc_id long, toxic int")
+    docs = make(rows)
+    seen = make([(1, "dubious"), (2, "calm"), (3, "scum"), (4, "dubious scum")])
+    odds = []
+    for most in (100000, 200):
+        found = toxicity.score(seen, toxicity.fit(docs, labels, max_labelled=most)).orderBy("doc_id").collect()
+        assert [r.toxic for r in found] == [False, False, True, True], (most, found)
+        odds.append([np.log(r.p_toxic / (1 - r.p_toxic)) for r in found])
+    assert np.abs(np.subtract(*odds))[:2].max() < 1, odds
