@@ -1,7 +1,10 @@
 """Packing into fixed windows with a controlled mixture: deficit round-robin over source queues.
 
 Every source with a fair share of the tokens is a queue, its documents one after the
-other; smaller sources share one queue. In every round each queue's counter gains its
+other; smaller sources share one queue, in which they take turns by slices of a 32nd of
+a window: a slice's place is its virtual time, the share of its source's tokens before
+it, so that at any time every small source has served its share of its tokens but for
+one slice. In every round each queue's counter gains its
 quantum (the window's length times the queue's target share) and the queue serves the
 whole tokens nearest to its counter; what is left over, plus or minus half a token, is
 the deficit it carries into the next round. Because tokens may be cut freely, the
@@ -17,8 +20,9 @@ queues run dry together.
 Two passes. The first tokenizes every document once and lands the ids in the shared
 folder with the number of tokens that precede them in their task and source. Sums by
 task and source give every document's place in its queue. The second pass reads the
-landed ids and cuts them; ids are never shuffled while the table of sums is small
-enough to be broadcast.
+landed ids and cuts them; ids of sources with a queue of their own are never shuffled
+while the table of sums is small enough to be broadcast. Slices of small sources are
+sorted by virtual time, with their ids, in ranges; sums by range give their places.
 """
 
 from __future__ import annotations
@@ -38,8 +42,10 @@ from pyspark.sql import functions as F
 from tallyroll.llm.bpe import WORDS, byte_alphabet
 from tallyroll.llm.common import land, texts_of
 
-#: A source below this share of the tokens (8 tokens of a window of 2048) has no queue of its own, so there are 257 queues at most.
+#: A source below this share of the tokens (8 tokens of a window of 2048) has no queue of its own unless a mixture names it, so without a mixture there are 257 queues at most.
 OWN_SHARE = 1 / 256
+#: Slices of small sources in a window's length.
+SLICES = 32
 #: Texts of more characters are tokenized in parts.
 LONG = 1 << 16
 #: A single space between two visible characters.
@@ -104,7 +110,7 @@ def library_tokens(path: str) -> LibraryTokens:
     return LibraryTokens(path)
 
 
-_TURNS = 1 << 13  # rounds looked at together
+_TURNS = 1 << 21  # numbers of rounds times queues looked at together
 
 
 class Rounds:
@@ -169,10 +175,11 @@ class Rounds:
         turns, at = np.unique(turn, return_inverse=True)
         starts, lengths, places = np.empty(len(doc), np.int64), np.empty(len(doc), np.int64), np.empty(len(doc), np.int64)
         by_turn = np.argsort(at, kind="stable")
-        for low in range(0, len(turns), _TURNS):
-            before, after = self.served(turns[low:low + _TURNS]), self.served(turns[low:low + _TURNS] + 1)
+        step = max(1, _TURNS // len(self.totals))
+        for low in range(0, len(turns), step):
+            before, after = self.served(turns[low:low + step]), self.served(turns[low:low + step] + 1)
             ahead = np.cumsum(after - before, axis=1) - (after - before) + before.sum(axis=1)[:, None]
-            own = by_turn[np.searchsorted(at, low, sorter=by_turn):np.searchsorted(at, low + _TURNS, sorter=by_turn)]
+            own = by_turn[np.searchsorted(at, low, sorter=by_turn):np.searchsorted(at, low + step, sorter=by_turn)]
             row, queue = at[own] - low, queues[doc[own]]
             starts[own] = np.maximum(before[row, queue], firsts[doc[own]])
             lengths[own] = np.minimum(after[row, queue], firsts[doc[own]] + counts[doc[own]]) - starts[own]
@@ -210,12 +217,66 @@ def tokenize(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {kind}, source string, n long, ids binary, part int, ahead long")
 
 
+def in_turns(pool: DataFrame, size: int) -> DataFrame:
+    """Slices of documents in the order of their virtual time: doc_id, source, n, ids, queue, first, skip, size.
+
+    `pool` has doc_id, source, n, ids, queue, before (tokens of the source before the
+    document) and total (the source's tokens). A source's tokens are cut into slices of
+    `size`; a slice's virtual time lies at the source's phase, a hash of its name, of the
+    stretch that the slice takes, so that sources of one slice are spread over the queue.
+    """
+    spark, kind = pool.sparkSession, pool.schema["doc_id"].dataType.simpleString()
+    rows = pool.select("doc_id", "source", "n", "ids", "queue", "before", "total", (F.pmod(F.xxhash64("source"), F.lit(1 << 20)) / (1 << 20)).alias("phase"))
+
+    def cut(batches):
+        for whole in batches:
+            for low in range(0, whole.num_rows, 256):
+                batch = whole.slice(low, 256)
+                n, before, total, phase = (np.array(batch.column(k).to_pylist(), np.float64 if k == 7 else np.int64) for k in (2, 5, 6, 7))
+                grid = before // size
+                count = (before + n - 1) // size - grid + 1
+                row = np.repeat(np.arange(len(n)), count)
+                k = np.repeat(grid, count) + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+                begin, end = np.maximum(before[row], k * size), np.minimum((before + n)[row], (k + 1) * size)
+                own = np.minimum((k + 1) * size, total[row]) - k * size
+                time = (k * size + phase[row] * own) / total[row]
+                skip, ids = begin - before[row], batch.column(3).to_pylist()
+                width = [len(p) // t for p, t in zip(ids, n.tolist(), strict=True)]
+                parts = [ids[r][a * width[r]:b * width[r]] for r, a, b in zip(row.tolist(), skip.tolist(), (skip + end - begin).tolist(), strict=True)]
+                take = pa.array(row)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(take), batch.column(1).take(take), pa.array(n[row]), pa.array(parts, pa.binary()), batch.column(4).take(take), pa.array(time), pa.array(begin), pa.array(skip), pa.array(end - begin)],
+                    names=["doc_id", "source", "n", "ids", "queue", "time", "at", "skip", "size"])
+
+    # Written once, so that the ranges are drawn and filled from the same rows.
+    slices = land(rows.mapInArrow(cut, f"doc_id {kind}, source string, n long, ids binary, queue int, time double, at long, skip long, size long"), "packing-slices")
+
+    def run(batches):
+        part, ahead = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            own = np.array(batch.column(8).to_pylist(), np.int64)
+            before = ahead + np.cumsum(own) - own
+            ahead += int(own.sum())
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in (0, 1, 2, 3, 4, 7, 8)), pa.array(before), pa.array([part] * len(own), pa.int32())],
+                                             names=["doc_id", "source", "n", "ids", "queue", "skip", "size", "ahead", "range"])
+
+    order = ["time", "source", "at"]
+    turns = land(slices.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
+        run, f"doc_id {kind}, source string, n long, ids binary, queue int, skip long, size long, ahead long, range int"), "packing-turns")
+    sums, bases, base = sorted(tuple(r) for r in turns.groupBy("range").agg(F.sum("size")).collect()), [], 0  # one row for each range
+    for part, n in sums:
+        bases.append((part, base))
+        base += n
+    bases = spark.createDataFrame(bases, "b_range int, base long")
+    return turns.join(F.broadcast(bases), F.col("range") == F.col("b_range")).select("doc_id", "source", "n", "ids", "queue", (F.col("base") + F.col("ahead")).alias("first"), "skip", "size")
+
+
 def pack(docs: DataFrame, path: str, length: int = 2048, end_id: int = 1, mixture: dict[str, float] | None = None) -> DataFrame:
     """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, padded_length, source.
 
     `path` is the tokenizer's file; every document ends with `end_id`. `mixture` gives
-    target weights to sources (256 at most); sources that it doesn't name, and all of
-    them without it, weigh as many tokens as they have. padded_length is the length of
+    target weights to sources, each of which has a queue of its own then; sources that it
+    doesn't name, and all of them without it, weigh as many tokens as they have. padded_length is the length of
     the piece's sequence with padding: `length`, but a last sequence whose length is a
     power of two is left as it is.
 
@@ -233,8 +294,8 @@ def pack(docs: DataFrame, path: str, length: int = 2048, end_id: int = 1, mixtur
     if not total:
         return spark.createDataFrame([], schema)
     mixture = dict(mixture or {})
-    if len(mixture) > 1 / OWN_SHARE or any(w <= 0 for w in mixture.values()):
-        raise ValueError("a mixture has 256 positive weights at most")
+    if any(w <= 0 for w in mixture.values()):
+        raise ValueError("the weights of a mixture are positive")
     # A source with the given share of the tokens: 256 rows at most, and as many named ones.
     own = by_source.filter((F.col("n") >= total * OWN_SHARE) | F.coalesce(F.col("source").isin(list(mixture)), F.lit(False)))
     named = sorted((tuple(r) for r in own.collect()), key=lambda r: (r[0] is None, r[0]))
@@ -243,17 +304,20 @@ def pack(docs: DataFrame, path: str, length: int = 2048, end_id: int = 1, mixtur
     weights = [mixture.get(s, n / total) for s, n in named] + [rest / total] * (rest > 0)
     rounds = Rounds(totals, weights, length)
     queues = spark.createDataFrame([(s, k) for k, (s, _) in enumerate(named)], "source string, queue int")
-    dealt = sums.join(F.broadcast(queues), sums["source"].eqNullSafe(queues["source"]), "left").select(
-        "part", sums["source"], "n", F.coalesce("queue", F.lit(len(named))).alias("queue"))
-    parts = dealt.groupBy("queue", "part").agg(F.sum("n").alias("n"))
-    parts = parts.select("queue", "part", (F.sum("n").over(Window.partitionBy("queue").orderBy("part")) - F.col("n")).alias("base"))
-    inside = Window.partitionBy("queue", "part").orderBy("source")
-    dealt = dealt.withColumn("inner", F.sum("n").over(inside) - F.col("n"))
-    bases = dealt.join(parts, ["queue", "part"]).select(
-        F.col("part").alias("b_part"), F.col("source").alias("b_source"), "queue", (F.col("base") + F.col("inner")).alias("base"))
+    earlier = Window.partitionBy("source").orderBy("part")
+    bases = sums.select("part", "source", (F.sum("n").over(earlier) - F.col("n")).alias("base"))
+    bases = bases.join(F.broadcast(queues), bases["source"].eqNullSafe(queues["source"]), "left").select(
+        F.col("part").alias("b_part"), bases["source"].alias("b_source"), F.coalesce("queue", F.lit(len(named))).alias("queue"), "base")
     bases = land(bases, "packing-bases")
     placed = landed.join(bases, (landed["part"] == bases["b_part"]) & landed["source"].eqNullSafe(bases["b_source"])).select(
         "doc_id", "source", "n", "ids", "queue", (F.col("base") + F.col("ahead")).alias("first"))
+    if rest:
+        small = by_source.select(F.col("source").alias("t_source"), F.col("n").alias("total"))
+        pool = placed.filter(F.col("queue") == len(named)).withColumnRenamed("first", "before")
+        pool = in_turns(pool.join(small, pool["source"].eqNullSafe(small["t_source"])), max(1, length // SLICES))
+        placed = placed.filter(F.col("queue") < len(named)).withColumns({"skip": F.lit(0).cast("long"), "size": F.col("n")}).unionAll(pool)
+    else:
+        placed = placed.withColumns({"skip": F.lit(0).cast("long"), "size": F.col("n")})
 
     last = rounds.all - (rounds.rounds - 1) * length
     padded_last = last if last & (last - 1) == 0 else length
@@ -261,7 +325,7 @@ def pack(docs: DataFrame, path: str, length: int = 2048, end_id: int = 1, mixtur
     def run(batches):
         for batch in batches:
             packed = batch.column(3).to_pylist()
-            n, queue, first = (np.array(batch.column(k).to_pylist(), np.int64) for k in (2, 4, 5))
+            n, queue, first, skip = (np.array(batch.column(k).to_pylist(), np.int64) for k in (7, 4, 5, 6))
             if not len(n):
                 continue
             row, start, size, place = rounds.pieces(queue, first, n)
@@ -269,6 +333,7 @@ def pack(docs: DataFrame, path: str, length: int = 2048, end_id: int = 1, mixtur
             views = [memoryview(np.frombuffer(p, np.dtype(f"<u{len(p) // k}")).astype("<u4")).cast("B") for p, k in zip(packed, n.tolist(), strict=True)]
             for at, (k, a, b) in enumerate(zip(row.tolist(), (4 * start).tolist(), (4 * (start + size)).tolist(), strict=True)):
                 crcs[at] = zlib.crc32(views[k][a:b])
+            start += skip[row]
             sequence, row = place // length, pa.array(row)
             padded = np.where(sequence == rounds.rounds - 1, padded_last, length)
             yield pa.RecordBatch.from_arrays(

@@ -144,6 +144,28 @@ def test_many_small_sources_share_a_queue(make):
     check_packing(rows, [(d[0], d[1]) for d in docs], 32)
 
 
+def test_small_sources_take_turns(make):
+    """300 equal sources, none with a queue of its own: any stretch of the stream holds each in proportion but for few slices."""
+    docs = [(k, "w " * (40 + k % 7), f"source {k // 12}") for k in range(3600)] + [(k, "x " * 20, f"tail {k}") for k in range(4000, 4300)]
+    rows = packing.pack(make(docs).repartition(4), BYTE, length=256).collect()
+    check_packing(rows, [(d[0], d[1]) for d in docs], 256)
+    total, by_source, at = sum(r.length for r in rows), Counter(), [defaultdict(int) for _ in range(4)]
+    for r in rows:
+        by_source[r.source] += r.length
+        at[min(3, 4 * (256 * r.sequence_id + r.offset) // total)][r.source] += r.length
+    for quarter in at:
+        assert all(abs(quarter[f"source {k}"] - by_source[f"source {k}"] / 4) <= 40 for k in range(300))
+        assert 0.12 <= sum(n for s, n in quarter.items() if s.startswith("tail")) / sum(n for s, n in by_source.items() if s.startswith("tail")) <= 0.38
+
+
+def test_mixture_of_many_sources(make):
+    docs = [(k, "w " * 30, f"source {k % 300}") for k in range(1200)]
+    rows = packing.pack(make(docs).repartition(3), BYTE, length=1024, mixture={f"source {k}": 2.0 if k < 100 else 1.0 for k in range(300)}).collect()
+    check_packing(rows, [(d[0], d[1]) for d in docs], 1024)
+    early = sum(r.length for r in rows if r.sequence_id < 10 and int(r.source.split()[1]) < 100)
+    assert abs(early / 10240 - 0.5) < 0.05, early
+
+
 def test_rounds_find_every_token():
     rounds = packing.Rounds([1000, 3, 250, 77], [1000.0, 3.0, 250.0, 77.0], 16)
     for queue, total in enumerate(rounds.totals):
