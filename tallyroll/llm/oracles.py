@@ -98,4 +98,30 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
 FROM f
 """
 
-ORACLES: dict[str, str] = {"op2_ngram_jaccard": OP2, "op3_warc_records": OP3, "op5_maxscore_top_k": OP5, "op6_url_filter": OP6, "op7_quality_rules": OP7}
+OP11 = r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM t),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+grams AS (SELECT lang, w[i:i + m - 1] AS g FROM places, (VALUES (1), (2), (3), (4)) AS sizes(m) WHERE i + m - 1 <= len(w)),
+f AS (SELECT lang, g, count(*) AS f FROM grams GROUP BY lang, g HAVING count(*) >= 30),
+inner_parts AS (SELECT lang, f, unnest(list_concat(
+    CASE WHEN len(g) = 3 THEN [g[1:2], g[2:3]] ELSE [] END,
+    CASE WHEN len(g) = 4 THEN [g[1:2], g[2:3], g[3:4], g[1:3], g[2:4]] ELSE [] END)) AS g FROM f WHERE len(g) > 2),
+around AS (SELECT lang, g, max(f) AS around FROM inner_parts GROUP BY lang, g),
+kept AS (SELECT f.lang, f.g, f.f AS a FROM f LEFT JOIN around USING (lang, g) WHERE len(f.g) > 1 AND (around IS NULL OR 100 * around < 80 * f.f)),
+cuts AS (SELECT lang, g, a, unnest(range(1, len(g))) AS k FROM kept),
+scored AS (
+    SELECT c.lang, c.g, c.a, c.k, x.f AS l, y.f AS r, (CAST(2000000 AS HUGEINT) * c.a) // (x.f + y.f) AS score
+    FROM cuts c JOIN f x ON x.lang = c.lang AND x.g = c.g[1:c.k] JOIN f y ON y.lang = c.lang AND y.g = c.g[c.k + 1:]),
+lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, k) AS o FROM scored),
+ranked AS (
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank, array_to_string(g, ' ') AS phrase, a, l, r, score
+    FROM lowest WHERE o = 1)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+ORACLES: dict[str, str] = {"op2_ngram_jaccard": OP2, "op3_warc_records": OP3, "op5_maxscore_top_k": OP5, "op6_url_filter": OP6, "op7_quality_rules": OP7,
+                           "op11_setm_collocations": OP11}

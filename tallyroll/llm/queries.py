@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyroll.llm import bpe, cotraining, jaccard, maxscore, packing, quality_rules, token_counts, toxicity, url_filter, warc
+from tallyroll.llm import bpe, collocations, cotraining, html_text, jaccard, maxscore, packing, quality_rules, token_counts, toxicity, url_filter, warc, whitening
 
 BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
@@ -59,6 +59,19 @@ def op10_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
 
 
+def op11_setm_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"), longest=4, least=30, top=2000)
+
+
+def op12_exact_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"), k=4, scale=256)
+
+
+def op13_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_bpe_round_trip, op2_ngram_jaccard, op3_warc_records, op4_token_counts, op5_maxscore_top_k, op6_url_filter,
-                            op7_quality_rules, op8_mixture_packing, op9_cotraining_quality, op10_ordinal_toxicity)}
+                            op7_quality_rules, op8_mixture_packing, op9_cotraining_quality, op10_ordinal_toxicity, op11_setm_collocations, op12_exact_whitening,
+                            op13_text_density)}
