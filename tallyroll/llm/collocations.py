@@ -161,7 +161,7 @@ class _Block:
 
     def semi_join(self, marks: np.ndarray, bits: int) -> _Block:
         """Leave only occurrences of groups that the bitmap holds."""
-        hit = _held(self.ids[self.groups], marks, bits)[self.gid]
+        hit = in_bitmap(self.ids[self.groups], marks, bits)[self.gid]
         self.pos, self.gid = self.pos[hit], self.gid[hit]
         return self
 
@@ -175,7 +175,8 @@ class _Block:
         return np.concatenate([self.groups[keys // len(self.groups)], self.groups[keys % len(self.groups), -1:]], axis=1)
 
 
-def _held(groups: np.ndarray, marks: np.ndarray, bits: int) -> np.ndarray:
+def in_bitmap(groups: np.ndarray, marks: np.ndarray, bits: int) -> np.ndarray:
+    """Which tuples of ids the bitmap holds: all that it was made of, and a few others."""
     at = _places(groups, bits)
     return (marks[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
@@ -213,7 +214,7 @@ def extended(relation: DataFrame, marks: tuple[np.ndarray, int], longer: tuple[n
             pos, keys = block.semi_join(*shared.value).merge_join()
             unique = np.unique(keys)
             groups = block.longer(unique)
-            hit = _held(block.ids[groups], *kept.value)
+            hit = in_bitmap(block.ids[groups], *kept.value)
             unique, groups = unique[hit], groups[hit]
             if not len(unique):
                 continue

@@ -3,6 +3,14 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def known_labels(labels: DataFrame, label_col: str) -> DataFrame:
+    """(of, label): one row for each id with a label of 0 or 1; where labels of one id clash, the larger counts."""
+    known = labels.select(F.col("doc_id").alias("of"), F.col(label_col).cast("int").alias("label")).filter("of IS NOT NULL AND label IN (0, 1)")
+    return known.groupBy("of").agg(F.max("label").alias("label"))
 
 
 class Rows:

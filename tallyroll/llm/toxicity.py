@@ -4,17 +4,20 @@ Labels tell toxic from clean. Features are words and beginnings of words that la
 toxic texts hold so much more often than clean ones that chance would hardly give one
 such term among all. The
 severity grades of toxic texts come from the data: the numbers of their words that hold
-such terms are cut at their thirds into grades 1 to 3; clean texts have grade 0. The model
-has one weight for each term, shared by all grades, and ordered thresholds
+such terms are cut at their thirds into grades 1 to 3; clean texts have grade 0. Terms that
+stand in nearly the same texts are one feature, so that its evidence counts once however
+many of them a text holds: one of them tells as much as all. The model
+has one weight for each feature, shared by all grades, and ordered thresholds
 t1 <= t2 <= t3: P(grade >= k) = sigmoid(w . x - t_k). The expected severity is the sum
 of these probabilities; a text is toxic if P(grade >= 1) >= 0.5.
 
 Fitting reads at most `max_labelled` labelled texts (all that there are, if fewer),
-taken by a hash of their ids, one of each group of copies. Each label's sampled texts
+taken by a hash of their ids; texts whose 3-word shingles are the same set are copies and
+count once, all others stay apart. Each label's sampled texts
 weigh as many as the label has in the whole table, so that P(grade >= 1) means the same
 whether the sample is all there is or a small part of it. Terms are selected by Spark
 over these texts; what reaches the driver is at most `max_terms` terms and the sampled
-texts' counts of them. Every document is scored.
+texts' counts of them. Every document is scored. Where labels of one id clash, the larger counts.
 """
 
 from __future__ import annotations
@@ -27,17 +30,21 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyroll.llm.collocations import bitmap_of, in_bitmap
 from tallyroll.llm.common import bytes_of, land, texts_of
-from tallyroll.llm.features import Rows, descend, sigmoid
+from tallyroll.llm.features import Rows, descend, known_labels, sigmoid
 from tallyroll.llm.jaccard import _odd, shingle_hashes
 
 _WORD = re.compile(r"[^\W\d_]+")
 #: Lengths of the beginnings of words that are terms beside the words themselves.
 BEGINNINGS = (4, 5, 6, 7)
 MAX_LABELLED, MAX_TERMS, GRADES = 8000, 1024, 3
+#: Terms are one feature if of the sampled texts that hold one of two, at least this share holds both.
+TOGETHER = 0.9
 
 
 def terms_of(word: str) -> list[str]:
@@ -60,15 +67,16 @@ def feature(count: np.ndarray | float) -> np.ndarray | float:
 
 @dataclasses.dataclass
 class OrdinalModel:
-    """Weights by term and ordered thresholds."""
+    """Weight and feature of each term, and ordered thresholds. A feature's count in a text is the largest of its terms'."""
 
     weights: dict[str, float]
     thresholds: list[float]
+    features: dict[str, int] = dataclasses.field(default_factory=dict)
 
     def scorer(self) -> Callable[[str], float]:
         """A function that gives a text's linear score. It keeps which terms of the model a word holds, for so many words."""
         kept: dict[str, tuple[str, ...]] = {}
-        weights = self.weights
+        weights, features = self.weights, self.features
 
         def level(text: str) -> float:
             hits: dict[str, int] = {}
@@ -80,7 +88,12 @@ class OrdinalModel:
                     own = kept[word] = tuple(t for t in terms_of(word) if t in weights)
                 for term in own:
                     hits[term] = hits.get(term, 0) + n
-            return float(sum(weights[t] * feature(n) for t, n in sorted(hits.items())))
+            most: dict[int | str, tuple[int, float]] = {}
+            for term, n in sorted(hits.items()):
+                own = features.get(term, term)
+                if own not in most or most[own][0] < n:
+                    most[own] = (n, weights[term])
+            return float(sum(w * feature(n) for n, w in most.values()))
         return level
 
     def at_least(self, levels: np.ndarray) -> np.ndarray:
@@ -119,37 +132,39 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, most: in
     """At most `most` labelled texts, half of them at most of one label: (doc_id, label, text), one of each group of copies, by a hash of the id.
 
     With them, how many such texts each label has in the whole table: labels without a
-    document don't count, and copies are put together before the sample is taken.
+    document don't count, and copies are put together before the sample is taken. Rows
+    that repeat an id with different texts are texts of their own.
     """
-    known = labels.select(F.col("doc_id").alias("of"), F.col(label_col).cast("int").alias("label")).filter("of IS NOT NULL AND label IN (0, 1)")
-    known = known.groupBy("of").agg(F.max("label").alias("label"))
+    known = land(known_labels(labels, label_col), "known-labels")
     kind = docs.schema["doc_id"].dataType.simpleString()
+    # Tasks hash the texts of labelled ids alone; the bitmap of these ids has a bounded size and lets few others pass.
+    marks = docs.sparkSession.sparkContext.broadcast(bitmap_of(known.select(F.xxhash64(F.col("of").cast(kind)).alias("h")), ["h"]))
 
-    def least_shingles(texts: pa.Array, factors: list[np.uint64]) -> pa.Array:
-        return pa.array([int(s[0].view(np.int64)) if len(s := shingle_hashes(t, 3, factors)) else 0 for t in bytes_of(texts)], pa.int64())
+    def digests(texts: pa.Array, factors: list[np.uint64]) -> pa.Array:
+        return pa.array([xxhash.xxh3_128_digest(shingle_hashes(t, 3, factors).tobytes()) for t in bytes_of(texts)], pa.binary())
 
-    def with_least_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def with_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = _odd(1, 3)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), least_shingles(batch.column(1), factors)], names=["doc_id", "least"])
+            some = batch.filter(pa.array(in_bitmap(batch.column(2).to_numpy(zero_copy_only=False)[:, None], *marks.value)))
+            yield pa.RecordBatch.from_arrays([some.column(0), digests(some.column(1), factors)], names=["doc_id", "digest"])
 
-    # Copies, also most of the near ones, share their least shingle. Only ids and shingles are shuffled.
     rows = docs.filter("doc_id IS NOT NULL").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    keyed = rows.mapInArrow(with_least_shingle, f"doc_id {kind}, least long")
-    groups = land(keyed.join(known, F.col("doc_id") == F.col("of")).groupBy("least", "label").agg(F.min("doc_id").alias("one")), "labelled-groups")
+    keyed = rows.withColumn("h", F.xxhash64("doc_id")).mapInArrow(with_digest, f"doc_id {kind}, digest binary")
+    groups = land(keyed.join(known, F.col("doc_id") == F.col("of")).groupBy("digest", "label").agg(F.min("doc_id").alias("one")), "labelled-groups")
     full = dict(tuple(r) for r in groups.groupBy("label").count().collect())
-    ranked = [groups.filter(F.col("label") == k).orderBy(F.xxhash64("one"), "one", "least").limit(most // 2) for k in (0, 1)]
+    ranked = [groups.filter(F.col("label") == k).orderBy(F.xxhash64("one"), "one", "digest").limit(most // 2) for k in (0, 1)]
     chosen = land(ranked[0].unionAll(ranked[1]), "sampled-labels")
     # The sample has `most` rows at most, so the large table is not shuffled for it.
-    found = rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("one")).select(F.col("doc_id").cast("long"), "label", "text", "least")
+    found = rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("one")).select(F.col("doc_id").cast("long"), "label", "text", "digest")
 
     def of_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = _odd(1, 3)
         for batch in batches:  # rows that repeat an id may hold other texts
-            yield batch.filter(pc.equal(batch.column(3), least_shingles(batch.column(2), factors)))
+            yield batch.filter(pc.equal(batch.column(3), digests(batch.column(2), factors)))
 
-    same = found.mapInArrow(of_group, "doc_id long, label int, text string, least long")
-    return land(same.groupBy("least", "label").agg(F.min(F.struct("doc_id", "text")).alias("one")).select("one.doc_id", "label", "one.text"), "sample"), full
+    same = found.mapInArrow(of_group, "doc_id long, label int, text string, digest binary")
+    return land(same.groupBy("digest", "label").agg(F.min(F.struct("doc_id", "text")).alias("one")).select("one.doc_id", "label", "one.text"), "sample"), full
 
 
 def sample_terms(sample: DataFrame) -> DataFrame:
@@ -169,13 +184,8 @@ def sample_terms(sample: DataFrame) -> DataFrame:
     return sample.select("label", "text").mapInArrow(run, "term string, k long, n long").groupBy("term").agg(F.sum("k").alias("k"), F.sum("n").alias("n"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", max_labelled: int = MAX_LABELLED, max_terms: int = MAX_TERMS, min_texts: int = 3) -> OrdinalModel:
-    """Fit on labelled documents. Without toxic labels, the model finds nothing toxic."""
-    sample, full = labelled_sample(docs, labels, label_col, max_labelled)
-    sizes = dict(tuple(r) for r in sample.groupBy("label").count().collect())
-    clean, toxic = sizes.get(0, 0), sizes.get(1, 0)
-    if not toxic:
-        return OrdinalModel({}, [20.0] * GRADES)
+def telling_terms(sample: DataFrame, clean: int, toxic: int, max_terms: int, min_texts: int) -> list[str]:
+    """At most `max_terms` terms, the most telling first: in `min_texts` toxic texts at least, with a share of toxic texts above the sample's that chance hardly gives."""
     texts = land(sample_terms(sample), "sample-terms")
     # How likely chance is to give a term goes by the texts looked at, so here the base share is the sample's; a share
     # is above it exactly if the weighted share is above the whole table's.
@@ -185,11 +195,37 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", max_labell
     part = lambda p, q: F.when(p > 0, p * F.log(p / q)).otherwise(0.0)
     told: Column = F.col("n") * (part(share, F.lit(base)) + part(1 - share, F.lit(max(1 - base, 1e-9))))
     tested = texts.count()
-    telling = texts.filter((share > base) & (F.col("k") >= min_texts)).withColumn("told", told).filter(F.col("told") >= (float(np.log(tested)) + 2 if clean else 0.0))
-    vocabulary = {r[0]: k for k, r in enumerate(telling.orderBy(F.desc("told"), "term").limit(max_terms).select("term").collect())}
-    if not vocabulary:
+    telling = texts.filter((share > base) & (F.col("k") >= min_texts)).withColumn("told", told).filter(F.col("told") >= (float(np.log(max(1, tested))) + 2 if clean else 0.0))
+    return [r[0] for r in telling.orderBy(F.desc("told"), "term").limit(max_terms).select("term").collect()]
+
+
+def features_of(held: np.ndarray) -> np.ndarray:
+    """The feature of each column (term) of `held` (text x term): that of the first column that stands in nearly the same texts, else its own."""
+    own = np.full(held.shape[1], -1, np.int64)
+    both = held.T.astype(np.float32) @ held.astype(np.float32)
+    size = np.diag(both)
+    leaders: list[int] = []
+    for k in range(held.shape[1]):
+        near = [n for n, at in enumerate(leaders) if both[k, at] >= TOGETHER * (size[k] + size[at] - both[k, at])]
+        if near:
+            own[k] = near[0]
+        else:
+            own[k] = len(leaders)
+            leaders.append(k)
+    return own
+
+
+def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", max_labelled: int = MAX_LABELLED, max_terms: int = MAX_TERMS, min_texts: int = 3) -> OrdinalModel:
+    """Fit on labelled documents. Without toxic labels, the model finds nothing toxic."""
+    sample, full = labelled_sample(docs, labels, label_col, max_labelled)
+    sizes = dict(tuple(r) for r in sample.groupBy("label").count().collect())
+    clean, toxic = sizes.get(0, 0), sizes.get(1, 0)
+    if not toxic:
+        return OrdinalModel({}, [20.0] * GRADES)
+    names = telling_terms(sample, clean, toxic, max_terms, min_texts)
+    if not names:
         return OrdinalModel({}, [20.0] * GRADES)
-    names = list(vocabulary)
+    vocabulary = {term: k for k, term in enumerate(names)}
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,8 +252,15 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", max_labell
     cuts = np.quantile(marked[label == 1], [k / GRADES for k in range(1, GRADES)])
     grades[label == 1] = 1 + (marked[label == 1][:, None] > cuts[None, :]).sum(axis=1)
     weigh = np.where(label == 1, full[1] / toxic, full.get(0, 0) / max(1, clean))
-    weights, thresholds = fit_ordinal(Rows(row, column, feature(count), len(found), len(names)), grades, GRADES, weigh=weigh)
-    return OrdinalModel({t: float(w) for t, w in zip(names, weights, strict=True) if w}, [float(t) for t in thresholds])
+    held = np.zeros((len(found), len(names)), bool)
+    held[row, column] = True
+    feature_no = features_of(held)
+    most = np.zeros((len(found), feature_no.max() + 1), np.int64)
+    np.maximum.at(most, (row, feature_no[column]), count)
+    row, column = np.nonzero(most)
+    weights, thresholds = fit_ordinal(Rows(row, column, feature(most[row, column]), len(found), most.shape[1]), grades, GRADES, weigh=weigh)
+    own = {t: int(k) for t, k in zip(names, feature_no, strict=True) if weights[k]}
+    return OrdinalModel({t: float(weights[k]) for t, k in own.items()}, [float(t) for t in thresholds], own)
 
 
 def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -239,7 +282,11 @@ def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col
 
 
 def keep_clean(docs: DataFrame, model: OrdinalModel, text_col: str = "text") -> DataFrame:
-    """The rows, all columns as they are, whose text is not toxic. Nothing is joined or shuffled."""
+    """The rows, all columns as they are, whose text is not toxic. Nothing is joined or shuffled.
+
+    Null and empty texts have no terms and are judged as such; null ids, repeated rows
+    and columns of any name pass through; an empty table gives an empty one.
+    """
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

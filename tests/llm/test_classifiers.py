@@ -121,3 +121,57 @@ def test_verdicts_do_not_depend_on_the_size_of_the_sample(make, spark):
         assert [r.toxic for r in found] == [False, False, True, True], (most, found)
         odds.append([np.log(r.p_toxic / (1 - r.p_toxic)) for r in found])
     assert np.abs(np.subtract(*odds))[:2].max() < 1, odds
+
+
+def test_terms_equal_brute_force(make, spark):
+    """Selected terms and every score, worked out anew from the sampled texts."""
+    import math
+    import random
+    import re
+    from collections import Counter
+
+    r = random.Random(8)
+    plain, foul = [f"plain{k}" for k in range(30)], ["scum", "trash", "idiots", "loser"]
+    rows = [(k, " ".join(r.choices(plain, k=8) + (r.choices(foul, k=1 + k % 3) if k % 4 == 0 else [])) + f" {k}") for k in range(200)]
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k, _ in rows], "doc_id long, toxic int")
+    docs = make(rows)
+    sample, full = toxicity.labelled_sample(docs, labels, "toxic", 1000)
+    assert full == {0: 150, 1: 50} and sorted(tuple(x) for x in sample.collect()) == [(k, int(k % 4 == 0), t) for k, t in rows]
+
+    def terms(text):
+        words = re.findall(r"[^\W\d_]+", text.lower())
+        return [t for w in words for t in [w, *(w[:n] + "*" for n in (4, 5, 6, 7) if len(w) > n)]]
+
+    n, k = Counter(), Counter()
+    for i, text in rows:
+        for t in set(terms(text)):
+            n[t] += 1
+            k[t] += i % 4 == 0
+    def told(t):
+        q, p = k[t] / n[t], 50 / 200
+        return n[t] * sum(a * math.log(a / b) for a, b in ((q, p), (1 - q, 1 - p)) if a)
+    want = sorted((t for t in n if k[t] / n[t] > 0.25 and k[t] >= 3 and told(t) >= math.log(len(n)) + 2), key=lambda t: (-round(told(t), 9), t))
+    got = toxicity.telling_terms(sample, 150, 50, 1024, 3)
+    assert set(got) == set(want) and "scum" in got and not any(t.startswith("plain") for t in got)
+    model = toxicity.fit(docs, labels)
+    for row in toxicity.score(docs, model).collect():
+        count = Counter(terms(rows[row.doc_id][1]))
+        by_feature = {}
+        for t, c in count.items():
+            if t in model.weights:
+                by_feature[model.features[t]] = max(by_feature.get(model.features[t], 0), c)
+        weight = {f: model.weights[t] for t, f in model.features.items()}
+        level = sum(weight[f] * (1 + math.log(c)) for f, c in by_feature.items())
+        assert math.isclose(row.severity, sum(1 / (1 + math.exp(t - level)) for t in model.thresholds), rel_tol=1e-6)
+
+
+def test_different_near_texts_stay_and_copies_count_once(make, spark):
+    rows = [(k, f"you scum and trash {k} again") for k in range(30)] + [(100 + k, "You scum and trash 7 again") for k in range(9)]
+    labels = spark.createDataFrame([(k, 1) for k, _ in rows] + [(7, 0)], "doc_id long, toxic int")  # a clash: the larger counts
+    sample, full = toxicity.labelled_sample(make(rows, extra=True), labels, "toxic", 1000)
+    assert full == {1: 30} and sorted(r.doc_id for r in sample.collect()) == list(range(30))
+
+
+def test_terms_of_the_same_texts_are_one_feature():
+    held = np.array([[1, 1, 0, 1], [1, 1, 0, 1], [0, 0, 1, 1]], bool)
+    assert toxicity.features_of(held).tolist() == [0, 0, 1, 2]

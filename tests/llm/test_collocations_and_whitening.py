@@ -75,7 +75,7 @@ def test_top_keeps_order_among_ties(spark):
 
 def test_a_full_bitmap_prunes_nothing_and_changes_nothing(spark, monkeypatch):
     rows = texts(3, 120)
-    monkeypatch.setattr(collocations, "_held", lambda groups, marks, bits: np.ones(len(groups), bool))
+    monkeypatch.setattr(collocations, "in_bitmap", lambda groups, marks, bits: np.ones(len(groups), bool))
     assert found(collocations.collocations(documents(spark, rows), least=3)) == brute(rows)
 
 
