@@ -38,9 +38,11 @@ _ENDS = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
 #: No byte of UTF-8 text; stands for the end of a piece.
 _GAP = b"\xff"
 #: Words of a block.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 #: Bits of the bitmap of frequent groups: at least, at most (32 MB), and for each group.
 LEAST_BITS, MOST_BITS, BITS_EACH = 20, 28, 16
+#: Parts of a language's candidates that are ranked side by side.
+SALTS = 64
 #: Bits of the bitmap that one row holds on its way to the driver.
 _PART = 18
 _RELATION = "ids binary, groups binary, steps binary, gid binary"
@@ -281,13 +283,12 @@ def collocations(docs: DataFrame, longest: int = 4, least: int = 30, top: int =
     heads, rests = phrases.select(F.col("phrase").alias("head"), F.col("f").alias("l")), phrases.select(F.col("phrase").alias("rest"), F.col("f").alias("r"))
     scored = cuts.join(heads, "head").join(rests, "rest").withColumn("score", F.expr(f"cast({scale} as decimal(17,0)) * cast(a as decimal(20,0)) div (cast(l as decimal(20,0)) + r)"))
     lowest = scored.groupBy("phrase", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut")).select("phrase", "a", "cut.l", "cut.r", "cut.score")
-    named = words.select(F.col("id").alias("first"), "lang")
-    placed = lowest.withColumn("first", F.element_at("phrase", 1)).join(named, "first").withColumn(
-        "place", F.rank().over(W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a")))).filter(F.col("place") <= top)  # with all that tie with the last
-    chosen = land(placed.select("lang", "phrase", "a", "l", "r", "score"), "chosen")
-    spelled = chosen.select("lang", "phrase", F.posexplode("phrase").alias("at", "id")).join(words.select("id", "word"), "id").groupBy("lang", "phrase").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "word"))), lambda s: s["word"]), " ").alias("text"))  # at most `longest` words
+    spelled = lowest.select("phrase", F.posexplode("phrase").alias("at", "id")).join(words.filter(F.col("f") >= least).select("id", "lang", "word"), "id").groupBy("phrase").agg(
+        F.first("lang").alias("lang"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "word"))), lambda s: s["word"]), " ").alias("text"))  # at most `longest` words
+    order = (F.desc("score"), F.desc("a"), F.asc("text"))
+    # A language may have any number of candidates: each of SALTS parts of them is cut to `top` rows before one task ranks what is left.
+    part = F.row_number().over(W.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(SALTS))).orderBy(*order))
+    chosen = land(lowest.join(spelled, "phrase").withColumn("place", part).filter(F.col("place") <= top).select("lang", "text", "a", "l", "r", "score"), "chosen")
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    rank = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "text"))
-    return chosen.join(spelled, ["lang", "phrase"]).withColumn("rank", rank.cast("long")).filter(F.col("rank") <= top).join(totals, "lang").select(
+    return chosen.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(*order)).cast("long")).filter(F.col("rank") <= top).join(totals, "lang").select(
         "lang", "rank", F.col("text").alias("phrase"), "a", "l", "r", "n", "score")
