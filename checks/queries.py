@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from checks import time_queries
 from checks.inputs import CHARTER_LABELS, ROSTER_LABELS, Inputs, plain
 from tallyroll import config as cfg
 from tallyroll.functions import dates, fte, text
-from tallyroll.operators import billing_rules, keys, measures, quality, windows
+from tallyroll.operators import billing_rules, keys, measures, ordinals, quality, windows
 from tallyroll.plans import audit_billing, audit_roster, audit_spine, compare_final, statistics, unify
 from tallyroll.session import cut_lineage
 from tallyroll.sources import pages, sinks, tables
@@ -764,33 +765,31 @@ def clean_texts(i: Inputs) -> DataFrame:
 
 
 # ---------------------------------------------------------------- written tables, reports and their order
-def _placed(df: DataFrame, *columns: str) -> DataFrame:
-    """Rows of a sorted report with their place."""
-    return df.withColumn("_id", F.monotonically_increasing_id()).select(*columns, F.row_number().over(Window.orderBy("_id")).alias("place"))
+def _placed(i: Inputs, df: DataFrame, *columns: str) -> DataFrame:
+    """Rows of a sorted report with their place in the written files."""
+    return ordinals.number_sorted(df.select(*columns), folder=i.folder("placed"))
 
 
 @query
 def order_conflicting_state_ids(i: Inputs) -> DataFrame:
-    return _placed(quality.conflicting_keys(i.st_enrollment()), "normalized_nyssis_id")
+    return _placed(i, quality.conflicting_keys(i.st_enrollment()), "normalized_nyssis_id")
 
 
 @query
 def order_spine_triage(i: Inputs) -> DataFrame:
-    return _placed(audit_spine.triage(_spine(i)), "severity", "final_validation_status")
+    return _placed(i, audit_spine.triage(_spine(i)), "severity", "final_validation_status")
 
 
 @query
 def order_roster_summary(i: Inputs) -> DataFrame:
-    return _placed(audit_roster.severity_summary(_roster_audits(i)), "severity", "final_validation_status")
+    return _placed(i, audit_roster.severity_summary(_roster_audits(i)), "severity", "final_validation_status")
 
 
 @query
 def order_of_written_rankings(i: Inputs) -> DataFrame:
     """Places in the written files: by file, then by row."""
-    folder = i.folder("rankings")
-    sinks.sorted_for_write(statistics.GOLD["gold_county_rankings"][0](_silver(i)), ["county", "year"]).write.parquet(folder)
-    back = i.spark.read.parquet(folder).select("county", "year", F.col("_metadata.file_name").alias("f"), F.col("_metadata.row_index").alias("r"))
-    return back.select("county", "year", F.row_number().over(Window.orderBy("f", "r")).alias("place"))
+    rankings = statistics.GOLD["gold_county_rankings"][0](_silver(i)).select("county", "year")
+    return _placed(i, sinks.sorted_for_write(rankings, ["county", "year"]), "county", "year")
 
 
 @query
@@ -841,3 +840,7 @@ def report_billing(i: Inputs) -> DataFrame:
 @query
 def report_unified(i: Inputs) -> DataFrame:
     return _report_counts(i, unify.report(_final_roster(i), unify.dedupe_export(_exports(i)), "row_id", i.folder("audit")))
+
+
+for _build in time_queries.BUILDERS:
+    query(_build)

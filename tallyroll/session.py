@@ -38,6 +38,11 @@ def cut_lineage(df: DataFrame, folder: str | None = None) -> DataFrame:
     For a table that several later steps read: it is computed once, survives the loss of
     an executor, and later steps read only the columns they need.
     """
+    return df.sparkSession.read.schema(df.schema).parquet(cut_path(df, folder))
+
+
+def cut_path(df: DataFrame, folder: str | None = None) -> str:
+    """Write the table below the shared folder; returns its path."""
     path = f"{shared_folder(df.sparkSession, folder)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return path
