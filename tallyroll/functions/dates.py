@@ -57,14 +57,17 @@ def parse_month_name(s: Column) -> Column:
 
 
 def parse_written_month(s: Column) -> Column:
-    """Feb 14, 2026, February 14 2026, 14 February 2026 and 14-Feb-2026, in any case of letters."""
+    """Feb 14, 2026, February 14 2026, 14 February 2026 and 14-Feb-2026, in any case of letters.
+
+    One test of the shape keeps all other texts away from the month names.
+    """
     month = "jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?"
-    first = rf"^(?i)({month})[.]?[ -]+(\d{{1,2}}),?[ -]+(\d{{4}})$"
-    later = rf"^(?i)(\d{{1,2}})[ -]+({month})[.,]?[ -]+(\d{{4}})$"
-    day_first = F.regexp_replace(s, first, "$2-$1-$3")
-    parts = F.regexp_extract(day_first, later, 2)
-    short = F.concat(F.regexp_extract(day_first, later, 1), F.lit("-"), F.initcap(F.substring(parts, 1, 3)), F.lit("-"), F.regexp_extract(day_first, later, 3))
-    return F.when(parts != "", F.try_to_date(short, "d-MMM-yyyy"))
+    name = rf"(?=(?:{month})[.,]?[ -])([a-z]{{3}})[a-z]*"
+    first = rf"^(?i){name}[.]?[ -]+(\d{{1,2}}),?[ -]+(\d{{4}})$"
+    later = rf"^(?i)(\d{{1,2}})[ -]+{name}[.,]?[ -]+(\d{{4}})$"
+    written = s.rlike(r"^(?i)(?:[a-z]{3,9}[.]?[ -]+\d{1,2}|\d{1,2}[ -]+[a-z]{3,9}[.,]?),?[ -]+\d{4}$")
+    short = F.regexp_replace(F.regexp_replace(s, first, "$2-$1-$3"), later, "$1-$2-$3")
+    return F.when(written, F.try_to_date(short, "d-MMM-yyyy"))
 
 
 def from_serial(s: Column, low: float | None = None, high: float | None = None) -> Column:

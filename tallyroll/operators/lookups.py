@@ -1,9 +1,8 @@
 """Ordered fallback lookups ("waterfalls").
 
 A row may be found by several keys, tried in a fixed order. Instead of one join per
-key, each row emits its (level, key) pairs, one join finds all levels at once, and
-the lowest level wins. The rows travel with their pairs, so the input is read once
-however many lookups follow one another.
+key, each row emits its (level, key) pairs, one join finds all levels at once, the
+lowest level wins, and the winners are joined to the rows by row id.
 """
 
 from __future__ import annotations
@@ -16,8 +15,8 @@ from pyspark.sql import functions as F
 from tallyroll.operators.keys import c
 
 
-def _pairs(levels: Sequence[Column], first: int = 0) -> list[Column]:
-    return [F.struct(F.lit(i).alias("level"), k.alias("key")) for i, k in enumerate(levels, first)]
+def _pairs(levels: Sequence[Column]) -> list[Column]:
+    return [F.struct(F.lit(i).alias("level"), k.alias("key")) for i, k in enumerate(levels)]
 
 
 def level_table(source: DataFrame, levels: Sequence[Column], aggregates: Sequence[Column], keep: Sequence[Column],
@@ -33,20 +32,15 @@ def level_table(source: DataFrame, levels: Sequence[Column], aggregates: Sequenc
 def patch(df: DataFrame, row_id: str, needs: Column, levels: Sequence[Column], table: DataFrame, payload: Sequence[str]) -> DataFrame:
     """Every row plus the payload of its winning level, NULL where nothing was needed or found.
 
-    A row that needs nothing, or knows no key, emits one pair that matches nothing and
-    is spread over the shuffle.
+    Only (row id, level, key) of rows that need something go through the lookup; rows
+    that know no key emit nothing. What was found is joined to the rows by their id, so
+    a whole row is shuffled once, and never once per key. ``row_id`` is unique.
     """
-    others = [n for n in df.columns if n != row_id]
-    row = F.struct(*[c(n).alias(f"f{i}") for i, n in enumerate(others)])
     wanted = [F.when(needs, k) for k in levels]
-    nothing = F.concat(F.lit("\u0000"), F.xxhash64(c(row_id)).cast("string"))
-    tagged = df.select(c(row_id), row.alias("_row"), F.inline(F.array(*_pairs([nothing, *wanted], -1)))).filter("key is not null")
-    side = table.select(F.col("level").alias("_level"), F.col("key").alias("_key"), *[c(p).alias(f"_p{i}") for i, p in enumerate(payload)])
-    joined = tagged.join(side, (F.col("level") == F.col("_level")) & (F.col("key") == F.col("_key")), "left")
-    # One row per emitted pair of a row, so no group here exceeds the number of levels.
-    won = joined.groupBy(c(row_id)).agg(
-        F.any_value(F.col("_row")).alias("_row"),
-        F.min_by(F.struct(*[F.col(f"_p{i}") for i in range(len(payload))]), F.col("_level")).alias("_won"))
-    return won.select(
-        c(row_id), *[F.col("_row")[f"f{i}"].alias(n) for i, n in enumerate(others)],
-        *[F.col("_won")[f"_p{i}"].alias(p) for i, p in enumerate(payload)])
+    asked = df.select(c(row_id).alias("_asked"), F.inline(F.array(*_pairs(wanted)))).filter("key is not null")
+    side = table.select(F.col("level").alias("_level"), F.col("key").alias("_key"), F.struct(*[c(p).alias(f"_p{i}") for i, p in enumerate(payload)]).alias("_payload"))
+    joined = asked.join(side, (F.col("level") == F.col("_level")) & (F.col("key") == F.col("_key")))
+    # One row per level that answered, so no group here exceeds the number of levels.
+    won = joined.groupBy("_asked").agg(F.min_by("_payload", "level").alias("_won"))
+    found = df.join(won, c(row_id) == F.col("_asked"), "left")
+    return found.select(*[c(n) for n in df.columns], *[F.col("_won")[f"_p{i}"].alias(p) for i, p in enumerate(payload)])

@@ -14,7 +14,7 @@ from tallyroll.functions import dates, fte
 from tallyroll.functions.text import blank_to_null, name_key, present, split_first, split_last, strip, strip_decimal_zero
 from tallyroll.operators import billing_rules as rules
 from tallyroll.operators.keys import (
-    c, distinct_keys, enrollment_label, first_per_key, flag_members, latest_per_key, latest_with_count, left_on_key,
+    c, distinct_keys, enrollment_label, first_per_key, flag_members, latest_per_key, latest_with_count, left_on_key, left_on_same_key,
 )
 from tallyroll.plans import compare_final
 from tallyroll.session import cut_lineage
@@ -271,23 +271,20 @@ def sped_roster(sped: DataFrame, audited: DataFrame, export: DataFrame, disabili
     """
     first_audit = first_per_key(
         audited.select("nyssis", "student_status", "st_sped_fte", row_id), ["nyssis"], [c(row_id).asc()])
-    sides = {
-        "IEP Code": None if disability is None else first_per_key(
-            disability.select(strip_decimal_zero(c("nyssis")).alias("k"), strip_decimal_zero(c("iep_code")).alias("v"), c(ordinal)),
-            ["k"], [c(ordinal).asc()]).select("k", "v"),
-        "ST Student ID": latest_per_key(export, ["nyssis"], "st_entry", ordinal)
-        .select(c("nyssis").alias("k"), blank_to_null(c("st_student_id")).alias("v")),
-    }
+    latest = latest_per_key(export, ["nyssis"], "st_entry", ordinal)
+    sides = [
+        first_audit.select(c("nyssis").alias("k"), c("student_status").alias("_status"), c("st_sped_fte").alias("_fte")),
+        latest.select(c("nyssis").alias("k"), blank_to_null(c("st_student_id")).alias("_student")),
+    ]
+    if disability is not None:
+        codes = disability.select(strip_decimal_zero(c("nyssis")).alias("k"), strip_decimal_zero(c("iep_code")).alias("_code"), c(ordinal))
+        sides.append(first_per_key(codes, ["k"], [c(ordinal).asc()]).select("k", "_code"))
     target = status_column if status_column in sped.columns else "IEP Enroll status"
-    both = first_audit.select(c("nyssis").alias("k"), c("student_status").alias("_status"), c("st_sped_fte").alias("_fte"))
-    result = left_on_key(sped, both, c("sped_key"), "k", [sped_ordinal])
-    result = result.withColumn(target, F.col("_status")).withColumn("ST SPED FTE", F.col("_fte")).drop("_status", "_fte")
-    for name, side in sides.items():
-        if side is None:
-            result = result.withColumn(name, F.lit(None).cast("string"))
-        else:
-            result = left_on_key(result, side, c("sped_key"), "k", [sped_ordinal]).withColumn(name, F.col("v")).drop("v")
-    return result
+    # The roster is shuffled by its key once for all lookups.
+    joined = left_on_same_key(sped, sides, c("sped_key"), "k", [sped_ordinal])
+    code = F.col("_code") if disability is not None else F.lit(None).cast("string")
+    return joined.withColumn(target, F.col("_status")).withColumns({"ST SPED FTE": F.col("_fte"), "IEP Code": code, "ST Student ID": F.col("_student")}).drop(
+        "_status", "_fte", "_code", "_student")
 
 
 def report(audited: DataFrame, sped_tab: DataFrame | None = None, matched: DataFrame | None = None, folder: str | None = None) -> dict[str, DataFrame]:

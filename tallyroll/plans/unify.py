@@ -98,9 +98,8 @@ def clean_export(st: DataFrame) -> DataFrame:
 
 def dedupe_export(st: DataFrame) -> DataFrame:
     """First row per (state ID, student ID, start day, school); NULL parts count as ''."""
-    parts = [F.coalesce(c(n).cast("string"), F.lit("")) for n in ("nyssis", "sid", "start", "school")]
-    keyed = st.withColumn("_key", F.concat_ws("|", *parts))
-    return first_per_key(keyed, ["_key"], [c("st_ord").asc()]).drop("_key")
+    parts = {f"_key_{n}": F.coalesce(c(n).cast("string"), F.lit("")) for n in ("nyssis", "sid", "start", "school")}
+    return first_per_key(st.withColumns(parts), list(parts), [c("st_ord").asc()]).drop(*parts)
 
 
 # ---------------------------------------------------------------- three patch passes

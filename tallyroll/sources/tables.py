@@ -12,6 +12,9 @@ from tallyroll import config as cfg
 from tallyroll.functions.text import null_tokens, present, strip
 from tallyroll.operators.keys import c
 
+#: Labels of tables that may be broadcast, once their number is known.
+MEASURED_ROWS = 100_000
+
 
 # ---------------------------------------------------------------- columns
 def normalize_header(name: str | None) -> str:
@@ -46,6 +49,11 @@ def resolve_roles(columns: Sequence[str], patterns: dict[str, Sequence[str]], ov
     return {role: overrides[role] if role in overrides else find_column(columns, p) for role, p in patterns.items()}
 
 
+def widened(patterns: dict[str, Sequence[str]], wide: dict[str, Sequence[str]]) -> dict[str, list[str]]:
+    """The role lists of both billing readers: headers that the first list misses are found by the wider one."""
+    return {role: [*patterns.get(role, ()), *(p for p in wide.get(role, ()) if p not in patterns.get(role, ()))] for role in [*patterns, *(r for r in wide if r not in patterns)]}
+
+
 def conform_to_roles(df: DataFrame, patterns: dict[str, Sequence[str]], overrides: dict[str, str | None] | None = None,
                      prefix: str = "", keep: Sequence[str] = ()) -> DataFrame:
     """One text column per role, NULL where no header fits, plus the kept columns. Names come from the schema; no data is read."""
@@ -99,15 +107,17 @@ def clean_null_tokens(df: DataFrame, tokens: Sequence[str] = cfg.NULLS_ROSTER) -
 def drop_junk_rows(df: DataFrame, id_column: str, table: str, share: float = 0.5) -> DataFrame:
     """Keep rows whose ID is 6 to 12 digits, in the tables where at least ``share`` of the rows have one.
 
-    Footers and totals go; a table that carries no IDs in that column stays whole. All
-    tables are judged by one aggregation; its answer is one value, the list of labels of
-    the tables to be cut, so the rows themselves are not shuffled.
+    Footers and totals go; a table that carries no IDs in that column stays whole. The
+    labels of the tables to be cut are one row each; they are broadcast up to
+    ``MEASURED_ROWS`` of them, after their number is known, and joined by label beyond.
     """
     valid = F.coalesce(F.regexp_replace(strip(c(id_column).cast("string")), r"\.0", "").rlike(r"^\d{6,12}$"), F.lit(False))
     label = F.to_json(F.struct(c(table).alias("t")))  # NULL is a label too
     shares = df.select(label.alias("_table"), valid.cast("int").alias("_valid")).groupBy("_table").agg(F.avg("_valid").alias("_share"))
-    cut = shares.filter(F.col("_share") >= share).agg(F.collect_list("_table")).scalar()
-    return df.filter(valid | ~F.array_contains(cut, label))
+    cut = shares.filter(F.col("_share") >= share).select("_table", F.lit(True).alias("_cut"))
+    few = len(cut.select("_table").take(MEASURED_ROWS + 1)) <= MEASURED_ROWS
+    marked = df.withColumn("_label", label).join(F.broadcast(cut) if few else cut, F.col("_label") == F.col("_table"), "left")
+    return marked.filter(valid | F.col("_cut").isNull()).drop("_label", "_table", "_cut")
 
 
 def filter_export_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -152,10 +162,12 @@ def header_rows(lines: DataFrame) -> DataFrame:
     has fewer than three values and two rows further there are three or more.
     """
     filled = F.size(F.filter("cells", lambda x: x != ""))
-    rows = with_cells(lines).select("file", "pos", filled.alias("filled"), F.get("cells", F.lit(0)).alias("first"))
-    # One number for each file, aggregated where the rows are read; then three rows for each file.
-    starts = rows.groupBy("file").agg(F.min(F.when(F.col("filled") > 0, F.col("pos"))).alias("start"))
-    near = rows.join(starts.withColumnRenamed("file", "_file"), (F.col("file") == F.col("_file")) & (F.col("pos") >= F.col("start")) & (F.col("pos") <= F.col("start") + 2))
+    # One number for each file, aggregated where the lines are read; then three lines for each file. Only these, and lines
+    # with quotes, are cut into cells: any other line has a value if more than delimiters and blanks is in it.
+    some = F.when(F.contains("line", F.lit('"')), filled > 0).otherwise(F.translate("line", cfg.WHITE_SPACE + ",", "") != "")
+    starts = with_cells(lines).groupBy("file").agg(F.min(F.when(some, F.col("pos"))).alias("start"))
+    near = lines.join(starts.withColumnRenamed("file", "_file"), (F.col("file") == F.col("_file")) & (F.col("pos") >= F.col("start")) & (F.col("pos") <= F.col("start") + 2))
+    near = with_cells(near).select("file", "pos", "start", filled.alias("filled"), F.get("cells", F.lit(0)).alias("first"))
     at = lambda k, name: F.max(F.when(F.col("pos") == F.col("start") + k, F.col(name)))
     seen = near.groupBy("file").agg(*[at(k, n).alias(f"{n}_{k}") for k in range(3) for n in ("filled", "first")])
     legend = lambda k: F.coalesce(F.upper(F.col(f"first_{k}")).rlike("COLOR.*KEY"), F.lit(False))

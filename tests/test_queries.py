@@ -7,11 +7,10 @@ import pytest
 
 import __spark_entry__ as entry
 import check
-from checks import oracles
+from checks import oracles, time_queries, written_queries
 from checks.queries import QUERIES
-from checks.time_queries import SQL
 
-ORACLES = {**oracles.ORACLES, **SQL}
+ORACLES = {**oracles.ORACLES, **time_queries.SQL, **written_queries.SQL}
 SMALL, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="driver tables not present")
 

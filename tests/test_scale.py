@@ -66,3 +66,54 @@ def test_layers_are_written_and_read_back(spark):
     assert [spark.table(n).count() for n in names] == [12] * 8
     again = statistics.build_tables(bronze)
     assert again == names and spark.table("gold_violent_crime_trends").filter("yoy_change = 0 AND rolling_3yr_avg = 6").count() == 9
+
+
+def test_lookups_shuffle_narrow_rows(spark):
+    """A fallback lookup sends ids and keys through its shuffle, and a whole row once."""
+    from pyspark.sql import functions as F
+
+    from tallyroll.operators import lookups
+
+    rows = spark.range(50).select(F.col("id"), *[F.lit("x" * 50).alias(f"wide_{k}") for k in range(6)], F.col("id").cast("string").alias("k0"), F.lit("none").alias("k1"))
+    source = spark.range(0, 50, 2).select(F.col("id").cast("string").alias("key"), F.col("id").alias("found"), F.lit(0).alias("level"))
+    patched = lookups.patch(rows, "id", F.lit(True), [F.col("k1"), F.col("k0")], source.withColumn("level", F.lit(1)), ["found"])
+    assert {r.id: r.found for r in patched.collect()} == {k: k if k % 2 == 0 else None for k in range(50)}
+    text = patched._jdf.queryExecution().optimizedPlan().toString()
+    assert "any_value" not in text and "first(_row" not in text
+
+
+def test_sped_roster_is_shuffled_once(spark):
+    from pyspark.sql import functions as F
+
+    from tallyroll.plans import audit_billing
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sped = spark.createDataFrame([(1, "a"), (2, None), (3, "c")], "row_id long, sped_key string")
+        audited = spark.createDataFrame([("a", "Good", 0.5, 1), ("a", "Bad", 0.1, 2)], "nyssis string, student_status string, st_sped_fte double, row_id long")
+        export = spark.createDataFrame([("a", None, "S1", 1), ("c", None, " ", 2)], "nyssis string, st_entry date, st_student_id string, ord long")
+        codes = spark.createDataFrame([("c", "D9", 1)], "nyssis string, iep_code string, ord long")
+        result = audit_billing.sped_roster(sped, audited, export, codes, "row_id", "row_id", "ord")
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("hashpartitioning(_left_key") == 1, plan
+        rows = {r.row_id: (r["IEP Enroll status"], r["ST SPED FTE"], r["IEP Code"], r["ST Student ID"]) for r in result.collect()}
+        assert rows == {1: ("Good", 0.5, None, "S1"), 2: (None, None, None, None), 3: (None, None, "D9", None)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert F is not None
+
+
+def test_a_missing_package_of_the_text_operators_is_an_error(monkeypatch):
+    """Only the absence of the subpackage itself drops its queries."""
+    import sys
+
+    import pytest
+
+    import __spark_entry__ as entry
+
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    with pytest.raises((ImportError, ValueError)):
+        entry.queries()
