@@ -2,8 +2,10 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 return rows of the columns they got. Nulls: a row with a null text has no words and
-goes with the quality rules; a row with a null doc_id is judged by its text, is never
-taken for a copy, and is packed. Rows that repeat a doc_id are one document.
+goes with the quality rules; a row with a null doc_id is judged by its text like any
+other, may be a copy, and is packed if it stays. Rows that repeat a doc_id are judged one
+by one. Empty texts go with the quality rules, very long ones are read whole, columns of
+any name pass through, and empty tables give empty ones.
 """
 
 from __future__ import annotations
@@ -27,11 +29,21 @@ def non_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are the smallest of their component of near copies."""
-    classes = jaccard.jaccard_classes(docs, width=5, percent=75)
-    # Only ids go through the join's other side; it is written, so that Spark knows its size.
-    copies = land(classes.filter("component_id <> doc_id").select(F.col("doc_id").alias("__copy")).distinct(), "copies")
-    return docs.join(copies, docs["doc_id"] == copies["__copy"], "left_anti")
+    """Exactly one row of each component of near copies: that with the smallest doc_id (null last), of equal ids any one.
+
+    Rows are told apart by a number of their own, so repeated and null ids are copies
+    like others, and a row stays or goes by its own text.
+    """
+    numbered = land(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    classes = land(jaccard.jaccard_classes(numbered, width=5, percent=75, id_col="__row").filter("n_copies > 1 OR component_id <> __row").select(
+        F.col("__row").alias("__copy"), F.col("component_id").alias("__of")), "classes")
+    # Components are told by their smallest row, which may itself be missing above: it is added with its own number.
+    members = classes.select("__copy", "__of").unionAll(classes.select("__of", "__of")).distinct()
+    ids = numbered.select(F.col("__row").alias("__id_row"), F.col("doc_id").alias("__id"))
+    first = members.join(ids, F.col("__copy") == F.col("__id_row")).groupBy("__of").agg(
+        F.min(F.struct(F.col("__id").isNull(), "__id", "__copy")).alias("__first")).select(F.col("__first")["__copy"].alias("__stays"))
+    copies = land(members.select("__copy").join(first, F.col("__copy") == F.col("__stays"), "left_anti"), "copies")
+    return numbered.join(copies, F.col("__row") == F.col("__copy"), "left_anti").select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
