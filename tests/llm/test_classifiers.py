@@ -175,3 +175,26 @@ def test_different_near_texts_stay_and_copies_count_once(make, spark):
 def test_terms_of_the_same_texts_are_one_feature():
     held = np.array([[1, 1, 0, 1], [1, 1, 0, 1], [0, 0, 1, 1]], bool)
     assert toxicity.features_of(held).tolist() == [0, 0, 1, 2]
+
+
+def test_views_hand_on_labels_both_ways_and_change_verdicts(tables):
+    """In each round both views hand on labels at both ends, in proportion to the texts; a run without exchange differs."""
+    docs, labels = tables
+    table = cotraining.features(docs)
+    text, meta, _, log = cotraining.co_train(table, labels)
+    assert {(x.round_no, x.teacher, x.good) for x in log} == {(n, t, g) for n in (1, 2) for t in ("text", "meta") for g in (True, False)}
+    outside = table.join(labels, "doc_id", "left_anti").select("copy").distinct().count()
+    assert all(0.05 * outside <= x.texts and x.fitted == min(x.texts, 2000) for x in log), log
+    alone_text, alone_meta, _, none = cotraining.co_train(table, labels, rounds=0)
+    assert none == [] and np.abs(text.weights - alone_text.weights).max() > 1e-3 and np.abs(meta.weights - alone_meta.weights).max() > 1e-3
+    both, alone = (cotraining.quality_scores(docs, labels, rounds=n).select("doc_id", F.col("quality").alias(f"q{n}"), F.col("kept").alias(f"k{n}")) for n in (2, 0))
+    changed = both.join(alone, "doc_id").filter("k0 <> k2 OR abs(q0 - q2) > 0.001").count()
+    assert changed > 0
+
+
+def test_handing_on_counts_distinct_texts(make, spark):
+    scored = spark.createDataFrame([(k, 7 if k < 500 else k, k / 1000, 1 - k / 1000) for k in range(1000)], "h long, copy long, by_text double, by_meta double")
+    picked, log = cotraining.hand_on(scored, 1, 20)
+    assert [(x.teacher, x.good, x.fitted) for x in log] == [("text", False, 20), ("text", True, 20), ("meta", False, 20), ("meta", True, 20)]
+    assert all(40 <= x.texts <= 61 for x in log)  # a tenth of the 501 distinct texts
+    assert picked.groupBy("teacher").count().count() == 2 and picked.count() == 80
