@@ -1,10 +1,12 @@
 """WARC archives as a table of record chunks.
 
 Payloads are handled in chunks of a fixed size, one row for each (record, chunk
-number), and every row carries the digest of the payload up to its end. The writer
-streams chunks into archives, one record after the other, each a gzip member of its
-own; the reader streams an archive and yields chunk rows again. Neither joins a
-record's chunks, so memory does not depend on the size of a record.
+number). Spark cuts the payloads into chunk rows; the writer streams these rows into
+archives, one record after the other, each a gzip member of its own, and checks the
+running digest at a record's end; the reader streams an archive and yields chunk rows
+again, each with the digest of the payload up to its end. Records are an aggregation of
+the chunk table. No Python task joins a record's chunks, so its memory does not depend
+on the size of a record.
 
 Of records with equal payloads one is written in full (`response`), the others refer
 to it (`revisit`) and have no payload; their HTTP header tells its size.
@@ -28,50 +30,28 @@ import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from tallyroll.llm.common import land, new_path
 
 CHUNK = 1 << 16
 #: An archive is closed when it has grown to this size.
 ARCHIVE = 1 << 30
-_SCHEMA = "record_id string, record_type string, refers_to string, payload_bytes long, chunk_no int, chunk binary, digest string, last boolean"
-
-
-def chunks_of(payload: memoryview, size: int = CHUNK) -> Iterator[tuple[int, memoryview, "hashlib._Hash", bool]]:
-    """(chunk number, chunk, digest so far, last) of a payload; an empty one is one empty chunk. The digest object goes on: read it at once."""
-    digest = hashlib.sha1()
-    count = max(1, -(-len(payload) // size))
-    for k in range(count):
-        chunk = payload[k * size:(k + 1) * size]
-        digest.update(chunk)
-        yield k, chunk, digest, k + 1 == count
+_SCHEMA = "archive string, record_no long, record_id string, record_type string, refers_to string, payload_bytes long, chunk_no int, chunk binary, digest string, last boolean"
 
 
 def base32(digest: bytes) -> str:
     return base64.b32encode(digest).decode("ascii")
 
 
-def _views(column: pa.Array) -> list[memoryview]:
-    """The column's texts in UTF-8, without copies; null is the empty payload."""
-    large = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
-    return [memoryview(x.as_buffer()) if x.is_valid else memoryview(b"") for x in column.cast(pa.large_binary() if large else pa.binary())]
-
-
-def payload_digests(pages: DataFrame, payload_col: str = "html") -> DataFrame:
-    """All columns, and `payload_digest`: bare upper-case base32 SHA-1 of the payload in UTF-8, taken chunk by chunk."""
-    at = pages.columns.index(payload_col)
+def payload_chunks(records: DataFrame, size: int = CHUNK) -> DataFrame:
+    """The rows of a table with a binary `payload`, once for each of its chunks: instead of the payload `chunk_no`, `chunk`, `last`.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            digests = []
-            for view in _views(batch.column(at)):
-                for _, _, digest, last in chunks_of(view):
-                    if last:
-                        digests.append(base32(digest.digest()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.string())], names=[*batch.schema.names, "payload_digest"])
-
-    return pages.mapInArrow(run, StructType([*pages.schema.fields, StructField("payload_digest", StringType())]))
+    Chunks of a row follow each other in one partition; an empty payload is one empty chunk.
+    """
+    others = [c for c in records.columns if c != "payload"]
+    count = F.greatest(F.lit(1), F.ceil(F.octet_length("payload") / F.lit(size)).cast("int"))
+    cut = records.select(*others, "payload", count.alias("n_chunks")).select(*others, "payload", "n_chunks", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)).alias("chunk_no"))
+    return cut.select(*others, "chunk_no", F.substring("payload", F.col("chunk_no") * F.lit(size) + 1, F.lit(size)).alias("chunk"), (F.col("chunk_no") + 1 == F.col("n_chunks")).alias("last"))
 
 
 class ArchiveWriter:
@@ -85,19 +65,28 @@ class ArchiveWriter:
         self.out: BinaryIO | None = None
         self.size = 0
 
-    def record(self, headers: list[tuple[str, str]], http: bytes, payload: memoryview) -> None:
+    def begin(self, headers: list[tuple[str, str]], http: bytes, payload_bytes: int) -> None:
+        """Begin a record whose payload of so many bytes follows by `chunk`."""
         if self.out is None or self.size > self.most:
             self.close()
             name = f"{self.stem}-{len(self.archives):05d}.warc.gz"
             self.out, self.size = self.fs.open_output_stream(f"{self.base}/{name}", compression=None), 0
             self.archives.append([f"{self.folder}/{name}", 0])
         self.archives[-1][1] += 1
-        member = zlib.compressobj(1, zlib.DEFLATED, 31)
-        head = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in [*headers, ("Content-Length", str(len(http) + len(payload)))]) + "\r\n"
-        self._put(member.compress(head.encode() + http))
-        for _, chunk, _, _ in chunks_of(payload):
-            self._put(member.compress(chunk))
-        self._put(member.compress(b"\r\n\r\n") + member.flush())
+        self.member, self.digest, self.left = zlib.compressobj(1, zlib.DEFLATED, 31), hashlib.sha1(), payload_bytes
+        head = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in [*headers, ("Content-Length", str(len(http) + payload_bytes))]) + "\r\n"
+        self._put(self.member.compress(head.encode() + http))
+
+    def chunk(self, chunk: memoryview) -> None:
+        self.digest.update(chunk)
+        self.left -= len(chunk)
+        self._put(self.member.compress(chunk))
+
+    def end(self, digest: str | None) -> None:
+        """End the record; its payload must have the size that was told, and the digest if one is given."""
+        if self.left or (digest is not None and self.digest.hexdigest() != digest):
+            raise ValueError("the chunks of a record are not its payload")
+        self._put(self.member.compress(b"\r\n\r\n") + self.member.flush())
 
     def _put(self, data: bytes) -> None:
         if data:
@@ -118,31 +107,37 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     null payload is an empty one. Rows with a null id are never the one referred to; among
     null ids alone all are responses. A null URL is written as an empty target.
     """
-    rows = payload_digests(pages.select(F.col(id_col).cast("string").alias("id"), F.col(id_col).alias("order"), F.col(url_col).alias("url"), F.col(payload_col).alias("payload")), "payload")
+    rows = pages.select(F.col(id_col).cast("string").alias("id"), F.col(id_col).alias("order"), F.col(url_col).alias("url"), F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")).alias("payload"))
+    rows = rows.select("*", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"))
     # Payloads that occur more than once: one row each, as small as the number of copied texts.
-    copied = rows.filter(F.octet_length(F.coalesce("payload", F.lit(""))) >= least_bytes).groupBy(F.col("payload_digest").alias("of")).agg(F.max("order").alias("newest"), F.count("*").alias("n")).filter("n > 1 AND newest IS NOT NULL")
+    copied = rows.filter(F.col("payload_bytes") >= least_bytes).groupBy(F.col("payload_digest").alias("of")).agg(F.max("order").alias("newest"), F.count("*").alias("n")).filter("n > 1 AND newest IS NOT NULL")
     copied = land(copied.select("of", F.col("newest"), F.col("newest").cast("string").alias("refers_to")), "copied-payloads")
+    again = F.col("newest").isNotNull() & (F.col("order").isNull() | (F.col("order") < F.col("newest")))
     planned = rows.join(copied, rows["payload_digest"] == copied["of"], "left").select(
-        "id", "url", "payload", "payload_digest", F.when(F.col("order").isNull() | (F.col("order") < F.col("newest")), F.col("refers_to")).alias("refers_to"))
+        "id", "url", "payload_bytes", "payload_digest", F.when(again, F.col("refers_to")).alias("refers_to"), F.when(again, F.lit(b"")).otherwise(F.col("payload")).alias("payload"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = None
         for batch in batches:
-            ids, urls, digests, refers = (batch.column(k).to_pylist() for k in (0, 1, 3, 4))
-            for i, url, payload, digest, to in zip(ids, urls, _views(batch.column(2)), digests, refers, strict=True):
+            ids, urls, sizes, digests, refers, places, lasts = (batch.column(k).to_pylist() for k in (0, 1, 2, 3, 4, 5, 7))
+            for i, url, size, digest, to, k, chunk, last in zip(ids, urls, sizes, digests, refers, places, batch.column(6), lasts, strict=True):
                 out = out or ArchiveWriter(folder, f"part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}", archive_bytes)
-                http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
-                clean = "".join(c for c in url or "" if c not in "\r\n")
-                headers = [("WARC-Type", "revisit" if to is not None else "response"), ("WARC-Record-ID", f"<urn:page:{'' if i is None else i}>"), ("WARC-Target-URI", clean),
-                           ("WARC-Payload-Digest", f"sha1:{digest}"), ("Content-Type", "application/http; msgtype=response")]
-                if to is not None:
-                    headers += [("WARC-Refers-To", f"<urn:page:{to}>"), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")]
-                out.record(headers, http, payload if to is None else memoryview(b""))
+                if k == 0:
+                    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
+                    clean = "".join(c for c in url or "" if c not in "\r\n")
+                    headers = [("WARC-Type", "revisit" if to is not None else "response"), ("WARC-Record-ID", f"<urn:page:{'' if i is None else i}>"), ("WARC-Target-URI", clean),
+                               ("WARC-Payload-Digest", f"sha1:{base32(bytes.fromhex(digest))}"), ("Content-Type", "application/http; msgtype=response")]
+                    if to is not None:
+                        headers += [("WARC-Refers-To", f"<urn:page:{to}>"), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")]
+                    out.begin(headers, http, size if to is None else 0)
+                out.chunk(memoryview(chunk.as_buffer()))
+                if last:
+                    out.end(digest if to is None else None)
         if out:
             out.close()
             yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out.archives]), pa.array([n for _, n in out.archives], pa.int64())], names=["uri", "records"])
 
-    return land(planned.mapInArrow(run, "uri string, records long"), "archives")
+    return land(payload_chunks(planned).mapInArrow(run, "uri string, records long"), "archives")
 
 
 class _Members:
@@ -211,7 +206,7 @@ class _Stream:
 
 
 def archive_chunks(raw: BinaryIO, size: int = CHUNK) -> Iterator[tuple]:
-    """The chunk rows of one archive, in the order of _SCHEMA; the digest is that of the payload up to the chunk's end.
+    """The chunk rows of one archive, in the order of _SCHEMA from record_id on; a record begins where chunk_no is 0. The digest is that of the payload up to the chunk's end.
 
     A revisit is one row without a chunk, with the digest and size that its headers give.
     """
@@ -241,13 +236,10 @@ def archive_chunks(raw: BinaryIO, size: int = CHUNK) -> Iterator[tuple]:
             yield record, kind, None, 0, 0, b"", base32(digest.digest()), True
 
 
-def read_archives(archives: DataFrame, with_chunks: bool = True) -> DataFrame:
-    """The chunk table of the listed archives: record_id, record_type, refers_to, payload_bytes (so far), chunk_no, chunk, digest (so far), last.
-
-    Without chunks only the last row of each record is made, its chunk null.
-    """
+def read_archives(archives: DataFrame) -> DataFrame:
+    """The chunk table of the listed archives: archive, record_no (its place in the archive), record_id, record_type, refers_to, payload_bytes (so far), chunk_no, chunk, digest (so far), last."""
     names = [c.strip().split(" ")[0] for c in _SCHEMA.split(",")]
-    kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int32(), pa.binary(), pa.string(), pa.bool_()]
+    kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int32(), pa.binary(), pa.string(), pa.bool_()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(rows):
@@ -258,13 +250,10 @@ def read_archives(archives: DataFrame, with_chunks: bool = True) -> DataFrame:
                 fs, path = pyarrow.fs.FileSystem.from_uri(uri)
                 with fs.open_input_stream(path, compression=None) as raw:
                     rows: list[tuple] = []
-                    held = 0
+                    held, record = 0, -1
                     for row in archive_chunks(raw):
-                        if not with_chunks:
-                            if not row[-1]:
-                                continue
-                            row = (*row[:5], None, *row[6:])
-                        rows.append(row)
+                        record += row[4] == 0
+                        rows.append((uri, record, *row))
                         held += len(row[5] or b"") + 200
                         if held > 1 << 22:
                             yield out(rows)
@@ -276,6 +265,20 @@ def read_archives(archives: DataFrame, with_chunks: bool = True) -> DataFrame:
     return archives.select("uri").repartition(max(1, count)).mapInArrow(run, _SCHEMA)
 
 
+def records_of(chunks: DataFrame) -> DataFrame:
+    """One row for each record of a chunk table: record_id, record_type, refers_to, payload_bytes, payload_digest, n_chunks.
+
+    Sizes are sums over the chunks (a revisit has none and tells its own), the digest is
+    the last chunk's. A record whose chunks are not complete is an error.
+    """
+    size = F.coalesce(F.octet_length("chunk").cast("long"), F.col("payload_bytes"))
+    found = chunks.select("archive", "record_no", "record_id", "record_type", "refers_to", "payload_bytes", "chunk_no", "digest", "last", size.alias("size")).groupBy(
+        "archive", "record_no", "record_id", "record_type", "refers_to").agg(
+        F.sum("size").alias("size"), F.max("payload_bytes").alias("told"), F.count("*").alias("n_chunks"), F.max("chunk_no").alias("at"), F.max(F.when(F.col("last"), F.col("digest"))).alias("payload_digest"))
+    whole = F.col("payload_digest").isNotNull() & (F.col("n_chunks") == F.col("at") + 1) & (F.col("size") == F.col("told"))
+    return found.select("record_id", "record_type", "refers_to", F.when(whole, F.col("size")).otherwise(F.raise_error(F.lit("chunks of a record are missing")).cast("long")).alias("payload_bytes"), "payload_digest", "n_chunks")
+
+
 def archived_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least_bytes: int = 0) -> DataFrame:
     """Write archives of the rows, read them back; per record: the id, payload_bytes, payload_digest, record_type, refers_to.
 
@@ -285,5 +288,5 @@ def archived_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
     """
     kind = pages.schema[id_col].dataType
     archives = write_archives(pages, new_path(pages.sparkSession, "warc"), id_col, url_col, payload_col, least_bytes)
-    return read_archives(archives, with_chunks=False).filter("last").select(
-        F.col("record_id").cast(kind).alias(id_col), "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
+    return records_of(read_archives(archives)).select(
+        F.col("record_id").cast(kind).alias(id_col), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))

@@ -74,3 +74,13 @@ def test_several_archives_in_a_task(spark):
 
 def test_empty_table(spark):
     assert warc.archived_pages(spark.createDataFrame([], PAGES)).collect() == []
+
+
+def test_records_are_an_aggregation_of_whole_chunk_tables(spark):
+    import pytest
+
+    pages = spark.createDataFrame([(k, "u", "x" * (k * 70000), "", "") for k in (0, 1, 1, 3)], PAGES)
+    chunks = warc.read_archives(warc.write_archives(pages, common.new_path(spark, "warc")))
+    assert sorted((r.record_id, r.payload_bytes, r.n_chunks) for r in warc.records_of(chunks).collect()) == [("0", 0, 1), ("1", 70000, 2), ("1", 70000, 2), ("3", 210000, 4)]
+    with pytest.raises(Exception, match="chunks of a record are missing"):
+        warc.records_of(chunks.filter("chunk_no <> 1")).collect()
