@@ -10,8 +10,10 @@ traversed for all candidates, the others are probed one group after the other, o
 for the candidates that are still competitive. The k-th best score carries over from
 shard to shard of a task; each task keeps k rows for each query, and those merge.
 
-Queries go in blocks, candidates in shards; a task has one block and a run of shards,
-so memory is bounded by block and shard sizes, and no side is broadcast.
+Queries go in blocks, candidates in shards, both packed in the smallest type that holds
+their numbers; a task has one block and a run of shards and searches SEARCH queries at a
+time, so memory is bounded by block and shard sizes, and no side is broadcast. A shard
+goes once to each block, a block once to each run.
 """
 
 from __future__ import annotations
@@ -26,8 +28,8 @@ from pyspark.sql import functions as F
 
 from tallyroll.llm.common import land
 
-#: Queries in a block, candidates in a shard, shards that one task takes one after the other.
-BLOCK, SHARD, RUN = 256, 4096, 16
+#: Queries in a block, candidates in a shard, shards that one task takes one after the other, queries searched together.
+BLOCK, SHARD, RUN, SEARCH = 16384, 4096, 64, 256
 _PROBED = 8  # terms probed at a time
 
 
@@ -90,8 +92,8 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 class BlockSearch:
     """The queries of one block with their k best rows so far."""
 
-    def __init__(self, ids: list[int], vectors: list[list[int]], k: int):
-        self.ids, self.queries, self.k = np.array(ids, np.int64), matrix_of(vectors), k
+    def __init__(self, ids: np.ndarray, queries: np.ndarray, k: int):
+        self.ids, self.queries, self.k = ids, queries, k
         self.found = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in ids]
 
     def take(self, ids: np.ndarray, cells: np.ndarray) -> None:
@@ -152,19 +154,24 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64, id_
     bits.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), quantized(F.col(vector_col), scale).alias("v")).filter("id IS NOT NULL AND v IS NOT NULL")
-    queries = land(rows.filter(F.pmod("id", F.lit(every)) == 0).groupBy("id").agg(F.min("v").alias("v")), "queries")
+    spark, top = vectors.sparkSession, k
+    queries = land(packed_shards(rows.filter(F.pmod("id", F.lit(every)) == 0).groupBy("id").agg(F.min("v").alias("v"))), "queries")
     shards = land(packed_shards(rows), "shards")
-    blocks, runs = -(-queries.count() // BLOCK), -(-shards.count() // RUN)
-    none = lambda **kinds: [F.lit(None).cast(kind).alias(name) for name, kind in kinds.items()]
-    every_run, every_block = F.explode(F.sequence(F.lit(0), F.lit(max(runs, 1) - 1))), F.explode(F.sequence(F.lit(0), F.lit(max(blocks, 1) - 1)))
-    asked = queries.select(F.pmod(F.xxhash64("id"), F.lit(max(blocks, 1))).cast("int").alias("block"), every_run.alias("run"), F.lit(0).alias("what"), "id", "v", *none(ids="binary", cells="binary", item="int"))
-    given = shards.select(every_block.alias("block"), F.pmod(F.xxhash64("shard"), F.lit(max(runs, 1))).cast("int").alias("run"), F.lit(1).alias("what"), F.col("shard").alias("id"), *none(v="array<bigint>"), "ids", "cells", "item")
+    asked_for = queries.agg(F.sum(F.octet_length("ids") / 8)).first()[0] or 0
+    n_shards = shards.count()
+    blocks = max(1, int(-(-asked_for // BLOCK)))
+    # Shorter runs where blocks alone would leave cores idle.
+    runs = max(1, min(n_shards, max(-(-n_shards // RUN), -(-2 * spark.sparkContext.defaultParallelism // blocks))))
+    packed = ["ids", "cells", "item"]
+    asked = queries.select(F.pmod(F.xxhash64("shard"), F.lit(blocks)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run"), F.lit(0).alias("what"), "shard", *packed)
+    given = shards.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.pmod(F.xxhash64("shard"), F.lit(runs)).cast("int").alias("run"), F.lit(1).alias("what"), "shard", *packed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, ids, asked_for, search = None, [], [], None
+        at: tuple[int, int] | None = None
+        searches: list[BlockSearch] = []
 
         def out():
-            if search is not None:
+            for search in searches:
                 found = [(q, i, s) for q, (i, s) in zip(search.ids.tolist(), search.found, strict=True) if len(i)]
                 if found:
                     yield pa.RecordBatch.from_arrays(
@@ -172,20 +179,20 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64, id_
                         names=["query_id", "vec_id", "score"])
 
         for batch in batches:
-            for block, part, what, number, v, raw_ids, raw, item in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for block, part, what, raw_ids, raw, item in zip(*(batch.column(c).to_pylist() for c in ("block", "run", "what", *packed)), strict=True):
                 if (block, part) != at:
                     yield from out()
-                    at, ids, asked_for, search = (block, part), [], [], None
+                    at, searches = (block, part), []
+                ids = np.frombuffer(raw_ids, np.int64)
+                cells = np.frombuffer(raw, np.dtype(f"<i{item}")).reshape(len(ids), -1)
                 if not what:
-                    ids.append(number)
-                    asked_for.append(v)
-                elif ids:
-                    search = search or BlockSearch(ids, asked_for, k)
-                    own = np.frombuffer(raw_ids, np.int64)
-                    search.take(own, np.frombuffer(raw, np.dtype(f"<i{item}")).reshape(len(own), -1))
+                    searches += [BlockSearch(ids[k:k + SEARCH], cells[k:k + SEARCH], top) for k in range(0, len(ids), SEARCH)]
+                else:
+                    for search in searches:
+                        search.take(ids, cells)
         yield from out()
 
-    met = asked.unionAll(given).repartition("block", "run").sortWithinPartitions("block", "run", "what", "id")
+    met = asked.unionAll(given).repartition("block", "run").sortWithinPartitions("block", "run", "what", "shard")
     found = met.mapInArrow(run, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.select("query_id", F.row_number().over(order).alias("rank"), "vec_id", "score").filter(F.col("rank") <= k)

@@ -71,3 +71,12 @@ def test_urls(spark, url, host, path, rule, verdict):
 
 def test_no_pages(spark):
     assert url_filter.judge_urls(spark.createDataFrame([], "page_id long, url string")).collect() == []
+
+
+def test_long_vectors_and_tables_without_a_usable_one(spark, monkeypatch):
+    monkeypatch.setattr(maxscore, "BLOCK", 3)
+    monkeypatch.setattr(maxscore, "SEARCH", 2)
+    r = random.Random(5)
+    rows = [(k, [r.randrange(-9, 9) / 64 for _ in range(3000)]) for k in range(0, 200, 5)]
+    assert sorted(tuple(x) for x in maxscore.top_k(spark.createDataFrame([(*x, "", "") for x in rows], VECTORS)).collect()) == brute(rows)
+    assert maxscore.top_k(spark.createDataFrame([(0, [float("nan")], "", ""), (20, None, "", "")], VECTORS)).collect() == []
