@@ -186,9 +186,10 @@ def _disability_list(i: Inputs) -> DataFrame:
     return listed.select(F.col("st_nyssis_id").cast("string").alias("nyssis"))
 
 
-def _billing(i: Inputs, **options) -> DataFrame:
-    return audit_billing.audit(_billing_roster(i), _billing_export(i), "row_id", "enrollment_seq", sped=_sped(i),
-                               disability=_disability_list(i), **options)
+def _billing(i: Inputs, export: DataFrame | None = None, **options) -> DataFrame:
+    """``export`` is the prepared export, where a report has it as a written stage."""
+    return audit_billing.audit(_billing_roster(i), _billing_export(i) if export is None else export, "row_id", "enrollment_seq", sped=_sped(i),
+                               disability=_disability_list(i), prepared=export is not None, **options)
 
 
 @query
@@ -297,8 +298,8 @@ def latest_by_name_key(i: Inputs) -> DataFrame:
     return audit_billing.latest_by_name(_prepared_export(i), "enrollment_seq").select("name_key", "nyssis", "st_entry", "st_school")
 
 
-def _xref(i: Inputs) -> DataFrame:
-    return keys.id_xref(_prepared_export(i), "st_student_id", "nyssis", [F.col("enrollment_seq")])
+def _xref(i: Inputs, export: DataFrame | None = None) -> DataFrame:
+    return keys.id_xref(_prepared_export(i) if export is None else export, "st_student_id", "nyssis", [F.col("enrollment_seq")])
 
 
 @query
@@ -318,10 +319,10 @@ def sped_key_set(i: Inputs) -> DataFrame:
     return audit_billing.sped_key_set(_sped(i), _disability_list(i), audit_billing.prepare_roster(_billing_roster(i)))
 
 
-def _sped_bridged(i: Inputs) -> DataFrame:
+def _sped_bridged(i: Inputs, export: DataFrame | None = None) -> DataFrame:
     rows = i.text_roster().filter(F.col("sped_text").startswith("SPED")).select("row_id", F.col("sid_text").alias("Student Gen Ed ID#"))
     roles = tables.resolve_roles(rows.columns, cfg.SPED_PATTERNS)
-    return keys.sped_keys(rows, roles["nyssis"], roles["student_id"], _xref(i), "row_id")
+    return keys.sped_keys(rows, roles["nyssis"], roles["student_id"], _xref(i, export), "row_id")
 
 
 @query
@@ -329,23 +330,27 @@ def sped_key_bridge(i: Inputs) -> DataFrame:
     return _sped_bridged(i).select("row_id", "sped_key")
 
 
-@query
-def sped_roster_report(i: Inputs) -> DataFrame:
+def _sped_report(i: Inputs, audited: DataFrame, export: DataFrame) -> DataFrame:
     disability = i.st_enrollment().filter("schoolyear_disability IS NOT NULL").selectExpr(
         "enrollment_seq", "CAST(st_nyssis_id AS STRING) AS Student_UniversalStudentID", "'D' || CAST(enrollment_seq AS STRING) AS StudentID_Disability")
     codes = tables.conform_to_roles(disability, cfg.DISABILITY_PATTERNS, keep=["enrollment_seq"])
-    roster = _sped_bridged(i).withColumn("IEP Enrollment status", F.lit("stale"))
-    report = audit_billing.sped_roster(roster, _billing(i), _prepared_export(i), codes, "row_id", "row_id", "enrollment_seq")
+    roster = _sped_bridged(i, export).withColumn("IEP Enrollment status", F.lit("stale"))
+    report = audit_billing.sped_roster(roster, audited, export, codes, "row_id", "row_id", "enrollment_seq")
     return report.drop("Student Gen Ed ID#")
 
 
+@query
+def sped_roster_report(i: Inputs) -> DataFrame:
+    return _sped_report(i, _billing(i), _prepared_export(i))
+
+
 # ---------------------------------------------------------------- comparison with the final table
-def _compared(i: Inputs) -> DataFrame:
+def _compared(i: Inputs, audited: DataFrame | None = None) -> DataFrame:
     final = i.text_roster().selectExpr(
         "row_id", "nyssis_text AS nyssis",
         "CASE WHEN j % 11 = 0 THEN 'Not in ST System' WHEN j % 11 < 4 THEN 'Good' WHEN j % 11 < 7 THEN 'No Good' "
         "WHEN j % 11 = 7 THEN 'NA' WHEN j % 11 = 8 THEN ' ' ELSE 'Good' END AS final_status")
-    return compare_final.match(_billing(i), final, "nyssis", "student_status", "final_status", [F.col("row_id")],
+    return compare_final.match(_billing(i) if audited is None else audited, final, "nyssis", "student_status", "final_status", [F.col("row_id")],
                                [F.col("row_id")], ["entry_discrepancy"])
 
 

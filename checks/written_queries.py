@@ -20,8 +20,31 @@ from tallyroll.sources import sinks, tables
 _WRITTEN: dict[tuple[str, str, str], dict[str, tuple[str, list[str]]]] = {}
 
 REPORTS: dict[str, Callable[[Inputs], dict[str, DataFrame]]] = {
+
+def _billing_report(i: Inputs) -> dict[str, DataFrame]:
+    """One prepared export for all lookups, one audit for all tabs."""
+    export = audit_billing.written_export(q._billing_export(i), "enrollment_seq", i.folder("export"))
+    return audit_billing.report(
+        q._billing(i, export), lambda audited: q._sped_report(i, audited, export), lambda audited: q._compared(i, audited), i.folder("audit"))
+
+
+REPORTS: dict[str, Callable[[Inputs], dict[str, DataFrame]]] = {
+
+def _billing_report(i: Inputs) -> dict[str, DataFrame]:
+    """One prepared export for all lookups, one audit for all tabs."""
+    export = audit_billing.written_export(q._billing_export(i), "enrollment_seq", i.folder("export"))
+    return audit_billing.report(
+        q._billing(i, export), lambda audited: q._sped_report(i, audited, export), lambda audited: q._compared(i, audited), i.folder("audit"))
+
+
+def _unified_report(i: Inputs) -> dict[str, DataFrame]:
+    """One cleaned export for the patch passes and the lookups."""
+    st = cut_lineage(q._exports(i).drop("source", "enrollment_seq"), i.folder("export"))  # both are in st_ord
+    return unify.report(q._final_roster(i, st), unify.dedupe_export(st), "row_id", i.folder("audit"))
+
+
     "roster": lambda i: audit_roster.report(q._roster_audits(i), i.folder("audit")),
-    "billing": lambda i: audit_billing.report(q._billing(i), q.sped_roster_report(i), q._compared(i), i.folder("audit")),
+    "billing": _billing_report,
     "unified": lambda i: unify.report(q._final_roster(i), unify.dedupe_export(q._exports(i)), "row_id", i.folder("audit")),
 }
 #: tab -> the query whose rows it holds.

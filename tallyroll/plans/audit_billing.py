@@ -6,6 +6,8 @@ column per role, plus an ordinal column giving the row order of the source.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ from tallyroll.operators.keys import (
 from tallyroll.plans import compare_final
 from tallyroll.session import cut_lineage
 
+Tab = DataFrame | Callable[[DataFrame], DataFrame] | None
 # Output column -> internal column, 30 columns in order.
 OUTPUT = {
     "NYSSIS ID": "nyssis", "Student ID": "auto_student_id", "Last Name": "last_name", "First Name": "first_name",
@@ -64,6 +67,11 @@ def prepare_export(st: DataFrame, parse=dates.parse_billing) -> DataFrame:
     return cleaned.withColumn("name_key", name_key(c("first_name"), c("last_name"), parse(c("dob")), c("grade")))
 
 
+def written_export(st: DataFrame, ordinal: str, folder: str | None = None, parse=dates.parse_billing) -> DataFrame:
+    """prepare_export as a written stage, in the columns that the lookups read: its dates and keys are worked out once for all of them."""
+    return cut_lineage(prepare_export(st, parse).select(*[c(n) for n in ("nyssis", "st_entry", "exit", "st_school", "st_student_id", "name_key", ordinal)]), folder)
+
+
 def latest_by_nyssis(export: DataFrame, ordinal: str, parse=dates.parse_billing) -> DataFrame:
     """Latest enrollment and number of enrollments per state ID, in one aggregation of the export."""
     fields = ["nyssis", "st_entry", "exit", "st_school", "st_student_id"]
@@ -189,12 +197,12 @@ def with_fte(judged: DataFrame, config: BillingConfig = BillingConfig(), method:
 def audit(roster: DataFrame, export: DataFrame | None, row_id: str, ordinal: str | None = None, *,
           sped: DataFrame | None = None, disability: DataFrame | None = None, prepopulated: bool = False,
           config: BillingConfig = BillingConfig(), method: str = "weeks", summer_rule: str = "deadline",
-          name_fallback: bool = True, parse=dates.parse_billing) -> DataFrame:
-    """The whole billing audit; internal column names (see output())."""
+          name_fallback: bool = True, parse=dates.parse_billing, prepared: bool = False) -> DataFrame:
+    """The whole billing audit; internal column names (see output()). With ``prepared`` the export is the output of prepare_export."""
     clean = prepare_roster(roster, parse)
     if export is not None:
         clean = clean.drop("st_entry", "st_exit", "st_school")
-        matched = match_latest(clean, prepare_export(export, parse), row_id, ordinal, parse, name_fallback)
+        matched = match_latest(clean, export if prepared else prepare_export(export, parse), row_id, ordinal, parse, name_fallback)
     elif prepopulated:
         matched = match_prepopulated(clean, parse)
     else:
@@ -287,11 +295,12 @@ def sped_roster(sped: DataFrame, audited: DataFrame, export: DataFrame, disabili
         "_status", "_fte", "_code", "_student")
 
 
-def report(audited: DataFrame, sped_tab: DataFrame | None = None, matched: DataFrame | None = None, folder: str | None = None) -> dict[str, DataFrame]:
+def report(audited: DataFrame, sped_tab: Tab = None, matched: Tab = None, folder: str | None = None) -> dict[str, DataFrame]:
     """The tabs of the billing report. The audit is written once, below the shared folder, and all tabs read it from there.
 
     ``sped_tab`` is the output of sped_roster, ``matched`` that of compare_final.match;
-    their tabs are left out where they are not given.
+    their tabs are left out where they are not given. Given as functions, they are
+    called with the written audit, so that it is not computed again for them.
     """
     audited = cut_lineage(audited, folder)
     tabs = {
@@ -299,8 +308,8 @@ def report(audited: DataFrame, sped_tab: DataFrame | None = None, matched: DataF
         "Multiple_Enrollments": multiple_enrollments(audited), "Action_Needed": action_needed(audited),
     }
     if sped_tab is not None:
-        tabs["SPED_Roster"] = sped_tab
+        tabs["SPED_Roster"] = sped_tab(audited) if callable(sped_tab) else sped_tab
     if matched is not None:
-        matched = cut_lineage(matched, folder)
+        matched = cut_lineage(matched(audited) if callable(matched) else matched, folder)
         tabs |= {"VS_Final_Summary": compare_final.summary(matched), "VS_Final_Detail": compare_final.differences(matched)}
     return tabs
