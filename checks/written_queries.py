@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks import queries as q
-from checks.inputs import Inputs
+from checks.inputs import Inputs, StagedInputs
 from checks.oracles import ORACLES
 from checks.oracles import query as sql
 from tallyroll import config as cfg
@@ -63,7 +63,7 @@ def _tab(i: Inputs, report: str, tab: str) -> DataFrame:
     """The tab as written, read back under its own column names."""
     key = (i.spark.sparkContext.applicationId, i.dir, report)
     if key not in _WRITTEN:
-        tabs = REPORTS[report](i)
+        tabs = REPORTS[report](StagedInputs(i.spark, i.dir))
         paths = sinks.write_report(tabs, i.folder("report"))
         _WRITTEN[key] = {name: (paths[name], df.columns) for name, df in tabs.items()}
     path, columns = _WRITTEN[key][tab]

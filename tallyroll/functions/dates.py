@@ -21,6 +21,7 @@ _PARTS = {"yyyy": r"\d{4}", "yy": r"\d{2}", "y": r"\d{4}", "MM": r"\d{2}", "M":
 _TIME = r"(?:[01]?\d|2[0-3]):[0-5]?\d(?::(?:[0-5]?\d|6[01]))?"
 # Fixed value: day zero of spreadsheet serial dates.
 SERIAL_ORIGIN = "1899-12-30"
+ISO_DAY = r"^\d{4}-\d{2}-\d{2}\z"
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
@@ -99,14 +100,17 @@ def normalize_dob(c: Column) -> Column:
 
 
 def parse_billing(c: Column) -> Column:
-    """Billing rosters: eight shapes, bounded serials, then Spark's own reading of the text, then written months."""
+    """Billing rosters: eight shapes, bounded serials, then Spark's own reading of the text, then written months.
+
+    Text that is year, month and day already is cast at once: none of the later steps could read it otherwise.
+    """
     s = _strip(c)
-    return F.coalesce(
+    return F.when(s.rlike(ISO_DAY), s.try_cast("date")).otherwise(F.coalesce(
         parse(s, ["M/d/y", "y-M-d", "M-d-y", "M/d/yy", "y/M/d", "y-M-d time", "M/d/y time", "y-M-d T"]),
         from_serial(s, 20000, 60000),
         F.when(~s.rlike(r"^\d{5,}$"), s.try_cast("date")),
         parse_written_month(s),
-    )
+    ))
 
 
 def parse_billing_mixed(c: Column) -> Column:

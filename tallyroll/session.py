@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Joins that share one shuffle are split too when a key is hot, at the price of one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM does not compile methods beyond 8000 bytes, so stages of many text rules would be interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

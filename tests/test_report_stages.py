@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from checks import queries as q
 from checks import written_queries as w
-from checks.inputs import Inputs
+from checks.inputs import Inputs, StagedInputs
+from tallyroll.functions import dates
 from tallyroll.plans import audit_billing
 
 
@@ -34,3 +35,18 @@ def test_billing_tabs_share_one_audit_and_one_prepared_export(spark, tables, mon
     found = {tab: rows(w._tab_query("billing", tab, w.TABS["billing"][tab])(Inputs(spark, tables))) for tab in w.TABS["billing"]}
     assert found == expected and found["SPED_Roster"] and found["Multiple_Enrollments"]
     assert counts == (1, 1)
+
+
+def test_iso_days_are_cast_at_once(spark):
+    texts = ["2026-02-03", "2026-13-01", "2026-02-30", "0000-01-01", "2026-00-10", " 2026-02-03\n", "2026-2-3", "20260203", "46056", "2/3/26", "Feb 3, 2026", "2026-02-03 08:30", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    days = [str(r[0]) for r in df.select(dates.parse_billing(F.col("t")).cast("string")).collect()]
+    assert days == ["2026-02-03", "None", "None", "0000-01-01", "None", "2026-02-03", "2026-02-03", "None", "2026-02-03", "2026-02-03", "2026-02-03", "2026-02-03", "None"]
+
+
+def test_a_report_derives_its_rosters_once(spark, tables):
+    i = StagedInputs(spark, tables)
+    assert rows(i.text_roster()) == rows(Inputs(spark, tables).text_roster())
+    assert all(rows(i.text_roster(k)) == rows(Inputs(spark, tables).text_roster(k)) for k in range(4))
+    read = i.text_roster(2).inputFiles() + i.gen_roster().inputFiles()
+    assert read and not any("orders.parquet" in name for name in read)
