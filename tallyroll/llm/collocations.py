@@ -21,13 +21,14 @@ is hashed anew. Groups are compared as tuples of ids.
 
 from __future__ import annotations
 
+import contextlib
 import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -103,6 +104,18 @@ def _land_blocks(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def _block_by_block(spark: SparkSession) -> Iterator[None]:
+    """A block is megabytes, so while blocks are read each goes to Python alone: a batch of thousands would hold all blocks of a task twice."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def count_words(relation: DataFrame) -> DataFrame:
     """The landed vocabulary (id, lang, word, f)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,7 +127,8 @@ def count_words(relation: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(ids), pa.repeat(batch.column(0)[k], len(ids)), words, pa.array(count, pa.int64())], names=["id", "lang", "word", "c"])
 
     counts = relation.select("lang", "words", "ids", "gid").mapInArrow(run, "id long, lang string, word string, c long")
-    return land(counts.groupBy("id", "lang", "word").agg(F.sum("c").alias("f")), "vocabulary")
+    with _block_by_block(relation.sparkSession):
+        return land(counts.groupBy("id", "lang", "word").agg(F.sum("c").alias("f")), "vocabulary")
 
 
 def _places(groups: np.ndarray, bits: int) -> np.ndarray:
@@ -227,7 +241,8 @@ def extended(relation: DataFrame, marks: tuple[np.ndarray, int], longer: tuple[n
                 [_binary(block.ids[words]), _binary(at.reshape(groups.shape).astype(np.int32)), _binary(np.diff(pos[stay], prepend=0).astype(np.int32)), _binary(gid[stay].astype(np.int32))],
                 names=["ids", "groups", "steps", "gid"])
 
-    return _land_blocks(relation.select("ids", "groups", "steps", "gid").mapInArrow(run, _RELATION), f"occurrences-{length}")
+    with _block_by_block(relation.sparkSession):
+        return _land_blocks(relation.select("ids", "groups", "steps", "gid").mapInArrow(run, _RELATION), f"occurrences-{length}")
 
 
 def frequent_groups(docs: DataFrame, longest: int, least: int) -> tuple[DataFrame, DataFrame]:
@@ -240,7 +255,8 @@ def frequent_groups(docs: DataFrame, longest: int, least: int) -> tuple[DataFram
     found = land(words.filter(F.col("f") >= least).select(F.col("id").alias("w1"), "f"), "frequent-1")
     levels, marks = [found.select(F.array("w1").alias("phrase"), "f")], bitmap_of(found, ["w1"])
     for length in range(2, longest + 1):
-        found = land(count_groups(relation, marks, length).filter(F.col("f") >= least), f"frequent-{length}")
+        with _block_by_block(docs.sparkSession):
+            found = land(count_groups(relation, marks, length).filter(F.col("f") >= least), f"frequent-{length}")
         names = found.columns[:-1]
         levels.append(found.select(F.array(*names).alias("phrase"), "f"))
         if length < longest:

@@ -165,3 +165,16 @@ def test_huge_entries_stay_exact(spark):
     s = [sum(c) for c in zip(*x, strict=True)]
     want = {k: sum((5 * a - b) ** 2 for a, b in zip(v, s, strict=True)) for k, v in enumerate(x)}
     assert got == {k: v if v < 1 << 63 else None for k, v in want.items()}
+
+
+def test_blocks_go_to_python_one_by_one(spark, monkeypatch):
+    from tallyroll.llm import collocations as setm
+
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before, plain = spark.conf.get(name), setm.land
+    monkeypatch.setattr(setm, "land", lambda df, to: seen.append((to, df.sparkSession.conf.get(name))) or plain(df, to))
+    docs = spark.createDataFrame([("en", "a b c d " * 40)], "lang string, text string")
+    assert setm.collocations(docs, least=30).count() > 0
+    batches = dict(seen)
+    assert {batches[n] for n in ("vocabulary", "frequent-2", "frequent-3", "frequent-4")} == {"1"}
+    assert batches["frequent-1"] == before == spark.conf.get(name)
