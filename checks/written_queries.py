@@ -105,22 +105,23 @@ def source_landed_rows_by_header(i: Inputs) -> DataFrame:
 
 
 def source_newest_delivery(i: Inputs) -> DataFrame:
-    """Two deliveries into one folder; the newest file counts by its time."""
+    """Two deliveries into one folder; the newest counts by the time of its files. Each is written by as many tasks as its rows take."""
     folder, rows = i.folder("deliveries"), i.gen_roster().select("c_custkey", "nyssis_id", "grade")
-    rows.coalesce(1).write.option("header", True).csv(folder)
+    rows.write.option("header", True).csv(f"{folder}/delivery-1")
     later = rows.filter("c_custkey % 5 <> 0").withColumn("grade", F.concat(F.lit("G"), "grade"))
-    later.coalesce(1).write.mode("append").option("header", True).csv(folder)
-    return tables.read_newest_file(i.spark, folder)
+    later.write.option("header", True).csv(f"{folder}/delivery-2")
+    return tables.read_newest_file(i.spark, folder, in_folders=True)
 
 
 def source_newest_disability_file(i: Inputs) -> DataFrame:
     """The same for files that Spark has read already: the file's time travels as a column."""
     folder = i.folder("disability")
     rows = i.st_enrollment().filter("schoolyear_disability IS NOT NULL").select("enrollment_seq", "studentid")
-    rows.coalesce(1).write.parquet(folder)
-    rows.filter("enrollment_seq % 3 = 0").coalesce(1).write.mode("append").parquet(folder)
-    dated = i.spark.read.parquet(folder).select("enrollment_seq", "studentid", F.col("_metadata.file_modification_time").alias("file_modification_time"))
-    return tables.newest_snapshot(dated).select("enrollment_seq", "studentid")
+    rows.write.parquet(f"{folder}/delivery-1")
+    rows.filter("enrollment_seq % 3 = 0").write.parquet(f"{folder}/delivery-2")
+    dated = i.spark.read.option("recursiveFileLookup", True).parquet(folder).select(
+        "enrollment_seq", "studentid", F.col("_metadata.file_modification_time").alias("file_modification_time"), tables.folder_of(F.col("_metadata.file_path")).alias("delivery"))
+    return tables.newest_snapshot(dated, delivery="delivery").select("enrollment_seq", "studentid")
 
 
 # ---------------------------------------------------------------- wide header lists

@@ -199,14 +199,37 @@ def select_by_header(rows: DataFrame, patterns: dict[str, Sequence[str]]) -> Dat
     return rows.join(headers, F.col("file") == F.col("_file")).select("file", "pos", *[cell(role).alias(role) for role in patterns])
 
 
-def newest_snapshot(df: DataFrame, modified: str = "file_modification_time") -> DataFrame:
-    """Rows of the most recently modified file; the newest time is one value."""
+def folder_of(path: Column) -> Column:
+    """The path of a file without its name."""
+    return F.regexp_replace(path, "/[^/]*$", "")
+
+
+def newest_snapshot(df: DataFrame, modified: str = "file_modification_time", delivery: str | None = None) -> DataFrame:
+    """Rows of the most recently modified file; the newest time is one value.
+
+    With ``delivery`` (the column that names a row's delivery, see folder_of) all rows of
+    the delivery that holds that file: several tasks write the files of one at different times.
+    """
+    if delivery is not None:
+        newest = df.agg(F.max_by(c(delivery), F.struct(c(modified), c(delivery))).alias("_newest"))
+        return df.join(newest, c(delivery) == F.col("_newest")).drop("_newest")
     newest = df.agg(F.max(c(modified)).alias("_newest"))
     return df.join(newest, c(modified) == F.col("_newest")).drop("_newest")
 
 
-def read_newest_file(spark: SparkSession, folder: str, schema: str | None = None, pattern: str = "*.csv") -> DataFrame:
-    """Newest file of a folder, all columns text. Times come from the listing; older files are never opened."""
+def read_newest_file(spark: SparkSession, folder: str, schema: str | None = None, pattern: str = "*.csv", in_folders: bool = False) -> DataFrame:
+    """Newest file of a folder, all columns text. Times come from the listing; older files are never opened.
+
+    With ``in_folders`` each delivery is a folder below, whose files several tasks wrote:
+    all files of the folder that holds the newest one are read.
+    """
+    if in_folders:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(folder)
+        newest = files.agg(F.max_by(folder_of(F.col("path")), F.struct("modificationTime", "path"))).first()[0]
+        if newest is None:
+            raise ValueError(f"no {pattern} below {folder}")
+        reader = spark.read.option("header", True).option("pathGlobFilter", pattern).option("inferSchema", False)
+        return (reader.schema(schema) if schema else reader).csv(newest)
     listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).agg(F.max("modificationTime"))
     newest = listed.first()[0]
     reader = spark.read.option("header", True).option("pathGlobFilter", pattern).option("inferSchema", False)

@@ -1,5 +1,7 @@
 """What the report tabs compute, and how often. Rows are made here."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +10,7 @@ from checks import written_queries as w
 from checks.inputs import Inputs, StagedInputs
 from tallyroll.functions import dates
 from tallyroll.plans import audit_billing
+from tallyroll.sources import tables as tables_module
 
 
 @pytest.fixture
@@ -44,6 +47,33 @@ def test_iso_days_are_cast_at_once(spark):
     assert days == ["2026-02-03", "None", "None", "0000-01-01", "None", "2026-02-03", "2026-02-03", "None", "2026-02-03", "2026-02-03", "2026-02-03", "2026-02-03", "None"]
 
 
+def test_a_delivery_of_several_files_is_read_whole(spark, tmp_path):
+    times = {"old/a.csv": 100, "old/b.csv": 300, "new/a.csv": 200, "new/b.csv": 400}
+    for n, (name, at) in enumerate(times.items()):
+        path = tmp_path / "in" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(f"k\n{n}\n")
+        os.utime(path, (at, at))
+    assert rows(tables_module.read_newest_file(spark, str(tmp_path / "in"), in_folders=True)) == ["Row(k='2')", "Row(k='3')"]
+    dated = spark.createDataFrame([("x/old", 1, 100), ("x/old", 2, 300), ("x/new", 3, 200), ("x/new", 4, 400)], "d string, k long, t long")
+    assert rows(tables_module.newest_snapshot(dated, "t", "d").select("k")) == ["Row(k=3)", "Row(k=4)"]
+
+
+def test_deliveries_are_not_written_by_one_task(spark, tables):
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        i = Inputs(spark, tables)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+        found = w.source_newest_delivery(i)
+        assert found.count() == 48 and len(found.inputFiles()) > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
 def test_a_report_derives_its_rosters_once(spark, tables):
     i = StagedInputs(spark, tables)
     assert rows(i.text_roster()) == rows(Inputs(spark, tables).text_roster())
