@@ -418,8 +418,8 @@ def unified_patch_nyssis(i: Inputs) -> DataFrame:
     return unify.patch_nyssis(unify.patch_student_id(_built(i), st, "row_id"), st, "row_id")
 
 
-def _patched(i: Inputs) -> DataFrame:
-    return unify.patch_all(_built(i), _exports(i), "row_id")
+def _patched(i: Inputs, st: DataFrame | None = None) -> DataFrame:
+    return unify.patch_all(_built(i), _exports(i) if st is None else st, "row_id")
 
 
 @query
@@ -427,8 +427,9 @@ def unified_patch_dob_school(i: Inputs) -> DataFrame:
     return _patched(i)
 
 
-def _final_roster(i: Inputs) -> DataFrame:
-    return unify.dedupe_within_charter(cut_lineage(_patched(i), i.folder("patched")), "row_id")
+def _final_roster(i: Inputs, st: DataFrame | None = None) -> DataFrame:
+    """``st`` is the cleaned export, where a report has it as a written stage."""
+    return unify.dedupe_within_charter(cut_lineage(_patched(i, st), i.folder("patched")), "row_id")
 
 
 @query

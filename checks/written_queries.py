@@ -34,6 +34,7 @@ def _billing_report(i: Inputs) -> dict[str, DataFrame]:
     """One prepared export for all lookups, one audit for all tabs."""
     export = audit_billing.written_export(q._billing_export(i), "enrollment_seq", i.folder("export"))
     return audit_billing.report(
+REPORTS: dict[str, Callable[[Inputs], dict[str, DataFrame]]] = {
         q._billing(i, export), lambda audited: q._sped_report(i, audited, export), lambda audited: q._compared(i, audited), i.folder("audit"))
 
 
@@ -45,7 +46,7 @@ def _unified_report(i: Inputs) -> dict[str, DataFrame]:
 
     "roster": lambda i: audit_roster.report(q._roster_audits(i), i.folder("audit")),
     "billing": _billing_report,
-    "unified": lambda i: unify.report(q._final_roster(i), unify.dedupe_export(q._exports(i)), "row_id", i.folder("audit")),
+    "unified": _unified_report,
 }
 #: tab -> the query whose rows it holds.
 TABS = {

@@ -372,16 +372,20 @@ def resolve_from_log(roster: DataFrame, log: DataFrame, row_id: str, order: Sequ
     }).drop("_log_nyssis", "_logged")
 
 
+EXPORT_TAB = {"nyssis": "NYSSIS_ID", "sid": "Student_ID", "lname_text": "Last_Name", "fname_text": "First_Name", "dob": "DOB",
+              "grade": "Grade", "school": "School_Name", "start": "Enroll_Start", "end": "Enroll_End",
+              "entry_note": "Entry_Note", "exit_note": "Exit_Note"}
+
+
 def export_tab(st: DataFrame) -> DataFrame:
     """The combined enrollment export in lookup order of columns."""
-    names = {"nyssis": "NYSSIS_ID", "sid": "Student_ID", "lname_text": "Last_Name", "fname_text": "First_Name", "dob": "DOB",
-             "grade": "Grade", "school": "School_Name", "start": "Enroll_Start", "end": "Enroll_End",
-             "entry_note": "Entry_Note", "exit_note": "Exit_Note"}
-    return st.select(*[c(n).alias(new) if n in st.columns else F.lit(None).cast("string").alias(new) for n, new in names.items()])
+    return st.select(*[c(n).alias(new) if n in st.columns else F.lit(None).cast("string").alias(new) for n, new in EXPORT_TAB.items()])
 
 
 def report(roster: DataFrame, st: DataFrame, row_id: str, folder: str | None = None) -> dict[str, DataFrame]:
     """The tabs of the unified-roster report. Roster and export are written once, below the shared folder, and the tabs read them from there."""
+    # Only what the tabs read of the export is shuffled by its de-duplication and written.
+    st = st.select(*[c(n) for n in st.columns if n in EXPORT_TAB or n == "st_ord"])
     roster, st = cut_lineage(roster, folder), cut_lineage(st, folder)
     plain = roster.select(*[c(n) for n in cfg.UNIFIED_COLUMNS])
     return {
