@@ -488,9 +488,12 @@ def unified_classify_counters(i: Inputs) -> DataFrame:
     return unify.patch_counters(before, after, "row_id", unify.BLANKS)
 
 
+NOT_FOUND_COLUMNS = ["row_id", "NYSSIS ID", "Student Status", "Action Needed"]
+
+
 @query
 def unified_not_found(i: Inputs) -> DataFrame:
-    return unify.not_found(_final_roster(i)).select("row_id", "NYSSIS ID", "Student Status", "Action Needed")
+    return unify.not_found(_final_roster(i)).select(*NOT_FOUND_COLUMNS)
 
 
 @query

@@ -12,6 +12,7 @@ from checks.inputs import Inputs, StagedInputs
 from checks.oracles import ORACLES
 from checks.oracles import query as sql
 from tallyroll import config as cfg
+from tallyroll.operators.keys import c
 from tallyroll.plans import audit_billing, audit_roster, unify
 from tallyroll.session import cut_lineage
 from tallyroll.sources import sinks, tables
@@ -19,22 +20,11 @@ from tallyroll.sources import sinks, tables
 #: Reports written so far: each is written once per session and scale, all its tabs are read from there.
 _WRITTEN: dict[tuple[str, str, str], dict[str, tuple[str, list[str]]]] = {}
 
-REPORTS: dict[str, Callable[[Inputs], dict[str, DataFrame]]] = {
-
-def _billing_report(i: Inputs) -> dict[str, DataFrame]:
-    """One prepared export for all lookups, one audit for all tabs."""
-    export = audit_billing.written_export(q._billing_export(i), "enrollment_seq", i.folder("export"))
-    return audit_billing.report(
-        q._billing(i, export), lambda audited: q._sped_report(i, audited, export), lambda audited: q._compared(i, audited), i.folder("audit"))
-
-
-REPORTS: dict[str, Callable[[Inputs], dict[str, DataFrame]]] = {
 
 def _billing_report(i: Inputs) -> dict[str, DataFrame]:
     """One prepared export for all lookups, one audit for all tabs."""
     export = audit_billing.written_export(q._billing_export(i), "enrollment_seq", i.folder("export"))
     return audit_billing.report(
-REPORTS: dict[str, Callable[[Inputs], dict[str, DataFrame]]] = {
         q._billing(i, export), lambda audited: q._sped_report(i, audited, export), lambda audited: q._compared(i, audited), i.folder("audit"))
 
 
@@ -44,6 +34,7 @@ def _unified_report(i: Inputs) -> dict[str, DataFrame]:
     return unify.report(q._final_roster(i, st), unify.dedupe_export(st), "row_id", i.folder("audit"))
 
 
+REPORTS: dict[str, Callable[[Inputs], dict[str, DataFrame]]] = {
     "roster": lambda i: audit_roster.report(q._roster_audits(i), i.folder("audit")),
     "billing": _billing_report,
     "unified": _unified_report,
@@ -58,6 +49,8 @@ TABS = {
 }
 #: Columns of those queries that the tab leaves out.
 WITHOUT = {"Roster": "row_id", "VS_Final_Detail": "entry_discrepancy", "All Charters Unified": "row_id", "Copy Paste": "row_id"}
+#: Tabs of which the query shows some columns; of the others it shows all.
+SHOWN = {"Not Found in ST": q.NOT_FOUND_COLUMNS}
 
 
 def _tab(i: Inputs, report: str, tab: str) -> DataFrame:
@@ -71,9 +64,10 @@ def _tab(i: Inputs, report: str, tab: str) -> DataFrame:
     return i.spark.read.parquet(path).toDF(*columns)
 
 
-def _tab_query(report: str, tab: str, source: str) -> Callable[[Inputs], DataFrame]:
+def _tab_query(report: str, tab: str) -> Callable[[Inputs], DataFrame]:
     def build(i: Inputs) -> DataFrame:
-        return _tab(i, report, tab).select(*[F.col(f"`{n}`") for n in getattr(q, source)(i).columns if n != WITHOUT.get(tab)])
+        written = _tab(i, report, tab)
+        return written.select(*[c(n) for n in SHOWN.get(tab, written.columns)])
 
     build.__name__ = f"report_{report}_tab_{tab.lower().replace(' ', '_')}"
     return build
@@ -146,7 +140,7 @@ def source_wide_export_headers(i: Inputs) -> DataFrame:
     return tables.conform_to_roles(export, patterns, keep=["enrollment_seq"]).select("enrollment_seq", "nyssis", "student_id", "entry", "exit", "school", "first_name")
 
 
-BUILDERS = [_tab_query(report, tab, source) for report, tabs in TABS.items() for tab, source in tabs.items()] + [
+BUILDERS = [_tab_query(report, tab) for report, tabs in TABS.items() for tab in tabs] + [
     source_landed_header_rows, source_landed_rows_by_header, source_newest_delivery, source_newest_disability_file, source_wide_headers, source_wide_export_headers]
 for _build in BUILDERS:
     q.query(_build)

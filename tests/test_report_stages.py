@@ -33,11 +33,9 @@ def rows(df):
 def test_billing_tabs_share_one_audit_and_one_prepared_export(spark, tables, monkeypatch):
     expected = {tab: rows(getattr(q, source)(Inputs(spark, tables)).drop(w.WITHOUT.get(tab, ""))) for tab, source in w.TABS["billing"].items()}
     audits, exports = counted(monkeypatch, audit_billing, "audit"), counted(monkeypatch, audit_billing, "prepare_export")
-    w._tab(Inputs(spark, tables), "billing", "Roster")
-    counts = len(audits), len(exports)
-    found = {tab: rows(w._tab_query("billing", tab, w.TABS["billing"][tab])(Inputs(spark, tables))) for tab in w.TABS["billing"]}
+    found = {tab: rows(w._tab_query("billing", tab)(Inputs(spark, tables))) for tab in w.TABS["billing"]}
     assert found == expected and found["SPED_Roster"] and found["Multiple_Enrollments"]
-    assert counts == (1, 1)
+    assert (len(audits), len(exports)) == (1, 1)
 
 
 def test_iso_days_are_cast_at_once(spark):
@@ -47,6 +45,14 @@ def test_iso_days_are_cast_at_once(spark):
     assert days == ["2026-02-03", "None", "None", "0000-01-01", "None", "2026-02-03", "2026-02-03", "None", "2026-02-03", "2026-02-03", "2026-02-03", "2026-02-03", "None"]
 
 
+def test_unified_tabs_come_from_the_written_report_alone(spark, tables, monkeypatch):
+    expected = {tab: rows(getattr(q, source)(Inputs(spark, tables)).drop(w.WITHOUT.get(tab, ""))) for tab, source in w.TABS["unified"].items()}
+    rosters, exports = counted(monkeypatch, q, "_unified"), counted(monkeypatch, q, "_exports")
+    found = {tab: rows(w._tab_query("unified", tab)(Inputs(spark, tables))) for tab in w.TABS["unified"]}
+    assert found == expected and all(found.values())
+    assert (len(rosters), len(exports)) == (1, 1)
+
+
 def test_a_delivery_of_several_files_is_read_whole(spark, tmp_path):
     times = {"old/a.csv": 100, "old/b.csv": 300, "new/a.csv": 200, "new/b.csv": 400}
     for n, (name, at) in enumerate(times.items()):
